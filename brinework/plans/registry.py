@@ -13,3 +13,8 @@ ORACLE_SQL: dict[str, str] = {}
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QUERIES["heatwave_year_stats"](spark, sf_dir)
+
+
+def load() -> None:
+    """Fills the registry; the query modules register on import."""
+    from brinework.plans import field_queries, series_queries, stream_queries  # noqa: F401
