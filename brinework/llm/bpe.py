@@ -21,6 +21,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -279,7 +280,7 @@ def tokenizer(path: str) -> SegmentTreeBPE:
 
 def slices(batch: pa.RecordBatch, column: int, chars: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """Cuts a batch so that a slice holds about so many bytes of a text column, or one longer text."""
-    size = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0)).astype(np.int64)
+    size = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0)).astype(np.int64)
     group = np.cumsum(size) // chars
     edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows] if batch.num_rows else [0]
     for a, b in zip(edges, edges[1:]):
