@@ -13,7 +13,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CUT = r"\n|(?<=[.!?])[ \t\r\f]+"
+END = r"([.!?])[ \t\r\f]+"
 
 
 def normal(sentence: str) -> str:
@@ -90,7 +90,7 @@ def scan(docs: DataFrame, known: dict[str, str] | None = None, ordered=None, id_
     known = sentences() if known is None else known
     ordered = rules() if ordered is None else ordered
     table = F.create_map(*[F.lit(x) for kv in known.items() for x in kv])
-    cut = F.split(F.coalesce(F.col(text), F.lit("")), CUT)
+    cut = F.split(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), END, "$1\n"), "\n")
     clean = lambda s: F.trim(
         F.regexp_replace(F.translate(s, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), "[^a-z0-9]+", " ")
     )

@@ -18,6 +18,7 @@ from brinework.llm import (
     url_filters,
 )
 from brinework.llm.common import table
+from brinework.llm.sql import ORACLE_SQL  # noqa: F401
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -92,4 +93,3 @@ QUERIES = {
         op10_bpe,
     )
 }
-ORACLE_SQL: dict[str, str] = {}

@@ -25,22 +25,16 @@ WEAKEST, STRONGEST = 2.0, 500.0
 LEVELS = ("suffix", "domain", "host")
 
 
-def host_of(url: Column) -> Column:
-    rest = F.when(F.contains(url, F.lit("://")), F.expr("substring({u}, instr({u}, '://') + 3)".replace("{u}", "__url")))
-    host = F.regexp_extract(F.coalesce(rest, F.lit("")), r"^([^/?#]*)", 1)
-    return F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
 def parts(pages: DataFrame, id_col: str = "page_id", url: str = "url") -> DataFrame:
     """(id, __url, host, path, domain, suffix); a null url or one without ``://`` has an empty host and path."""
-    rows = pages.select(F.col(id_col).alias("id"), F.col(url).alias("__url")).withColumn("host", host_of(F.col("__url")))
-    rest = F.expr("substring(__url, instr(__url, '://') + 3)")
-    path = F.when(F.contains("__url", F.lit("://")), F.regexp_extract(F.regexp_extract(rest, r"(?s)^[^/?#]*(.*)$", 1), r"(?s)^([^?#]*)", 1))
-    return rows.select(
+    rows = pages.select(F.col(id_col).alias("id"), F.col(url).alias("__url"))
+    rest = F.coalesce(F.when(F.contains("__url", F.lit("://")), F.expr("substring(__url, instr(__url, '://') + 3)")), F.lit(""))
+    host = F.translate(F.regexp_extract(rest, r"^([^/?#]*)", 1), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return rows.select("*", host.alias("host"), F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1).alias("path")).select(
         "id",
         "__url",
         "host",
-        F.coalesce(path, F.lit("")).alias("path"),
+        "path",
         F.substring_index("host", ".", -2).alias("domain"),
         F.substring_index("host", ".", -1).alias("suffix"),
     )
@@ -60,13 +54,10 @@ def rule_of(rules=RULES) -> tuple[Column, Column]:
 def reputations(counted: DataFrame, z: float = Z) -> DataFrame:
     """Posterior (host, rate, lower, upper) from (host, domain, suffix, good, pages)."""
     known = counted.withColumn("everything", F.lit(1))
-    top = known.groupBy("everything").agg(
-        ((F.sum("good") + 1) / (F.sum("pages") + 2)).alias("rate"), F.sum("pages").alias("all_pages")
-    )
-    above, parent = top.select("everything", "rate"), "everything"
+    top = known.groupBy("everything").agg(((F.sum("good") + 1) / (F.sum("pages") + 2)).alias("rate"))
+    above, parent = top, "everything"
     for level in LEVELS:
-        group = known.groupBy(parent, level) if parent != level else known.groupBy(level)
-        own = group.agg(F.sum("good").alias("good"), F.sum("pages").alias("pages"))
+        own = known.groupBy(parent, level).agg(F.sum("good").alias("good"), F.sum("pages").alias("pages"))
         seen = own.join(above.withColumnRenamed("rate", "prior"), parent)
         m = F.col("prior")
         spread = F.try_divide(
@@ -76,10 +67,8 @@ def reputations(counted: DataFrame, z: float = Z) -> DataFrame:
         noise = F.first("prior") * (1 - F.first("prior"))
         # variance of a rate of n pages: m(1-m)(1/n + (1-1/n)/(s+1)); solved for the strength s
         between = (spread - noise / size) / (1 - 1 / F.greatest(size, F.lit(2.0)))
-        strength = F.coalesce(
-            F.least(F.greatest(F.try_divide(noise, F.when(between > 0, between)) - 1, F.lit(WEAKEST)), F.lit(STRONGEST)),
-            F.lit(STRONGEST),
-        )
+        ratio = F.try_divide(noise, F.when(between > 0, between))
+        strength = F.when(ratio.isNull(), STRONGEST).otherwise(F.least(F.greatest(ratio - 1, F.lit(WEAKEST)), F.lit(STRONGEST)))
         fitted = seen.groupBy(parent).agg(strength.alias("strength"))
         joined = seen.join(fitted, parent)
         a = F.col("prior") * F.col("strength") + F.col("good")
@@ -96,7 +85,7 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules=RULES, min_rate: float =
 
     ``outcomes`` has (id, good): good is 1 or 0; rows with a null in either are not used and several
     outcomes of a page each count. The longest fitting rule decides; without one the host's
-    posterior does. A host without labelled pages has its domain's posterior, and so on upwards;
+    posterior does. A host without labelled pages is judged by its domain's rate, and so on upwards;
     with no labels at all every page passes. Repeated pages get a row each.
     """
     rows = parts(pages, id_col, url)
