@@ -14,7 +14,8 @@ def paired_statistics(pairs: DataFrame, keys: list[str], model: str = "model", o
     some = lambda c: F.when(enough, c)
     return both.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
-        some(F.corr(m, o)).alias("corr"),
+        # a constant series has no correlation; the built-in one divides by zero there
+        some(F.try_divide(F.covar_pop(m, o), F.stddev_pop(m) * F.stddev_pop(o))).alias("corr"),
         some(F.sqrt(F.var_pop(m - o))).alias("rmse"),
         *[some(f(c)).alias(f"{name}_{stat}") for c, name in ((m, "model"), (o, "obs")) for f, stat in ((F.avg, "mean"), (F.min, "min"), (F.max, "max"))],
         some(F.avg(F.abs(m - o))).alias("mae"),

@@ -80,3 +80,32 @@ def stream_first_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeats within the watermark are dropped; every user keeps a record."""
     first = _finished(spark, jobs.first_records(_events(spark, sf_dir), ["user_id"]).select("user_id", "event_id"))
     return first.agg(F.count_distinct("user_id").alias("users"))
+
+
+@query(
+    f"""WITH {CLOSED}, d AS (SELECT user_id, date_trunc('day', ts) AS day, avg(value) AS value FROM events GROUP BY ALL),
+c AS (SELECT user_id, avg(value) AS clim FROM events GROUP BY ALL)
+SELECT user_id, strftime(day, '%Y-%m-%d') AS day, round(value - clim, 6) AS anomaly FROM d JOIN c USING (user_id), mark WHERE day + INTERVAL 1 DAY <= mark"""
+)
+def stream_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily means joined to a static baseline for each day of the year."""
+    days = jobs.daily_means(_events(spark, sf_dir), ["user_id"], "ts", "value")
+    clim = table(spark, sf_dir, "events").groupBy("user_id").agg(F.avg("value").alias("clim")).withColumn("doy", F.explode(F.sequence(F.lit(1), F.lit(366))))
+    return _finished(spark, jobs.against_climatology(days, clim, ["user_id"], "day", "value").select("user_id", "day", "anomaly")).select("user_id", "day", r6("anomaly"))
+
+
+@query("SELECT user_id, count(*) AS n, round(max(value), 6) AS top FROM events GROUP BY ALL")
+def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each batch overwrites the partitions that it holds; one batch holds all here."""
+    folder = _folder(spark)
+    jobs.upsert(_events(spark, sf_dir), f"{folder}/out", f"{folder}/state", "user_id").awaitTermination()
+    got = spark.read.parquet(f"{folder}/out")
+    return got.groupBy(F.col("user_id").cast("bigint").alias("user_id")).agg(F.count(F.lit(1)).alias("n"), F.round(F.max("value"), 6).alias("top"))
+
+
+@query()
+def stream_event_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stateful detection: runs of positions whose value exceeds a threshold, with short gaps bridged."""
+    e = _events(spark, sf_dir)
+    daily = e.select("user_id", F.unix_date(F.to_date("ts")).cast("bigint").alias("position"), (F.col("value") - 20).alias("excess"), "ts")
+    return _finished(spark, jobs.event_runs(daily, "user_id", 2, 2)).select("user_id", "first", "last", "length", r6("peak"))

@@ -59,7 +59,9 @@ def _runs(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState, min_du
             closed.append((*key, int(first), int(last), int(length), float(peak)))
 
     for position, excess in zip(rows.get("position", ()), rows.get("excess", ())):
-        if excess > 0:
+        if length and position == last:  # a second record of a day that counts already
+            peak = max(peak, excess)
+        elif excess > 0:
             if length and gap <= max_gap:
                 length += gap + 1
             else:
@@ -78,7 +80,8 @@ def _runs(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState, min_du
         state.update((int(first), int(last), int(length), int(gap), float(peak)))
         if state.getCurrentWatermarkMs() >= 0:
             state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + 86_400_000 * (max_gap + 1))
-    yield pd.DataFrame(closed, columns=[*names, "first", "last", "length", "peak"])
+    if closed:
+        yield pd.DataFrame(closed, columns=[*names, "first", "last", "length", "peak"])
 
 
 def event_runs(daily: DataFrame, key: str, min_duration: int = 5, max_gap: int = 2) -> DataFrame:
