@@ -98,14 +98,15 @@ def detect(
     return out.select(*[c for c in out.columns if not c.startswith("__")])
 
 
-def year_stats(events: DataFrame, keys: list[str], day: str = "day", value: str = "temp") -> DataFrame:
+def year_stats(events: DataFrame, keys: list[str], day: str = "day", value: str = "temp", years: DataFrame | None = None) -> DataFrame:
     """Eleven statistics for each sign, cell and year; every year of the record appears for every cell.
 
+    ``years`` is one row (first, last) of the record; without it the days of ``events`` give it.
+
     The runs are those of the merged category, so that a day is in one state. An event belongs to
     the year of its first day. Without events counts are 0 and intensities and durations missing.
     """
     w = Window.partitionBy(*keys).orderBy(day)
-    series = Window.partitionBy(*keys)
     signs = {"mhw": F.col("category") > 0, "mcs": F.col("category") < 0}
     out = events.withColumn("__i", F.abs(F.col(value) - F.col("clim"))).withColumn("__m", F.abs("category"))
     for name, inside in signs.items():
@@ -131,17 +132,16 @@ def year_stats(events: DataFrame, keys: list[str], day: str = "day", value: str
             F.avg(length).alias(f"{name}_duration_mean"),
             F.coalesce(F.max(length), F.lit(0)).alias(f"{name}_duration_max"),
         ]
-    years = events.agg(F.min(F.year(day)).alias("__from"), F.max(F.year(day)).alias("__to"))
+    if years is None:
+        years = events.agg(F.min(F.year(day)).alias("first"), F.max(F.year(day)).alias("last"))
     stats = out.groupBy(*keys, "year").agg(*measures)
-    spine = (
-        stats.groupBy(*keys).agg(F.lit(1).alias("__one")).drop("__one")
-        .crossJoin(F.broadcast(years))  # one row
-        .withColumn("year", F.explode(F.sequence("__from", "__to")))
-        .drop("__from", "__to")
-    )
-    filled = spine.join(stats, [*keys, "year"], "left")
-    counts = [c for c in stats.columns if c.endswith("_count") or "_days" in c or c.endswith("_duration_max")]
-    return filled.select(*keys, "year", *[F.coalesce(c, F.lit(0)).alias(c) if c in counts else F.col(c) for c in stats.columns if c not in (*keys, "year")])
+    names = [c for c in stats.columns if c not in (*keys, "year")]
+    # the years of a cell are few: nested, the missing ones can be added without another exchange
+    nested = stats.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("year", F.struct(*names)))).alias("__years"))
+    filled = nested.crossJoin(F.broadcast(years)).withColumn("year", F.explode(F.sequence("first", "last")))  # one row
+    filled = filled.withColumn("__s", F.try_element_at("__years", F.col("year")))
+    counts = [c for c in names if c.endswith("_count") or "_days" in c or c.endswith("_duration_max")]
+    return filled.select(*keys, "year", *[F.coalesce(f"__s.{c}", F.lit(0)).alias(c) if c in counts else F.col(f"__s.{c}") for c in names])
 
 
 def restrict_with_context(daily: DataFrame, first: str, last: str, day: str = "day", min_duration: int = MIN_DURATION, max_gap: int = MAX_GAP) -> tuple[DataFrame, Column]:

@@ -68,7 +68,8 @@ def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    daily = _daily(spark, sf_dir).repartition("cell")  # the one exchange that all later steps share
+    # the one exchange that all later steps share; with the same columns in both branches it runs once
+    daily = _daily(spark, sf_dir).select("cell", "day", "temp").repartition("cell")
     return events.join_climatology(daily, events.climatology(daily, ["cell"]), ["cell"])
 
 
@@ -122,7 +123,8 @@ SELECT spine.cell, spine.year, {', '.join(cols)} FROM spine
 
 @query(_year_sql())
 def heatwave_year_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = events.year_stats(_marked(spark, sf_dir), ["cell"])
+    years = cell_readings(spark, sf_dir).agg(F.min(F.year("time")).alias("first"), F.max(F.year("time")).alias("last"))
+    stats = events.year_stats(_marked(spark, sf_dir), ["cell"], years=years)
     return stats.select(
         "cell", F.col("year").cast("int").alias("year"),
         *[r6(c) if t == "double" else F.col(c).cast("bigint").alias(c) for c, t in stats.dtypes if c not in ("cell", "year")],
