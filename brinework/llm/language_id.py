@@ -26,6 +26,8 @@ MIN_COUNT = 3
 #: Slots of the filter (its size is fixed: slots times a byte for every eight languages) and hashes of an n-gram.
 SLOTS, HASHES = 1 << 20, 3
 UNKNOWN = "und"
+#: Bytes of text that are worked on at once, and distinct n-grams of a language that a task holds before it emits them.
+SLICE, MAX_PENDING = 200_000, 1_000_000
 _SPACE = 32
 
 
@@ -130,18 +132,31 @@ def in_fold(id_col: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    mark, place = np.unique(np.concatenate([m for m, _ in parts]), return_inverse=True)
+    return mark, np.bincount(place, np.concatenate([n for _, n in parts]), len(mark)).astype(np.int64)
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, mark, n): counts of a task's n-grams, emitted whenever a slice of texts is done."""
+    """(lang, mark, n): counts of a task's n-grams, summed over slices of its texts up to MAX_PENDING distinct ones."""
+    held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+
+    def rows(lang: str) -> pa.RecordBatch:
+        mark, n = _merged(held.pop(lang))
+        return pa.RecordBatch.from_arrays([pa.array([lang] * len(mark), pa.string()), pa.array(mark.view(np.int64)), pa.array(n)], names=["lang", "mark", "n"])
+
     for whole in batches:
-        for b in slices(whole, 1, 8_000_000):
-            langs = b.column(0).to_pylist()
+        for b in slices(whole, 1, SLICE):
+            langs, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
             for lang in sorted(set(langs)):
-                marks, _ = ngrams([t for t, g in zip(b.column(1).to_pylist(), langs) if g == lang])
-                mark, n = np.unique(marks, return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(mark), pa.string()), pa.array(mark.view(np.int64)), pa.array(n.astype(np.int64))],
-                    names=["lang", "mark", "n"],
-                )
+                own = held.setdefault(lang, [])
+                own.append(np.unique(ngrams([t for t, g in zip(texts, langs) if g == lang])[0], return_counts=True))
+                if sum(len(m) for m, _ in own[1:]) > max(MAX_PENDING // 8, len(own[0][0])):
+                    own[:] = [_merged(own)]
+                if len(own[0][0]) > MAX_PENDING:
+                    yield rows(lang)
+    for lang in list(held):
+        yield rows(lang)
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang", slots: int = SLOTS, hashes: int = HASHES, min_share: float = MIN_SHARE) -> Filter:
@@ -190,7 +205,7 @@ def identify(docs: DataFrame, model: Filter, id_col: str = "doc_id", text: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for b in slices(whole, 2):
+            for b in slices(whole, 2, SLICE):
                 label, score = shared.value.predict(b.column(2).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), b.column(1), pa.array(label, pa.string()), pa.array(score)], names=[id_col, "held_out", "lang_pred", "score"]
@@ -209,7 +224,7 @@ def keep_known(docs: DataFrame, model: Filter, min_score: float, text: str = "te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             at = whole.schema.get_field_index(text)
-            for b in slices(whole, at):
+            for b in slices(whole, at, SLICE):
                 label, score = shared.value.predict(b.column(at).to_pylist())
                 yield b.filter(pa.array([g != UNKNOWN and s >= min_score for g, s in zip(label, score)], pa.bool_()))
 
