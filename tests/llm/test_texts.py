@@ -160,6 +160,12 @@ def test_surges():
     assert np.flatnonzero(keep).tolist() == [2, 3, 4, 5, 6, 15, 16]
 
 
+def test_short_pages():
+    assert html_extraction.main_text("<p>hi<p><b>there</b> you") == "hi\n\nthere you"
+    assert html_extraction.main_text("<nav>menu</nav><p>hi") == "hi"
+    assert html_extraction.main_text("<p><a href=x>only a link</a>") == html_extraction.main_text("") == ""
+
+
 def test_broken_markup():
     for page in ("<", "<p", "<!-- never closed", "<p title='x>y", "</div></p>text", "<script>x", "<a>" * 5000 + "x", "&#0;&#xD800;&bogus;", "\x00"):
         html_extraction.main_text(page)
