@@ -54,17 +54,36 @@ CASE {' '.join(cases['verdict'])} WHEN r.rate + {z} * sqrt(r.rate * (1 - r.rate)
 FROM p LEFT JOIN r_host r ON p.host = r.host"""
 
 
+def _crc_table() -> list[int]:
+    """Remainders of all bytes by the reflected polynomial."""
+    table = []
+    for n in range(256):
+        for _ in range(8):
+            n = n >> 1 ^ (0xEDB88320 if n & 1 else 0)
+        table.append(n)
+    return table
+
+
+def _crc_table() -> list[int]:
+    """Remainders of the sixteen half bytes by the reflected polynomial."""
+    table = []
+    for n in range(16):
+        for _ in range(4):
+            n = n >> 1 ^ (0xEDB88320 if n & 1 else 0)
+        table.append(n)
+    return table
+
+
 def sharding_sql(shards: int = sharding.SHARDS, slots: int = sharding.SLOTS) -> str:
-    """crc32 byte by byte from its polynomial; fit for small tables only."""
-    hexed = "lower(hex(encode(coalesce(text, ''))))"
-    nibble = lambda at: f"(instr('0123456789abcdef', substr(h, {at}, 1)) - 1)"
+    """crc32 half byte by half byte; fit for small tables only."""
     number = lambda digest: f"CAST('0x' || substr(md5({digest}), 1, 8) AS BIGINT)"
-    last = lambda n: f"list_max(list_filter(range({n}), lambda j: {number(chr(39) + 'slot ' + chr(39) + ' || s || ' + chr(39) + ' shard ' + chr(39) + ' || j')} * (j + 1) < 4294967296))"
-    return f"""WITH t AS (SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS t),
-m AS (SELECT s AS virtual_slot, {last('CAST(' + str(shards) + ' AS BIGINT)')} AS shard, {last('CAST(' + str(shards + 1) + ' AS BIGINT)')} AS grown FROM (SELECT unnest(range({slots})) AS s)),
-h AS (SELECT doc_id, {hexed} AS h FROM documents),
-d AS (SELECT doc_id, length(h) // 2 + 1 AS size, xor(4294967295, list_reduce([CAST(4294967295 AS BIGINT)] || list_transform(range(1, length(h), 2), lambda i: CAST({nibble('i')} * 16 + {nibble('i + 1')} AS BIGINT)),
-    lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8))) AS text_crc32, {number("coalesce(CAST(doc_id AS VARCHAR), '')")} % {slots} AS virtual_slot FROM h, t)
+    draw = number("'slot ' || s || ' shard ' || j")
+    last = lambda n: f"list_max(list_filter(range({n}), lambda j: {draw} * (j + 1) < 4294967296))"
+    at = "i + 1 - 2 * (i % 2)"  # the low half of a byte first
+    return f"""WITH m AS (SELECT s AS virtual_slot, {last(shards)} AS shard, {last(shards + 1)} AS grown FROM (SELECT unnest(range({slots})) AS s)),
+h AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS h FROM documents),
+d AS (SELECT doc_id, length(h) // 2 + 1 AS size, xor(4294967295, list_reduce([CAST(4294967295 AS BIGINT)] || list_transform(range(length(h)), lambda i: CAST(instr('0123456789abcdef', substr(h, {at} + 1, 1)) - 1 AS BIGINT)),
+    lambda c, b: xor({_crc_table()}[(xor(c, b) & 15) + 1], c >> 4))) AS text_crc32, {number("coalesce(CAST(doc_id AS VARCHAR), '')")} % {slots} AS virtual_slot FROM h)
 SELECT doc_id, CAST(size AS BIGINT) AS size, text_crc32, 'key' AS law, CAST(shard AS INT) AS shard,
 row_number() OVER (PARTITION BY shard ORDER BY virtual_slot, doc_id, text_crc32, size) - 1 AS slot, CAST(grown AS INT) AS grown_shard, virtual_slot FROM d JOIN m USING (virtual_slot)"""
 
