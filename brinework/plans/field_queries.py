@@ -276,7 +276,15 @@ def tidal_ellipses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", *[r6(c, n) for n, c in got.items()])
 
 
-@query()
+def _tide_sql() -> str:
+    waves = ", ".join(f"('{w}', {a}::DOUBLE, {e}::DOUBLE, {p}::DOUBLE)" for w, (a, e, _, p) in forcing.CONSTITUENTS.items())
+    return f"""WITH {GRID}, w(wave, amp, elas, hours) AS (VALUES {waves}),
+s AS (SELECT eta, xi, wave, radians(lon) AS lon, CASE WHEN hours < 13 THEN 2 WHEN hours < 26 THEN 1 ELSE 0 END AS k,
+amp * elas * CASE WHEN hours < 13 THEN cos(radians(lat)) ** 2 WHEN hours < 26 THEN sin(2 * radians(lat)) ELSE 0.5 - 1.5 * sin(radians(lat)) ** 2 END AS size FROM grid, w)
+SELECT eta, xi, wave, round(size * cos(k * lon), 6) AS re, round(-size * sin(k * lon), 6) AS im FROM s"""
+
+
+@query(_tide_sql())
 def equilibrium_tide(spark: SparkSession, sf_dir: str) -> DataFrame:
     factors = forcing.nodal_factors(spark, "2020-03-01")
     return forcing.equilibrium(grid(spark, sf_dir), factors).select("eta", "xi", "wave", r6("re"), r6("im"))

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from brinework.functions import physics, vertical
 from brinework.operators import filters, forcing, geo, horizontal
 from brinework.plans import workloads
-from brinework.plans.field_queries import RING, _nearest, _with_levels
+from brinework.plans.field_queries import NEAREST, RING, _nearest, _with_levels
 from brinework.plans.series_queries import query, r6, text_time
-from brinework.sources.adaptors import GRID, SENSORS, WIDTH, grid, sensors, table
+from brinework.sources.adaptors import GRID, PROFILES, SENSORS, WIDTH, grid, sensors, table
 
 
 @query(f"WITH {GRID} SELECT eta, xi, CASE WHEN mask = 1 THEN value END AS value, round(greatest(950, least(1500, h)), 6) AS h FROM grid WHERE eta >= 1 AND eta < 30 AND xi >= 5 AND xi < 40")
@@ -56,7 +56,10 @@ def runoff_directions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.select("eta", "xi", axis.alias("axis"), sign.alias("sign"))
 
 
-@query()
+@query(
+    f"""WITH {NEAREST}, {PROFILES}
+SELECT n.site, CAST(w.i AS INT) AS level, round(w.z, 6) AS z, round(w.temp, 6) AS temp, round(w.salt, 6) AS salt FROM near n JOIN water w ON w.cell = n.eta * {WIDTH} + n.xi"""
+)
 def profiles_at_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every level of the profiles of the cells nearest to the sites; the profiles are laid on the grid by number."""
     p = _with_levels(spark, sf_dir).withColumns({"eta": F.floor(F.col("cell") / WIDTH).cast("int"), "xi": (F.col("cell") % WIDTH).cast("int"), "time": F.lit(0)})
@@ -106,7 +109,12 @@ def potential_vorticity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return workloads.ertel_pv(cells.join(metrics, ["eta", "xi"]), []).select("level", "eta", "xi", F.round(F.col("pv") * 1e9, 6).alias("pv"))
 
 
-@query()
+@query(
+    f"""WITH {NEAREST}, u AS (SELECT site, avg(g.value) AS u FROM near n JOIN grid g ON g.eta = n.eta AND g.xi IN (n.xi - 1, n.xi) GROUP BY ALL),
+v AS (SELECT site, avg(g.h) AS v FROM near n JOIN grid g ON g.xi = n.xi AND g.eta IN (n.eta - 1, n.eta) GROUP BY ALL),
+a AS (SELECT site, angle FROM near n JOIN grid g USING (eta, xi))
+SELECT site, CAST(0 AS INT) AS time, round(u * cos(angle) - v * sin(angle), 6) AS u, round(v * cos(angle) + u * sin(angle), 6) AS v FROM u JOIN v USING (site) JOIN a USING (site)"""
+)
 def vectors_at_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = grid(spark, sf_dir).withColumn("time", F.lit(0))
     u = g.select("time", "eta", F.col("xi").alias("xi_u"), F.col("value").alias("u"))
@@ -141,7 +149,7 @@ def isotherm_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
     return workloads.horizontal_gradient(cells, [], "temp", "xi", "pm").select("eta", "xi", "level", r6("gradient"))
 
 
-@query()
+@query(f"WITH {PROFILES} SELECT cell, round(h / 100, 6) AS mean, round(h / 100, 6) AS target FROM profiles")
 def mixed_layer_transport(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Profiles shifted to a given depth mean, and their new depth mean."""
     p = _with_levels(spark, sf_dir).withColumn("moved", vertical.conserve_transport("temp", "z_w", F.col("h") / 100))
