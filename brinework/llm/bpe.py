@@ -7,7 +7,7 @@ numpy rows, so one round of array operations makes one merge in each of them.
 
 Whole texts are cut before a single space or line feed between other characters. No pre-token of
 the byte-level pattern crosses such a place, so the ids of the parts, joined, are the ids of the text; parts
-that repeat are looked up in a bounded table of each worker.
+that repeat are looked up in a bounded table of each task.
 """
 
 from __future__ import annotations
@@ -26,8 +26,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Parts, and pre-tokens, that a worker remembers; what it has not met lately goes, and longer ones are not stored.
-MAX_PARTS, MAX_PART_CHARS = 450_000, 40
+from brinework.llm.common import released
+
+#: Parts, and pre-tokens, that a task remembers; what it has not met lately goes, and longer ones are not stored.
+MAX_PARTS, MAX_PART_CHARS = 900_000, 40
 #: Symbols that step together.
 MAX_CELLS = 1 << 16
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -93,6 +95,10 @@ class SegmentTreeBPE:
         self.digits = _blob([b"%d," % i for i in range(size)])
         self.pattern = regex.compile(PATTERN)
         self.cut_special = regex.compile("|".join(map(re.escape, self.special))) if self.special else None
+        self.forget()
+
+    def forget(self) -> None:
+        """Empties the tables of what was met; a task starts and ends with empty ones."""
         self.known = Table()
         self.pretokens = Table()
 
@@ -296,6 +302,7 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = tokenizer(path)
+        codec.forget()
         for whole in batches:
             for b in slices(whole, 1):
                 rows = codec.encode([t.as_py() or "" for t in b.column(1)])
@@ -305,8 +312,9 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "
                     [b.column(0), pa.array([len(r) for r in rows], pa.int64()), pa.array(listed, pa.string()), pa.array(texts, pa.string())],
                     names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"],
                 )
+        codec.forget()
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col), F.col(text).alias("__text")).mapInArrow(
-        run, f"`{id_col}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+        released(run), f"`{id_col}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     )

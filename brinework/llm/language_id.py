@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brinework.llm.bpe import slices
+from brinework.llm.common import checkpoint, released
 
 ORDERS = (2, 3, 4)
 MIN_SHARE = 0.25
@@ -165,9 +166,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str
     Only the filter's slots reach the driver: at most one row for each slot and eight languages.
     """
     rows = docs.where(~in_fold(id_col)).select(F.col(lang).alias("lang"), F.col(text).alias("text")).dropna()
-    counts = rows.mapInArrow(_counts, "lang string, mark bigint, n bigint").groupBy("lang", "mark").agg(F.sum("n").alias("n"))
-    from brinework.llm.common import checkpoint
-
+    counts = rows.mapInArrow(released(_counts), "lang string, mark bigint, n bigint").groupBy("lang", "mark").agg(F.sum("n").alias("n"))
     counts = checkpoint(counts)
     totals = {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     languages = sorted(totals)
@@ -213,7 +212,7 @@ def identify(docs: DataFrame, model: Filter, id_col: str = "doc_id", text: str =
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col), in_fold(id_col).alias("__held"), F.col(text).alias("__text")).mapInArrow(
-        run, f"`{id_col}` {kind}, held_out boolean, lang_pred string, score double"
+        released(run), f"`{id_col}` {kind}, held_out boolean, lang_pred string, score double"
     )
 
 
@@ -228,4 +227,4 @@ def keep_known(docs: DataFrame, model: Filter, min_score: float, text: str = "te
                 label, score = shared.value.predict(b.column(at).to_pylist())
                 yield b.filter(pa.array([g != UNKNOWN and s >= min_score for g, s in zip(label, score)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brinework.llm.bpe import Table, part_text, parts_of, slices
-from brinework.llm.common import checkpoint
+from brinework.llm.common import checkpoint, released
 
 CAPACITY = 2048
 #: Pieces that one task packs; tasks are dealt round-robin, so every task sees the mix of the corpus.
@@ -40,7 +40,7 @@ def _library(path: str):
     length = np.zeros(t.get_vocab_size(), np.int64)  # in bytes; a character of a byte-level token stands for a byte
     for token, i in t.get_vocab().items():
         length[i] = len(token)
-    return t, [a.content for a in t.get_added_tokens_decoder().values()], length, Table()
+    return t, [a.content for a in t.get_added_tokens_decoder().values()], length
 
 
 def _encode_parts(parts: list, lib, length: np.ndarray, known: Table) -> list[bytes]:
@@ -75,9 +75,10 @@ def _encode_parts(parts: list, lib, length: np.ndarray, known: Table) -> list[by
     return [values[p] for p in parts]
 
 
-def encode(texts: list[str], path: str) -> list[np.ndarray]:
-    """Ids of whole texts by the tokenizers library; repeated parts are looked up in a bounded table."""
-    lib, specials, length, known = _library(path)
+def encode(texts: list[str], path: str, known: Table | None = None) -> list[np.ndarray]:
+    """Ids of whole texts by the tokenizers library; repeated parts are looked up in a bounded table, which a task passes from call to call."""
+    lib, specials, length = _library(path)
+    known = Table() if known is None else known
     # the library cuts a text at its special tokens first, so such a text is one part
     rows = [[(t,)] if any(s in t for s in specials) else parts_of(t) for t in texts]
     return [np.frombuffer(x, "<u4") for x in known.rows(rows, lambda new: _encode_parts(new, lib, length, known))]
@@ -94,10 +95,11 @@ def pieces(docs: DataFrame, path: str, end_id: int = 0, capacity: int = CAPACITY
     end = np.array([end_id], "<u4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Table()
         for whole in batches:
             for b in slices(whole, 1):
                 out: list[tuple[int, int, int, int, int]] = []
-                for row, ids in enumerate(encode([t.as_py() or "" for t in b.column(1)], path)):
+                for row, ids in enumerate(encode([t.as_py() or "" for t in b.column(1)], path, known)):
                     raw = np.append(ids, end).astype("<u4").tobytes()
                     for k, (s, n) in enumerate(cut(len(raw) // 4, capacity)):
                         out.append((row, k, s, n, zlib.crc32(raw[4 * s : 4 * (s + n)])))
@@ -108,7 +110,7 @@ def pieces(docs: DataFrame, path: str, end_id: int = 0, capacity: int = CAPACITY
                 )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col), F.col(text).alias("__text")).mapInArrow(run, f"`{id_col}` {kind}, {PIECES}")
+    return docs.select(F.col(id_col), F.col(text).alias("__text")).mapInArrow(released(run), f"`{id_col}` {kind}, {PIECES}")
 
 
 def best_fit(
@@ -171,7 +173,7 @@ def pack(parts: DataFrame, **limits) -> DataFrame:
             yield from t.append_column("offset", pa.array(offsets)).to_batches(max_chunksize=10_000)
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in parts.schema), "sequence_id bigint, offset bigint"])
-    return parts.repartition(n).mapInArrow(run, schema)
+    return parts.repartition(n).mapInArrow(released(run), schema)
 
 
 def pack_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text", **limits) -> DataFrame:

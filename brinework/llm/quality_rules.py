@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from brinework.llm.common import released
+
 #: The classifier is fitted on at most this many labelled documents, those with the smallest hashes of their ids.
 MAX_SAMPLE = 20_000
 #: A document passes when its probability of good quality is at least this.
@@ -210,7 +212,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
 
     # the bound holds for the rows too, should ids repeat in the documents
     got = (
-        rows.mapInArrow(features, f"i {labels.schema[id_col].dataType.simpleString()}, y double, x array<double>")
+        rows.mapInArrow(released(features), f"i {labels.schema[id_col].dataType.simpleString()}, y double, x array<double>")
         .orderBy(F.xxhash64("i"), "i", "y", F.xxhash64("x"))
         .limit(max_sample)
         .collect()
@@ -250,7 +252,7 @@ def judge(docs: DataFrame, model: Forest | None, id_col: str = "doc_id", text: s
     kind = docs.schema[id_col].dataType.simpleString()
     counts = ", ".join(f"{c} bigint" for c in BASE)
     return docs.select(F.col(id_col), F.col(text).alias("__text")).mapInArrow(
-        run, f"`{id_col}` {kind}, {counts}, base_failed boolean, kept boolean, probability double"
+        released(run), f"`{id_col}` {kind}, {counts}, base_failed boolean, kept boolean, probability double"
     )
 
 
@@ -261,4 +263,4 @@ def keep_good(docs: DataFrame, model: Forest | None, text: str = "text") -> Data
         for b in batches:
             yield b.filter(pa.array(verdicts((t.as_py() for t in b.column(b.schema.get_field_index(text))), model)[3]))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)

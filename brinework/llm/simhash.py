@@ -17,10 +17,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from brinework.llm.common import checkpoint, components, pmod_hash
+from brinework.llm.common import checkpoint, components, pmod_hash, released
 
 RADIUS = 4
 SHINGLE = 4
@@ -73,7 +73,7 @@ def fingerprints(docs: DataFrame, text: str = "text", name: str = "fingerprint",
     """Adds the fingerprint as a signed long; the text goes unless it is kept."""
     rest = docs if keep_text else docs.drop(text)
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema), f"`{name}` bigint"])
-    return docs.mapInArrow(lambda it: _with_fingerprints(it, text, name, keep_text), schema)
+    return docs.mapInArrow(released(lambda it: _with_fingerprints(it, text, name, keep_text)), schema)
 
 
 def block_masks(radius: int = RADIUS) -> list[int]:
@@ -233,8 +233,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", radius
         .agg(F.min_by(F.struct("id", "fingerprint"), F.struct(F.col("id").isNull(), "id", "fingerprint")).alias("s"))
         .select(F.col("s.id").alias("__id"), F.col("s.fingerprint").alias("__mark"))
     )
-    from pyspark.sql import Window
-
     return (
         marked.join(stays, marked[id_col].eqNullSafe(stays["__id"]) & (marked[mark] == stays["__mark"]), "left_semi")
         .withColumn(one, F.row_number().over(Window.partitionBy(id_col, mark).orderBy(F.lit(0))))
