@@ -268,12 +268,13 @@ def distances(spark: SparkSession, sf_dir: str) -> DataFrame:
 b AS (SELECT p_partkey, au * cos(radians(pu)) AS ur, -au * sin(radians(pu)) AS ui, av * cos(radians(pv)) AS vr, -av * sin(radians(pv)) AS vi FROM a),
 c AS (SELECT p_partkey, sqrt(((ur - vi) / 2) ** 2 + ((ui + vr) / 2) ** 2) AS wp, sqrt(((ur + vi) / 2) ** 2 + ((vr - ui) / 2) ** 2) AS wm, atan2((ui + vr) / 2, (ur - vi) / 2) AS tp, atan2((vr - ui) / 2, (ur + vi) / 2) AS tm FROM b)
 SELECT p_partkey, round(wp + wm, 6) AS semi_major, round((wp - wm) / (wp + wm), 6) AS eccentricity,
-round(CASE WHEN tm + tp < 0 THEN degrees((tm + tp) / 2) + 360 ELSE degrees((tm + tp) / 2) END, 6) AS inclination, round(CASE WHEN tm - tp < 0 THEN degrees((tm - tp) / 2) + 360 ELSE degrees((tm - tp) / 2) END, 6) AS phase FROM c"""
+round(CASE WHEN tm + tp < 0 THEN degrees((tm + tp) / 2) + 360 ELSE degrees((tm + tp) / 2) END, 6) % 360 AS inclination, round(CASE WHEN tm - tp < 0 THEN degrees((tm - tp) / 2) + 360 ELSE degrees((tm - tp) / 2) END, 6) % 360 AS phase FROM c"""
 )
 def tidal_ellipses(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("p_partkey")
     got = physics.tidal_ellipse(F.col("p_size") / 10, (k % 360).cast("double"), F.col("p_retailprice") / 1000, (k * 7 % 360).cast("double"))
-    return table(spark, sf_dir, "part").select("p_partkey", *[r6(c, n) for n, c in got.items()])
+    turns = {n: F.round(got[n], 6) % 360 for n in ("inclination", "phase")}  # rounding may reach a whole turn
+    return table(spark, sf_dir, "part").select("p_partkey", *[r6(c, n) for n, c in (got | turns).items()])
 
 
 def _tide_sql() -> str:
