@@ -16,6 +16,8 @@ from brinework.llm.queries import tokenizer_path
 
 #: A document in one of the learned languages scores well above this; text of no language does not.
 MIN_LANGUAGE_SCORE = 0.3
+#: Near copies: texts whose sets of five-word shingles have this Jaccard index or more.
+SHINGLE, SIMILARITY = 5, 0.8
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +30,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.keep_one(docs)
+    return simhash.keep_one(docs, shingle=SHINGLE, similarity=SIMILARITY)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
