@@ -181,21 +181,39 @@ def triangle_weights(grid: DataFrame, cells: DataFrame, tile: float) -> DataFram
 
 
 def fill_nearest(df: DataFrame, by: list[str], value: str, tile: int, reach: int) -> DataFrame:
-    """Missing cells take the value of the nearest valid cell of their group in index space, within ``reach`` tiles; others stay.
+    """Missing cells take the value of the nearest valid cell of their group in index space; a group without one stays missing.
 
-    Of equals the first in (eta, xi) order.
+    Of equals the first in (eta, xi) order. Cells meet within ``reach`` tiles; for cells with no
+    valid one surely nearest there, the tiles grow until every cell is reached. Only valid cells
+    beside one that is not are sent: a step from any other leads to a nearer valid one.
     """
-    tiled = df.withColumn("__te", F.floor(F.col("eta") / tile)).withColumn("__tx", F.floor(F.col("xi") / tile))
-    known = tiled.where(F.col(value).isNotNull()).select(*by, "__te", "__tx", F.col("eta").alias("__e"), F.col("xi").alias("__x"), F.col(value).alias("__v"))
+    cells = df.select(*by, "eta", "xi", value)
+    known = cells.where(F.col(value).isNotNull())
+    sides = F.array(*[F.struct((F.col("eta") + de).alias("eta"), (F.col("xi") + dx).alias("xi"), F.lit(1 << k).alias("__s")) for k, (de, dx) in enumerate(((0, 1), (0, -1), (1, 0), (-1, 0)))])
+    inner = known.select(*by, F.explode(sides).alias("__c")).groupBy(*by, "__c.eta", "__c.xi").agg(F.bit_or("__c.__s").alias("__s")).where("__s = 15").drop("__s")
+    edge = known.join(inner, [*by, "eta", "xi"], "left_anti").select(*by, F.col("eta").alias("__e"), F.col("xi").alias("__x"), F.col(value).alias("__v"))
+    todo = cells.where(F.col(value).isNull()).select(*by, "eta", "xi")
+    box = cells.agg(F.max("eta") - F.min("eta"), F.max("xi") - F.min("xi")).first()
+    span = max(x or 0 for x in box)
     around = F.sequence(F.lit(-reach), F.lit(reach))
-    missing = (
-        tiled.where(F.col(value).isNull())
-        .withColumn("__te", F.explode(F.transform(around, lambda k: F.col("__te") + k)))
-        .withColumn("__tx", F.explode(F.transform(around, lambda k: F.col("__tx") + k)))
-    )
     gap = (F.col("eta") - F.col("__e")) ** 2 + (F.col("xi") - F.col("__x")) ** 2
-    best = missing.join(known, [*by, "__te", "__tx"]).groupBy(*by, "eta", "xi").agg(F.min_by("__v", F.struct(gap, "__e", "__x")).alias("__v"))
-    return df.join(best, [*by, "eta", "xi"], "left").withColumn(value, F.coalesce(value, "__v")).drop("__v")
+    found = None
+    while True:
+        at = lambda c: F.floor(F.col(c) / tile)  # noqa: B023, E731
+        missing = todo.withColumn("__te", F.explode(F.transform(around, lambda k: at("eta") + k))).withColumn("__tx", F.explode(F.transform(around, lambda k: at("xi") + k)))
+        near = (
+            missing.join(edge.withColumns({"__te": at("__e"), "__tx": at("__x")}), [*by, "__te", "__tx"])
+            .groupBy(*by, "eta", "xi")
+            .agg(F.min_by("__v", F.struct(gap, "__e", "__x")).alias("__v"), F.min(gap).alias("__gap"))
+        )
+        last = reach * tile >= span
+        sure = (near if last else near.where(F.col("__gap") <= (reach * tile) ** 2)).drop("__gap")
+        found = sure if found is None else found.unionByName(sure)
+        todo = todo.join(sure, [*by, "eta", "xi"], "left_anti")
+        if last or todo.isEmpty():
+            break
+        tile *= 4
+    return df.join(found, [*by, "eta", "xi"], "left").withColumn(value, F.coalesce(value, "__v")).drop("__v")
 
 
 def coarsen(points: DataFrame, cells: DataFrame, width: float, value: str) -> DataFrame:
