@@ -28,7 +28,7 @@ def _folder(spark: SparkSession) -> str:
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table(spark, sf_dir, "events").schema
-    stream = jobs.read_stream(spark, f"{sf_dir}/events.parque[t]", schema)
+    stream = jobs.read_stream(spark, f"{sf_dir}/events.parque[t]", schema, None)
     return jobs.as_events(stream.select("event_id", "user_id", "ts", "value"), "ts", LATE)
 
 
@@ -96,9 +96,9 @@ def stream_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT user_id, count(*) AS n, round(max(value), 6) AS top FROM events GROUP BY ALL")
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each batch overwrites the partitions that it holds; one batch holds all here."""
+    """Each batch is merged by event into its users' partitions."""
     folder = _folder(spark)
-    jobs.upsert(_events(spark, sf_dir), f"{folder}/out", f"{folder}/state", "user_id").awaitTermination()
+    jobs.upsert(_events(spark, sf_dir), f"{folder}/out", f"{folder}/state", "user_id", ["event_id"]).awaitTermination()
     got = spark.read.parquet(f"{folder}/out")
     return got.groupBy(F.col("user_id").cast("bigint").alias("user_id")).agg(F.count(F.lit(1)).alias("n"), F.round(F.max("value"), 6).alias("top"))
 

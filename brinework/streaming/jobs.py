@@ -8,14 +8,17 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
 
-def read_stream(spark: SparkSession, path: str, schema: StructType, files_per_trigger: int = 1) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
+def read_stream(spark: SparkSession, path: str, schema: StructType, files_per_trigger: int | None = 1) -> DataFrame:
+    """Files as a stream; with None all that are there make one batch, so that none is late beside another."""
+    reader = spark.readStream.schema(schema)
+    return (reader if files_per_trigger is None else reader.option("maxFilesPerTrigger", files_per_trigger)).parquet(path)
 
 
 def as_events(df: DataFrame, time: str, late: str) -> DataFrame:
@@ -50,7 +53,7 @@ def against_climatology(daily: DataFrame, clim: DataFrame, keys: list[str], day:
 
 
 def _runs(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState, min_duration: int, max_gap: int, names: list[str]) -> Iterator[pd.DataFrame]:
-    first, last, length, gap, peak = state.get if state.exists else (-1, -1, 0, 0, 0.0)
+    first, last, length, peak = state.get if state.exists else (-1, -1, 0, 0.0)
     rows = pd.concat(list(batches)).sort_values("position") if not state.hasTimedOut else pd.DataFrame({"position": [], "excess": []})
     closed = []
 
@@ -59,25 +62,26 @@ def _runs(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState, min_du
             closed.append((*key, int(first), int(last), int(length), float(peak)))
 
     for position, excess in zip(rows.get("position", ()), rows.get("excess", ())):
-        if length and position == last:  # a second record of a day that counts already
+        if length and first <= position <= last:  # a day of the run, once more or late
             peak = max(peak, excess)
+        elif excess > 0 and length and position < first and first - position - 1 <= max_gap:
+            first, peak = position, max(peak, excess)
+            length = last - first + 1
         elif excess > 0:
-            if length and gap <= max_gap:
-                length += gap + 1
+            if length and position - last - 1 <= max_gap:
+                length = position - first + 1
             else:
                 close()
                 first, length, peak = position, 1, 0.0
-            last, gap, peak = position, 0, max(peak, excess)
-        elif length:
-            gap += 1
-            if gap > max_gap:
-                close()
-                length = 0
+            last, peak = position, max(peak, excess)
+        elif length and position - last - 1 > max_gap:  # a further reading of the day just after the gap may still bridge it
+            close()
+            length = 0
     if state.hasTimedOut:
         close()
         state.remove()
     else:
-        state.update((int(first), int(last), int(length), int(gap), float(peak)))
+        state.update((int(first), int(last), int(length), float(peak)))
         if state.getCurrentWatermarkMs() >= 0:
             state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + 86_400_000 * (max_gap + 1))
     if closed:
@@ -87,21 +91,30 @@ def _runs(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState, min_du
 def event_runs(daily: DataFrame, key: str, min_duration: int = 5, max_gap: int = 2) -> DataFrame:
     """(key, first, last, length, peak) of each closed event in a stream of (key, position, excess, time).
 
-    The state of a key is its open run and gap; a run is emitted when its gap outgrows
-    ``max_gap``, or when the watermark passes it.
+    The state of a key is its open run. Gaps are counted in positions, so missing days count and
+    several readings of a day are one: it exceeds if any does. A run is emitted when its gap
+    outgrows ``max_gap``, or when the watermark passes it.
     """
     return daily.groupBy(key).applyInPandasWithState(
         lambda k, it, s: _runs(k, it, s, min_duration, max_gap, [key]),
         f"{key} {daily.schema[key].dataType.simpleString()}, first bigint, last bigint, length bigint, peak double",
-        "first bigint, last bigint, length bigint, gap bigint, peak double",
+        "first bigint, last bigint, length bigint, peak double",
         "append",
         GroupStateTimeout.EventTimeTimeout,
     )
 
 
-def upsert(df: DataFrame, path: str, checkpoint: str, partition: str):
-    """Writes each batch over the partitions that it holds."""
+def upsert(df: DataFrame, path: str, checkpoint: str, partition: str, keys: list[str]):
+    """Merges each batch by key into the partitions that it holds: rows of its keys are replaced, the others stay."""
     def write(batch: DataFrame, _: int) -> None:
+        try:
+            held = batch.sparkSession.read.schema(df.schema).parquet(path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+        else:
+            stays = held.join(batch.select(partition).distinct(), partition, "left_semi").join(batch.select(*keys).distinct(), keys, "left_anti")
+            batch = batch.unionByName(stays)
         batch.write.partitionBy(partition).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
     return df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).outputMode("append").start()
