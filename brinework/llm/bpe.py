@@ -259,9 +259,6 @@ class Table:
             self.old, self.young = self.young, {}
         return out
 
-    def get(self, key) -> bytes | None:
-        return self.young.get(key) or self.old.get(key)
-
 
 def _blob(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     length = np.fromiter(map(len, words), np.int64, len(words))

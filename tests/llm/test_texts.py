@@ -6,6 +6,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -208,6 +209,41 @@ def test_every_constraint(rule):
         packing.best_fit(np.array([101]), 100)
 
 
+@pytest.mark.parametrize("rule", ["norm", "dot"])
+def test_each_residual_decides(rule):
+    """A piece goes elsewhere if the weight of documents or of attention is taken out."""
+    lengths = np.random.default_rng(3).integers(1, 600, 500)
+    full = packing.best_fit(lengths, rule=rule)[0]
+    for weights in ((1, 0, 0.1), (1, 0.1, 0), (0, 0.1, 0.1)):
+        assert (packing.best_fit(lengths, weights=weights, rule=rule)[0] != full).any()
+
+
+def test_documents_bind(spark):
+    """The limits of the query: sequences of tiny pieces alone stop at the document capacity."""
+    lengths = [1] * 300 + [2048] * 20
+    table = spark.createDataFrame(list(enumerate(lengths)), "id int, length bigint")
+    rows = packing.pack(table).collect()
+    held = collections.Counter(r.sequence_id for r in rows)
+    assert max(held.values()) == packing.MIN_DOCUMENTS and len(held) == 20 + -(-300 // packing.MIN_DOCUMENTS)
+    rows = packing.pack(table.where("length = 1")).collect()  # nothing but tiny pieces: the capacity follows
+    assert len({r.sequence_id for r in rows}) == 1
+
+
+def test_open_sequences_meet(spark):
+    """Sequences that tasks leave part full are packed together."""
+    lengths = np.random.default_rng(5).integers(1, 700, 4000)
+    table = spark.createDataFrame([(i, int(n), 7, 8) for i, n in enumerate(lengths)], "id int, length bigint, sequence_id int, offset int")
+    rows = packing.pack(table, task_pieces=100).collect()
+    assert sorted((r.id, r.length) for r in rows) == list(enumerate(lengths.tolist()))
+    by_bin = collections.defaultdict(list)
+    for r in rows:
+        by_bin[r.sequence_id].append((r.offset, r.length))
+    for own in by_bin.values():
+        own.sort()
+        assert all(a + n == b for (a, n), (b, _) in zip(own, own[1:])) and own[0][0] == 0 and sum(n for _, n in own) <= 2048
+    assert len(by_bin) <= -(-int(lengths.sum()) // 2048) * 1.01 + 1
+
+
 # filters
 def test_rules(spark):
     urls = ["http://net/", "http://NET", "http://a.net/x?q", "http://example.net/en/1", "http://xexample.net/en/1", "http://m.example.com/de/", "http://b.org/fr/#t", "http://org.b/fr/", None, "no", "x://u@A.org:80/fr/"]
@@ -283,8 +319,11 @@ def test_odd_texts():
     odd += ["".join(rng.choice(list("ab .,\n\t\u00e9'1<"), size=60)) for _ in range(300)]
     for t in odd:
         ids = lib.encode(t, add_special_tokens=False).ids
-        assert codec.encode([t])[0].tolist() == ids and packing.encode([t], queries.tokenizer_path())[0].tolist() == ids, t
+        assert codec.encode([t])[0].tolist() == ids and packing.encode(pa.array([t]), queries.tokenizer_path())[0].tolist() == ids, t
         assert codec.decode(np.array(ids, np.int64)) == lib.decode(ids, skip_special_tokens=False)
+    ids, ends = packing.encode(pa.array([*odd, None]), queries.tokenizer_path())
+    each = [lib.encode(t, add_special_tokens=False).ids for t in odd]
+    assert ids.tolist() == [i for e in each for i in e] and ends.tolist() == [*np.cumsum(list(map(len, each))), len(ids)]
 
 
 def test_small_tables_stay_right(monkeypatch):
