@@ -1,39 +1,38 @@
 """Sharding by fixed virtual slots and a versioned slot-to-shard map. Built-in functions only.
 
-A record's slot is a hash of its key and never changes. The map of version ``n`` places every
-slot for ``n`` shards: a slot joins shard j when its j-th draw is below 1/(j+1), and the last
-shard that it joined holds it. Hence version n+1 differs from version n only in slots that move
-into the new shard. ``rebalance`` edits a map by the bytes that each slot holds.
+A record's virtual slot is a hash of its key and never changes. The bytes of each slot are summed,
+and a stored map places every slot on a shard. Its first version deals the slots out in turn;
+``rebalance`` makes the next version by editing the last one, from the bytes that the slots hold:
+slots stay where they are up to a fair share, and the others go, largest first, to the shard that
+holds least. A change of the number of shards is the same edit.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from brinework.llm.common import checkpoint, shared_folder
+
 SLOTS = 4096
 SHARDS = 16
+#: Rows of a virtual slot that one task puts in order; a slot with more is cut into parts.
+PART_ROWS = 1_000_000
+#: A table of this many places at most is broadcast.
+MAX_BROADCAST_ROWS = 200_000
 
 
-def _hex_number(digest: Column, start: int) -> Column:
-    return F.conv(F.substring(digest, start, 8), 16, 10).cast("bigint")
-
+def slot_of(slots: int, *key: Column) -> Column:
+    """Virtual slot of a key; a null counts as the empty string."""
+    digest = F.md5(F.concat_ws(" ", *[F.coalesce(k.cast("string"), F.lit("")) for k in key]))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % slots
 
-def slot_of(key: Column, slots: int = SLOTS) -> Column:
-    """Virtual slot of a key; a null key has the slot of the empty string."""
-    return _hex_number(F.md5(F.coalesce(key.cast("string"), F.lit(""))), 1) % slots
 
-
-def slot_map(spark: SparkSession, versions: list[int], slots: int = SLOTS) -> DataFrame:
-    """(version, slot, shard) for each number of shards in ``versions``."""
-    draw = lambda slot, j: _hex_number(F.md5(F.concat(F.lit("slot "), slot.cast("string"), F.lit(" shard "), j.cast("string"))), 1)
-    joined = F.filter(F.sequence(F.lit(0), F.col("version") - 1), lambda j: draw(F.col("slot"), j) * (j + 1) < (1 << 32))
-    return (
-        spark.range(slots)
-        .withColumnRenamed("id", "slot")
-        .withColumn("version", F.explode(F.array(*map(F.lit, versions))))
-        .select("version", "slot", F.array_max(joined).alias("shard"))
-    )
+def first_map(spark: SparkSession, shards: int = SHARDS, slots: int = SLOTS) -> DataFrame:
+    """Version 1 of a map: (version, slot, shard), the slots dealt out in turn."""
+    return spark.range(slots).select(F.lit(1).alias("version"), F.col("id").alias("slot"), (F.col("id") % shards).cast("int").alias("shard"))
 
 
 def slot_bytes(records: DataFrame, slot: str = "virtual_slot", size: str = "size") -> DataFrame:
@@ -41,85 +40,89 @@ def slot_bytes(records: DataFrame, slot: str = "virtual_slot", size: str = "size
     return records.groupBy(F.col(slot).alias("slot")).agg(F.sum(size).alias("bytes"), F.count(F.lit(1)).alias("rows"))
 
 
+def _to_least(loads: Column, movers: Column) -> Column:
+    """The shard of each of the movers (bytes, slot): in order, the shard that holds least, of equals the first."""
+
+    def place(state: Column, mover: Column) -> Column:
+        least = F.array_position(state["loads"], F.array_min(state["loads"])).cast("int") - 1
+        grown = F.transform(state["loads"], lambda load, shard: load + F.when(shard == least, mover["bytes"]).otherwise(F.lit(0)))
+        return F.struct(grown.alias("loads"), F.concat(state["to"], F.array(least)).alias("to"))
+
+    start = F.struct(loads.alias("loads"), F.array().cast("array<int>").alias("to"))
+    return F.aggregate(movers, start, place, lambda state: state["to"])
+
+
 def rebalance(slots: DataFrame, held: DataFrame, shards: int) -> DataFrame:
-    """Edits a map (version, slot, shard) by the bytes held: (version + 1, slot, shard).
+    """Edits a map (version, slot, shard) by the bytes held (slot, bytes): (version + 1, slot, shard).
 
-    Each shard keeps slots up to its fair share of the bytes, largest first; the others go, in
-    order of size, to the free room of the shards. Only the few thousand slots are windowed.
+    Each shard keeps slots, largest first, while they sum to its fair share at most; a shard that is
+    no longer there keeps none. The others move, largest first, each to the shard that then holds
+    least. Slots without records stay if their shard does. Only the few thousand slots are windowed
+    and listed, never records.
     """
     w = Window.partitionBy("shard").orderBy(F.desc("bytes"), "slot")
     known = slots.join(held.select("slot", "bytes"), "slot", "left").withColumn("bytes", F.coalesce("bytes", F.lit(0)))
     total = known.agg(F.sum("bytes").alias("all_bytes"))
-    placed = (
-        known.crossJoin(F.broadcast(total))
-        .withColumn("fair", F.col("all_bytes") / shards)
-        .withColumn("stays", (F.sum("bytes").over(w) <= F.col("fair")) & (F.col("shard") < shards))
-    )
-    spark = slots.sparkSession
-    kept = placed.where("stays").groupBy("shard").agg(F.sum("bytes").alias("kept"))
-    one = Window.orderBy("shard")
-    room = (
-        spark.range(shards).select(F.col("id").cast("int").alias("shard"))
-        .join(kept, "shard", "left")
-        .crossJoin(F.broadcast(total))
-        .withColumn("free", F.col("all_bytes") / shards - F.coalesce("kept", F.lit(0)))
-        .withColumn("to", F.sum("free").over(one))
-        .select(F.col("shard").alias("new_shard"), (F.col("to") - F.col("free")).alias("from"), "to")
-    )
-    moving = placed.where(~F.col("stays")).withColumn(
-        "middle", F.sum("bytes").over(Window.orderBy(F.desc("bytes"), "slot")) - F.col("bytes") / 2
+    placed = known.crossJoin(F.broadcast(total)).withColumn(
+        "stays", (F.col("shard") < shards) & ((F.col("bytes") == 0) | (F.sum("bytes").over(w) * shards <= F.col("all_bytes")))
     )
+    load = [F.sum(F.when(F.col("stays") & (F.col("shard") == s), F.col("bytes")).otherwise(0)) for s in range(shards)]
+    movers = F.collect_list(F.when(~F.col("stays"), F.struct((-F.col("bytes")).alias("minus"), "slot", "bytes")))
     moved = (
-        moving.join(F.broadcast(room), (F.col("middle") >= F.col("from")) & (F.col("middle") < F.col("to")), "left")
-        .groupBy("version", "slot", "bytes")
-        .agg(F.coalesce(F.min("new_shard"), F.lit(shards - 1)).alias("shard"))
-    )
-    return placed.where("stays").select("version", "slot", "shard").unionByName(moved.select("version", "slot", "shard")).select(
-        (F.col("version") + 1).alias("version"), "slot", "shard"
+        placed.groupBy("version")
+        .agg(F.array(*load).alias("loads"), F.sort_array(movers).alias("movers"))
+        .withColumn("to", _to_least(F.col("loads"), F.col("movers")))
+        .select("version", F.explode(F.arrays_zip("movers", "to")).alias("m"))
+        .select("version", "m.movers.slot", F.col("m.to").alias("shard"))
     )
+    return placed.where("stays").select("version", "slot", "shard").unionByName(moved).select((F.col("version") + 1).alias("version"), "slot", "shard")
+
 
+def stored_maps(held: DataFrame, shards: int, slots: int, folder: str) -> DataFrame:
+    """Writes version 1 of a map and its rebalanced version 2 to a folder, a partition for each version, and reads them again."""
+    spark = held.sparkSession
+    first_map(spark, shards, slots).write.partitionBy("version").parquet(folder)
+    rebalance(spark.read.parquet(folder), held, shards).write.partitionBy("version").mode("append").parquet(folder)
+    return spark.read.parquet(folder)
 
-def assign(records: DataFrame, shards: int = SHARDS, slots: int = SLOTS, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per record: (id, size, text_crc32, law, shard, slot, grown_shard, virtual_slot).
 
-    The law is ``key``: the id and the number of shards decide. size is the UTF-8 bytes of the
-    text plus one (null: one), text_crc32 the checksum of the text (null: of nothing), slot the
-    record's place in its shard, without gaps from 0, in order of virtual slot, id, checksum and size.
-    Repeated rows get a place each; other columns are not read. Places come from counts per
-    virtual slot (a bounded table) and a row number inside each virtual slot.
+def assign(records: DataFrame, shards: int = SHARDS, slots: int = SLOTS, id_col: str = "doc_id", text: str = "text", maps: str | None = None) -> DataFrame:
+    """One row per record: (id, size, text_crc32, law, shard, slot, grown_shard, virtual_slot, version).
+
+    The law is ``bytes``: the sizes of the shards are as near to equal as whole virtual slots allow,
+    by version 2 of the map that is stored in the folder ``maps`` (a new one in the shared folder, if
+    none is given). size is the UTF-8 bytes of the text plus one (null: one), text_crc32 the checksum
+    of the text (null: of nothing), slot the record's place in its shard, without gaps from 0, in
+    order of virtual slot, id, checksum and size; grown_shard is null under this law. Repeated rows get a
+    place each, an empty table gives an empty one, other columns are not read. The virtual slot is a
+    hash of id, checksum and size, so rows that share an id or a null one spread too. Places come
+    from counts per part of a virtual slot and a row number inside it.
     """
-    spark = records.sparkSession
-    now, grown = (
-        slot_map(spark, [n], slots).select(F.col("slot").alias("virtual_slot"), F.col("shard").cast("int").alias(name))
-        for n, name in ((shards, "shard"), (shards + 1, "grown_shard"))
-    )
     raw = F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8")
-    rows = records.select(
-        F.col(id_col).alias("id"),
-        (F.length(raw) + 1).cast("bigint").alias("size"),
-        F.crc32(raw).alias("text_crc32"),
-        slot_of(F.col(id_col), slots).alias("virtual_slot"),
-    )
-    counts = rows.groupBy("virtual_slot").agg(F.count(F.lit(1)).alias("rows"))
-    shard_order = Window.partitionBy("shard").orderBy("virtual_slot")
-    places = (
-        now.join(grown, "virtual_slot")
-        .join(counts, "virtual_slot")
-        .withColumn("first", F.sum("rows").over(shard_order) - F.col("rows"))
-        .drop("rows")
-    )
-    inside = Window.partitionBy("virtual_slot").orderBy("id", "text_crc32", "size")
+    rows = records.select(F.col(id_col).alias("id"), (F.length(raw) + 1).cast("bigint").alias("size"), F.crc32(raw).alias("text_crc32"))
+    rows = rows.withColumn("virtual_slot", slot_of(slots, F.col("id"), F.col("text_crc32"), F.col("size")))
+    held = checkpoint(slot_bytes(rows))
+    folder = maps or f"{shared_folder(records.sparkSession)}/slot-map-{uuid.uuid4().hex}"
+    stored = stored_maps(held, shards, slots, folder).where("version = 2").withColumnRenamed("slot", "virtual_slot")
+    parts = -(-(held.agg(F.max("rows")).first()[0] or 1) // PART_ROWS)
+    # parts of a slot follow the order of ids only where there is one part
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("id", "text_crc32", "size"), F.lit(parts)))
+    counts = held.select(F.col("slot").alias("virtual_slot"), F.lit(0).cast("bigint").alias("part"), "rows") if parts == 1 else rows.groupBy("virtual_slot", "part").agg(F.count(F.lit(1)).alias("rows"))
+    before = Window.partitionBy("shard").orderBy("virtual_slot", "part")
+    places = stored.join(counts, "virtual_slot").withColumn("first", F.sum("rows").over(before) - F.col("rows")).drop("rows")
+    inside = Window.partitionBy("virtual_slot", "part").orderBy("id", "text_crc32", "size")
     return (
         rows.withColumn("place", F.row_number().over(inside).cast("bigint") - 1)
-        .join(F.broadcast(places), "virtual_slot")  # a row for each virtual slot
+        .join(F.broadcast(places) if slots * parts <= MAX_BROADCAST_ROWS else places, ["virtual_slot", "part"])
         .select(
             F.col("id").alias(id_col),
             "size",
             "text_crc32",
-            F.lit("key").alias("law"),
-            "shard",
+            F.lit("bytes").alias("law"),
+            F.col("shard").cast("int").alias("shard"),
             (F.col("first") + F.col("place")).alias("slot"),
-            "grown_shard",
+            F.lit(None).cast("int").alias("grown_shard"),
             "virtual_slot",
+            F.col("version").cast("int").alias("version"),
         )
     )

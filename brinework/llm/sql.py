@@ -54,16 +54,6 @@ CASE {' '.join(cases['verdict'])} WHEN r.rate + {z} * sqrt(r.rate * (1 - r.rate)
 FROM p LEFT JOIN r_host r ON p.host = r.host"""
 
 
-def _crc_table() -> list[int]:
-    """Remainders of all bytes by the reflected polynomial."""
-    table = []
-    for n in range(256):
-        for _ in range(8):
-            n = n >> 1 ^ (0xEDB88320 if n & 1 else 0)
-        table.append(n)
-    return table
-
-
 def _crc_table() -> list[int]:
     """Remainders of the sixteen half bytes by the reflected polynomial."""
     table = []
@@ -75,17 +65,22 @@ def _crc_table() -> list[int]:
 
 
 def sharding_sql(shards: int = sharding.SHARDS, slots: int = sharding.SLOTS) -> str:
-    """crc32 half byte by half byte; fit for small tables only."""
-    number = lambda digest: f"CAST('0x' || substr(md5({digest}), 1, 8) AS BIGINT)"
-    draw = number("'slot ' || s || ' shard ' || j")
-    last = lambda n: f"list_max(list_filter(range({n}), lambda j: {draw} * (j + 1) < 4294967296))"
+    """crc32 half byte by half byte, and the edit of the map as a fold over lists; fit for small tables only."""
     at = "i + 1 - 2 * (i % 2)"  # the low half of a byte first
-    return f"""WITH m AS (SELECT s AS virtual_slot, {last(shards)} AS shard, {last(shards + 1)} AS grown FROM (SELECT unnest(range({slots})) AS s)),
-h AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS h FROM documents),
-d AS (SELECT doc_id, length(h) // 2 + 1 AS size, xor(4294967295, list_reduce([CAST(4294967295 AS BIGINT)] || list_transform(range(length(h)), lambda i: CAST(instr('0123456789abcdef', substr(h, {at} + 1, 1)) - 1 AS BIGINT)),
-    lambda c, b: xor({_crc_table()}[(xor(c, b) & 15) + 1], c >> 4))) AS text_crc32, {number("coalesce(CAST(doc_id AS VARCHAR), '')")} % {slots} AS virtual_slot FROM h)
-SELECT doc_id, CAST(size AS BIGINT) AS size, text_crc32, 'key' AS law, CAST(shard AS INT) AS shard,
-row_number() OVER (PARTITION BY shard ORDER BY virtual_slot, doc_id, text_crc32, size) - 1 AS slot, CAST(grown AS INT) AS grown_shard, virtual_slot FROM d JOIN m USING (virtual_slot)"""
+    loads = f"a[1:{shards}]"
+    return f"""WITH h AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS h FROM documents),
+c AS (SELECT doc_id, CAST(length(h) // 2 + 1 AS BIGINT) AS size, xor(4294967295, list_reduce([CAST(4294967295 AS BIGINT)] || list_transform(range(length(h)), lambda i: CAST(instr('0123456789abcdef', substr(h, {at} + 1, 1)) - 1 AS BIGINT)),
+    lambda c, b: xor({_crc_table()}[(xor(c, b) & 15) + 1], c >> 4))) AS text_crc32 FROM h),
+d AS (SELECT *, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ' ' || text_crc32 || ' ' || size), 1, 8) AS BIGINT) % {slots} AS virtual_slot FROM c),
+v1 AS (SELECT s AS virtual_slot, s % {shards} AS shard, CAST(coalesce(b, 0) AS BIGINT) AS b FROM (SELECT unnest(range({slots})) AS s) LEFT JOIN (SELECT virtual_slot, sum(size) AS b FROM d GROUP BY ALL) ON s = virtual_slot),
+k AS (SELECT *, b = 0 OR sum(b) OVER (PARTITION BY shard ORDER BY b DESC, virtual_slot) * {shards} <= sum(b) OVER () AS stays FROM v1),
+l AS (SELECT list(load ORDER BY shard) AS loads FROM (SELECT shard, CAST(coalesce(sum(b) FILTER (stays), 0) AS BIGINT) AS load FROM k GROUP BY shard)),
+o AS (SELECT list([b, virtual_slot] ORDER BY b DESC, virtual_slot) AS movers FROM k WHERE NOT stays),
+r AS (SELECT movers, list_reduce([loads] || movers, lambda a, x: list_transform({loads}, lambda load, i: load + CASE WHEN i = list_position({loads}, list_min({loads})) THEN x[1] ELSE 0 END)
+    || a[{shards + 1}:] || [CAST(list_position({loads}, list_min({loads})) - 1 AS BIGINT)]) AS done FROM l, o),
+m AS (SELECT virtual_slot, shard FROM k WHERE stays UNION ALL SELECT movers[i][2], done[{shards} + i] FROM r, (SELECT unnest(range(1, (SELECT len(movers) FROM o) + 1)) AS i))
+SELECT doc_id, size, text_crc32, 'bytes' AS law, CAST(shard AS INT) AS shard, row_number() OVER (PARTITION BY shard ORDER BY virtual_slot, doc_id, text_crc32, size) - 1 AS slot,
+CAST(NULL AS INT) AS grown_shard, virtual_slot, 2 AS version FROM d JOIN m USING (virtual_slot)"""
 
 
 ORACLE_SQL = {
