@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -15,17 +16,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of reliable checkpoints that driver and executors share.
+    """The folder of reliable checkpoints that driver and executors share: ``spark.checkpoint.dir``.
 
-    It is the session's ``spark.checkpoint.dir``; only a session without one (a local test
-    session) gets a temporary folder.
+    A session that names none gets a temporary folder if its executors are on this machine (a
+    local master, as in tests), and an error elsewhere.
     """
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-", dir="/tmp"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-checkpoint-", dir="/tmp"))
     return sc.getCheckpointDir()
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Column names like the wanted ones that the table does not have, upper or lower case."""
+    taken = {c.lower() for c in df.columns}
+    prefix = "__"
+    while any(c.startswith(prefix) for c in taken):
+        prefix += "_"
+    return [prefix + w for w in wanted]
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cuts lineage through the shared checkpoint folder, which survives lost executors."""
     shared_folder(df.sparkSession)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brinework.llm.bpe import PATTERN, byte_alphabet, part_text, parts_of, slices
-from brinework.llm.common import checkpoint, released
+from brinework.llm.common import checkpoint, free_names, released
 
 CAPACITY = 2048
 #: Pieces that one task packs; tasks are dealt round-robin, so every task sees the mix of the corpus.
@@ -37,7 +37,6 @@ WEIGHTS = (1.0, 0.1, 0.1)
 MIN_DOCUMENTS = 64
 #: Sequences of a task that are less full are taken apart and packed again with those of other tasks.
 OPEN_SHARE = 0.95
-_OPEN = "__open"
 #: Bytes of text that are encoded at once.
 SLICE = 8_000_000
 #: Two white-space characters in a row; a text without them is cut at its spaces and before its line feeds.
@@ -219,6 +218,7 @@ def pack(parts: DataFrame, capacity: int = CAPACITY, max_documents: int | None =
     if max_documents is None:
         max_documents = max(MIN_DOCUMENTS, -(-2 * total.n * capacity // (total.tokens or 1)))
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in parts.schema)
+    (still_open,) = free_names(parts, "open")
     done: list[DataFrame] = []
     tasks = max(1, -(-total.n // task_pieces))
     while True:
@@ -231,15 +231,15 @@ def pack(parts: DataFrame, capacity: int = CAPACITY, max_documents: int | None =
                 where, offsets = best_fit(lengths, capacity, max_documents, **limits)
                 first = turn << 56 | TaskContext.get().partitionId() << 24
                 t = t.append_column("sequence_id", pa.array(where + first)).append_column("offset", pa.array(offsets))
-                yield from t.append_column(_OPEN, pa.array((np.bincount(where, lengths) < OPEN_SHARE * capacity)[where])).to_batches(max_chunksize=10_000)
+                yield from t.append_column(still_open, pa.array((np.bincount(where, lengths) < OPEN_SHARE * capacity)[where])).to_batches(max_chunksize=10_000)
 
-        packed = checkpoint(parts.repartition(tasks).mapInArrow(released(run), f"{columns}, sequence_id bigint, offset bigint, `{_OPEN}` boolean"))
-        still = packed.where(_OPEN).count() if tasks > 1 else 0
+        packed = checkpoint(parts.repartition(tasks).mapInArrow(released(run), f"{columns}, sequence_id bigint, offset bigint, `{still_open}` boolean"))
+        still = packed.where(still_open).count() if tasks > 1 else 0
         fewer = -(-still // task_pieces)
         if not still or fewer > tasks // 2:
-            return reduce(DataFrame.unionByName, [*done, packed.drop(_OPEN)])
-        done.append(packed.where(~F.col(_OPEN)).drop(_OPEN))
-        parts, tasks = packed.where(_OPEN).drop("sequence_id", "offset", _OPEN), fewer
+            return reduce(DataFrame.unionByName, [*done, packed.drop(still_open)])
+        done.append(packed.where(~F.col(still_open)).drop(still_open))
+        parts, tasks = packed.where(still_open).drop("sequence_id", "offset", still_open), fewer
 
 
 def pack_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text", capacity: int = CAPACITY, **limits) -> DataFrame:

@@ -1,12 +1,13 @@
 """SimHash near-duplicates: fingerprints, shard BK-trees and components.
 
 Fingerprints that differ in at most ``radius`` bits are links. The 64 bits are cut into
-``radius + 2`` blocks; two linked fingerprints agree on at least two whole blocks, so every
-distinct fingerprint is sent to one shard for each pair of blocks. A shard holds a BK-tree
-(children keyed by their integer Hamming distance to the parent), built in the task that asks
-it, and a search follows only the edges within the radius. A shard with more than ``block_rows``
-fingerprints is cut into blocks, and each pair of blocks is a task of its own. Tasks emit a
-spanning forest, never the pairs of a group.
+``radius + agree`` blocks; two linked fingerprints agree on at least ``agree`` whole blocks, so
+every distinct fingerprint is sent to one shard for each choice of ``agree`` blocks, and more
+fingerprints call for wider keys. A shard holds a BK-tree (children keyed by their integer
+Hamming distance to the parent), built in the task that asks it, and a search follows only the
+edges within the radius. A shard with more than ``block_rows`` fingerprints is cut into blocks,
+and each pair of blocks is a task of its own. Tasks emit a spanning forest, never the pairs of a
+group.
 
 ``keep_one`` can ask for a similarity instead: links are then the pairs whose sets of shingles
 have at least that Jaccard index. Sets that agree on a band of shingle minima meet in a shard;
@@ -17,14 +18,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brinework.llm.common import checkpoint, components, pmod_hash, released
+from brinework.llm.common import checkpoint, components, free_names, pmod_hash, released
 
 RADIUS = 4
 SHINGLE = 4
@@ -124,11 +126,22 @@ def fingerprints(docs: DataFrame, text: str = "text", name: str = "fingerprint",
     return docs.mapInArrow(released(lambda it: _with_fingerprints(it, text, name, keep_text, shingle, whole_set)), schema)
 
 
-def block_masks(radius: int = RADIUS) -> list[int]:
-    """One mask for each pair of the ``radius + 2`` blocks of 64 bits."""
-    edges = [round(64 * i / (radius + 2)) for i in range(radius + 3)]
+def agreeing_blocks(fingerprints: int, radius: int = RADIUS) -> int:
+    """How many blocks a key holds: the copies of so many fingerprints and the pairs that meet by chance are fewest."""
+
+    def work(agree: int) -> float:
+        bits = 64 * agree // (radius + agree)
+        return comb(radius + agree, agree) * (1 + fingerprints / 2**bits)
+
+    return min(range(1, radius + 3), key=work)
+
+
+def block_masks(radius: int = RADIUS, agree: int = 2) -> list[int]:
+    """One mask for each choice of ``agree`` of the ``radius + agree`` blocks of 64 bits."""
+    n = radius + agree
+    edges = [round(64 * i / n) for i in range(n + 1)]
     blocks = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(edges, edges[1:])]
-    return [x | y for x, y in combinations(blocks, 2)]
+    return [sum(chosen) for chosen in combinations(blocks, agree)]
 
 
 class BKTree:
@@ -169,15 +182,6 @@ class BKTree:
 
 def forest(tree: np.ndarray, queries: np.ndarray | None, radius: int = RADIUS) -> list[tuple[int, int]]:
     """Edges that join what links within the radius connect: between the values of a tree and the queries, or within the tree."""
-    if queries is None and len(tree) <= 8:  # most shards; the same links without arrays
-        ids = list(range(len(tree)))
-        values = [int(x) for x in tree]
-        for i in range(1, len(values)):
-            for j in range(i):
-                if ids[i] != ids[j] and (values[i] ^ values[j]).bit_count() <= radius:
-                    old, new = max(ids[i], ids[j]), min(ids[i], ids[j])
-                    ids = [new if x == old else x for x in ids]
-        return [(values[i], values[r]) for i, r in enumerate(ids) if i != r]
     n = len(tree)
     everything = tree if queries is None else np.concatenate([tree, queries])
     shift = 0 if queries is None else n
@@ -211,10 +215,11 @@ def _search(group: pa.Table, masks: list[int], radius: int) -> pa.Table:
     return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
 
-def links(distinct: DataFrame, radius: int = RADIUS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def links(distinct: DataFrame, radius: int = RADIUS, block_rows: int = BLOCK_ROWS, agree: int | None = None) -> DataFrame:
     """A spanning set (a, b) of the links between distinct fingerprints of a column ``fp``."""
-    masks = block_masks(radius)
-    n = max(1, distinct.count() * len(masks) // TASK_ROWS)
+    count = distinct.count()
+    masks = block_masks(radius, agree or agreeing_blocks(count, radius))
+    n = max(1, count * len(masks) // TASK_ROWS)
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
     keyed = distinct.select(
         "fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m).cast("long")) for m in signed])).alias("combo", "key")
@@ -261,14 +266,20 @@ def _classes(marked: DataFrame, radius: int) -> DataFrame:
     return _named(distinct, links(distinct, radius))
 
 
-def _named(distinct: DataFrame, edges: DataFrame) -> DataFrame:
-    """(fp, component_id): the smallest id that edges reach from each row of (fp, least_id)."""
+def _members(distinct: DataFrame, edges: DataFrame) -> DataFrame:
+    """(fp, least_id, component) of each row of (fp, least_id); a component is named by one of its fingerprints."""
     joined = components(edges)
-    named = distinct.join(joined, distinct.fp == joined.node, "left").select(
-        "fp", "least_id", F.coalesce("component", "fp").alias("component")
+    return checkpoint(
+        distinct.join(joined, distinct.fp == joined.node, "left").select("fp", "least_id", F.coalesce("component", "fp").alias("component"))
     )
-    least = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    return named.join(least, "component").select("fp", "component_id")
+
+
+def _named(distinct: DataFrame, edges: DataFrame) -> DataFrame:
+    """(fp, component_id): the smallest id that edges reach from each row of (fp, least_id)."""
+    members = _members(distinct, edges)
+    # checkpointed, so that the join has plain exchanges on both sides and a huge component's can be split
+    least = checkpoint(members.groupBy("component").agg(F.min("least_id").alias("component_id")))
+    return members.join(least, "component").select("fp", "component_id")
 
 
 def _sketches(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
@@ -376,28 +387,37 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", radius
 
     Links are fingerprints within the radius or, with ``similarity``, sets of shingles of at least
     that Jaccard index. All columns of the input come back unchanged; exact repeats of the row that
-    stays are dropped.
+    stays are dropped. A null text counts as empty; empty texts are one group; null ids come last.
+    The texts of ids that stand for one row only are not hashed a second time.
     """
-    mark, one = "__fingerprint", "__row"
     plain = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
-    marked = fingerprints(docs, text, mark, True, shingle, similarity is not None)
     if similarity is None:
         slim = checkpoint(fingerprints(plain, shingle=shingle))
-        classes = _classes(slim, RADIUS if radius is None else radius)
+        distinct = checkpoint(slim.groupBy(F.col("fingerprint").alias("fp")).agg(F.min("id").alias("least_id")))
+        edges = links(distinct, RADIUS if radius is None else radius)
     else:
         kind = docs.schema[id_col].dataType.simpleString()
         slim = checkpoint(plain.mapInArrow(released(lambda it: _sketches(it, shingle)), f"id {kind}, fingerprint bigint, size int, keys array<bigint>"))
         distinct = checkpoint(slim.groupBy(F.col("fingerprint").alias("fp")).agg(F.min("id").alias("least_id"), F.first("size").alias("size"), F.first("keys").alias("keys")))
-        classes = _named(distinct.select("fp", "least_id"), similar_links(plain, distinct, shingle, similarity, WIDE_RADIUS if radius is None else radius))
-    stays = (
-        slim.join(classes, slim.fingerprint == classes.fp)
-        .groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("alone"))
-        .agg(F.min_by(F.struct("id", "fingerprint"), F.struct(F.col("id").isNull(), "id", "fingerprint")).alias("s"))
-        .select(F.col("s.id").alias("__id"), F.col("s.fingerprint").alias("__mark"))
+        edges = similar_links(plain, distinct, shingle, similarity, WIDE_RADIUS if radius is None else radius)
+        distinct = distinct.select("fp", "least_id")
+    mine, mark = free_names(docs, "id", "mark")
+    stays = checkpoint(
+        _members(distinct, edges)
+        .groupBy("component")
+        .agg(F.min_by(F.struct("least_id", "fp"), F.struct(F.col("least_id").isNull(), "least_id", "fp")).alias("s"))
+        .select(F.col("s.least_id").alias(mine), F.col("s.fp").alias(mark))
     )
-    return (
-        marked.join(stays, marked[id_col].eqNullSafe(stays["__id"]) & (marked[mark] == stays["__mark"]), "left_semi")
-        .withColumn(one, F.row_number().over(Window.partitionBy(id_col, mark).orderBy(F.lit(0))))
-        .where(F.col(one) == 1)
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
+    repeated = checkpoint(slim.groupBy(F.col("id").alias(mine)).agg(F.count(F.lit(1)).alias("n")).where(F.col(mine).isNull() | (F.col("n") > 1)).select(mine))
+    own = docs[f"`{id_col}`"]
+    if repeated.isEmpty():
+        return docs.join(stays, own == stays[mine], "left_semi")
+    once = docs.join(stays.join(repeated, mine, "left_anti"), own == F.col(mine), "left_semi")
+    others = fingerprints(docs.join(repeated, own.eqNullSafe(repeated[mine]), "left_semi"), text, mark, True, shingle, similarity is not None)
+    first = (
+        others.join(stays, others[f"`{id_col}`"].eqNullSafe(stays[mine]) & (others[mark] == stays[mark]), "left_semi")
+        .groupBy(F.col(f"`{id_col}`").alias(mine), F.col(mark))
+        .agg(F.first(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias(mark + "row"))
+        .select(mark + "row.*")
     )
+    return once.unionByName(first)

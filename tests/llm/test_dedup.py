@@ -41,9 +41,9 @@ def test_documents(spark, sf):
     assert sorted(r.doc_id for r in simhash.keep_one(docs).collect()) == sorted({c for _, _, c in want})
 
 
-@pytest.mark.parametrize("block_rows", [8, 2048])
-def test_links_are_whole(spark, block_rows):
-    """Chains and dense clusters of fingerprints, with shards cut into small blocks."""
+@pytest.mark.parametrize("block_rows,agree", [(8, 2), (2048, None), (2048, 1), (2048, 4)])
+def test_links_are_whole(spark, block_rows, agree):
+    """Chains and dense clusters of fingerprints, with shards cut into small blocks and keys of several widths."""
     rng = np.random.default_rng(3)
     values = set(map(int, rng.integers(0, 1 << 63, 150)))
     for centre in list(values)[:12]:
@@ -57,10 +57,37 @@ def test_links_are_whole(spark, block_rows):
     signed = [v - (1 << 64) if v >> 63 else v for v in values]
     at = {v: i for i, v in enumerate(signed)}
     table = spark.createDataFrame([(v,) for v in signed], "fp bigint")
-    edges = simhash.links(table, block_rows=block_rows).collect()
+    edges = simhash.links(table, block_rows=block_rows, agree=agree).collect()
     assert classes(len(values), ((at[e.a], at[e.b]) for e in edges)) == root
 
 
+def test_wider_keys_for_more():
+    assert [simhash.agreeing_blocks(n) for n in (10**4, 10**6, 10**8, 10**10)] == sorted(simhash.agreeing_blocks(n) for n in (10**4, 10**6, 10**8, 10**10))
+    assert simhash.agreeing_blocks(10**10) > simhash.agreeing_blocks(10**4)
+    for agree in (1, 2, 3, 4):
+        masks = simhash.block_masks(4, agree)
+        for flips in ((0, 1, 2, 3), (0, 13, 30, 63), (10, 11, 33, 34)):
+            assert any(not sum(1 << f for f in flips) & m for m in masks)
+
+
+def test_links_come_from_the_tree(monkeypatch):
+    """Shards of any size search their tree."""
+    assert simhash.forest(np.array([1, 3, 0xFFFF << 40], np.uint64), None) == [(3, 1)]
+    monkeypatch.setattr(simhash.BKTree, "within", lambda *a: iter(()))
+    assert simhash.forest(np.array([1, 3], np.uint64), None) == []
+
+
+@pytest.mark.parametrize("similarity", [None, 0.8])
+def test_keep_one_with_odd_ids(spark, similarity):
+    """Ids that are null or stand for several texts, and columns named like the operator's own."""
+    text = {c: " ".join(f"{c}{i}" for i in range(40)) for c in "abcd"}
+    rows = [(1, text["a"]), (2, text["a"]), (2, text["b"]), (2, text["b"]), (3, text["b"]), (None, text["c"]), (None, text["c"]), (None, text["a"]), (4, text["d"])]
+    docs = spark.createDataFrame([(i, t, 1, 2, 3, 4, 5) for i, t in rows], "doc_id bigint, text string, __fingerprint int, __row int, __id int, __mark int, fp int")
+    out = simhash.keep_one(docs, shingle=5, similarity=similarity)
+    assert out.columns == docs.columns
+    assert sorted((str(r.doc_id), r.text) for r in out.collect()) == sorted([("1", text["a"]), ("2", text["b"]), ("None", text["c"]), ("4", text["d"])])
+
+
 def test_tree_finds_all():
     rng = np.random.default_rng(5)
     values = [int(x) & 0xFFFF for x in rng.integers(0, 1 << 16, 300)]
