@@ -29,7 +29,7 @@ SYMBOLS = "#*$%&|<>"
 FEATURES = (
     ("log_words", 0),
     ("mean_word", 0),
-    ("longest_word", 0),
+    ("log_longest_word", 0),
     ("symbols_per_word", -1),
     ("bars_per_word", -1),
     ("bangs_per_word", -1),
@@ -99,7 +99,7 @@ def statistics(text: str | None) -> tuple[list[int], list[float]]:
     features = [
         float(np.log1p(n)),
         chars / d,
-        float(min(max(map(len, words), default=0), 1000)),
+        float(np.log1p(max(map(len, words), default=0))),
         symbols / d,
         raw.count(b"|") / d,
         raw.count(b"!") / d,
@@ -218,7 +218,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
         .collect()
     )
     y = np.array([r.y for r in got]) > 0
-    if len(got) < 20 or y.all() or not y.any():
+    if y.all() or not y.any():
         return None
     return fit(np.array([r.x for r in got]), y.astype(float), [s for _, s in FEATURES])
 
@@ -257,7 +257,11 @@ def judge(docs: DataFrame, model: Forest | None, id_col: str = "doc_id", text: s
 
 
 def keep_good(docs: DataFrame, model: Forest | None, text: str = "text") -> DataFrame:
-    """The documents that the rules keep, all columns unchanged."""
+    """The documents that the rules keep, all columns unchanged.
+
+    Null and empty texts go, repeated rows are judged each, other columns are not read; without a
+    model only the base rules decide.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
