@@ -1,82 +1,149 @@
 """Licence scans by sentence rules. Built-in functions only.
 
-A text is cut into sentences; each is normalised (A-Z lower-cased, everything but letters a-z and
-digits to single spaces) and looked up among known licence sentences; the identifiers found, in
-order, are matched against licence rules, each a run of identifiers. The first rule of the list
-that matches names the licence.
+A text is cut into sentences: signs before the first letter or digit of a line (comment signs,
+bullets, quotes) go, empty lines part sentences, a full stop, colon, question or exclamation mark
+before white space ends one, and other line ends are blanks, so wrapped and commented licences
+read like plain ones. Each sentence is normalised (A-Z lower-cased, everything but letters a-z and
+digits to single spaces) and looked up among known licence sentences. Of a sentence over several
+lines that is not known, the last lines together and the single lines are looked up too, as
+headings and short notices often end without a stop. The identifiers found, in order, are matched
+against licence rules, each a run of identifiers; the first rule of the list that matches names
+the licence.
 """
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-END = r"([.!?])[ \t\r\f]+"
-
-
-def normal(sentence: str) -> str:
-    return re.sub("[^a-z0-9]+", " ", "".join(c.lower() if "A" <= c <= "Z" else c for c in sentence)).strip()
-
-
-# Sentences of well-known licences, with a short identifier each.
+#: In order: line ends, signs before a line's text, empty lines, sentence ends; then, on lower-case text, other signs and blanks at cuts. LINE parts lines, CUT sentences.
+LINE, CUT = "\n", "\x02"
+BEFORE = [("\r\n?", LINE), ("(^|\n)[^A-Za-z0-9\n]+", r"$1"), ("\n\n+", CUT), (r"[.!?:][\"')\]]*[ \t\n]+", CUT)]
+AFTER = [("[^a-z0-9\n\x02]+", " "), (" ?([\n\x02]) ?", r"$1")]
+
+# Sentences of well-known licences and notices, each whole text with its name. A rule
+# of the same name holds the sentences of a text in their order.
+_TEXTS = {
+    "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.""",
+    "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.
+You may obtain a copy of the License at""",
+    "BSD-4-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+All advertising materials mentioning features or use of this software must display the following acknowledgement:""",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.""",
+    "BSD-2-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.""",
+    "ISC": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.""",
+    "0BSD": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.""",
+    "Zlib": """This software is provided 'as-is', without any express or implied warranty.
+In no event will the authors be held liable for any damages arising from the use of this software.
+Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:""",
+    "BSL-1.0": """Distributed under the Boost Software License, Version 1.0.""",
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.
+If a copy of the MPL was not distributed with this file, You can obtain one at""",
+    "EPL-2.0": """This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at""",
+    "EPL-1.0": """This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies this distribution, and is available at""",
+    "Unlicense": """This is free and unencumbered software released into the public domain.
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.""",
+    "CC0-1.0": """To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.""",
+    "WTFPL": """Everyone is permitted to copy and distribute verbatim or modified copies of this license document, and changing it is allowed as long as the name is changed.
+DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE TERMS AND CONDITIONS FOR COPYING, DISTRIBUTION AND MODIFICATION""",
+}
+# Sentences that name a licence by themselves, or belong to several.
 _SENTENCES = {
-    "mit_name": "Released under the MIT License.",
-    "mit_name2": "Licensed under the MIT License.",
-    "mit_title": "The MIT License (MIT)",
-    "mit_title2": "MIT License",
-    "mit_grant": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
-    "mit_notice": "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
-    "apache_grant": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
-    "apache_copy": "You may obtain a copy of the License at",
-    "bsd_grant": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
-    "bsd_name": "Licensed under the BSD License.",
-    "isc_grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
-    "cc0_name": "Released under CC0 1.0 Universal.",
-    "unlicense_grant": "This is free and unencumbered software released into the public domain.",
-    "gpl_free": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
-    "gpl_hope": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",
-    "reserved": "All rights reserved.",
+    "MIT": ["Released under the MIT License.", "Licensed under the MIT License.", "Distributed under the MIT License.", "The MIT License (MIT)", "The MIT License", "MIT License"],
+    "Apache-2.0": ["Apache License Version 2.0, January 2004", "Apache License 2.0"],
+    "BSD": ["Licensed under the BSD License.", "Released under the BSD License."],
+    "ISC": ["ISC License", "The ISC License"],
+    "MPL-2.0": ["Mozilla Public License Version 2.0"],
+    "EPL-2.0": ["Eclipse Public License - v 2.0"],
+    "CC0-1.0": ["Released under CC0 1.0 Universal.", "Licensed under CC0 1.0 Universal."],
+    "Unlicense": ["This is free and unencumbered software released into the public domain."],
+    "BSL-1.0": ["Boost Software License - Version 1.0"],
+    "proprietary": ["All rights reserved."],
 }
+# Families of licences of the same words, and their versions.
+_GNU = {"GPL": "GNU General Public License", "LGPL": "GNU Lesser General Public License", "AGPL": "GNU Affero General Public License"}
+_GNU_VERSIONS = ("2", "2.1", "3", "2.0", "3.0")
+_CC_KINDS = ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND")
+_CC_VERSIONS = ("1.0", "2.0", "2.5", "3.0", "4.0")
+_SPDX_MARK = "SPDX-License-Identifier"
+_SPDX = ("MIT", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSD-4-Clause", "0BSD", "ISC", "Zlib", "BSL-1.0", "MPL-2.0", "EPL-1.0", "EPL-2.0", "Unlicense", "CC0-1.0", "WTFPL")
+
+
+def _texts() -> list[tuple[str, str]]:
+    """(licence, text) of every known text; the more special first where sentences are shared."""
+    out = list(_TEXTS.items())
+    for short, name in _GNU.items():
+        for version in ("3", "2.1", "2"):
+            for or_later in (True, False):
+                free = f"is free software: you can redistribute it and/or modify it under the terms of the {name} as published by the Free Software Foundation"
+                full = version if "." in version else version + ".0"
+                which = [f", either version {version} of the License, or (at your option) any later version."] if or_later else [f", version {version}.", f", version {version} of the License."]
+                for tail in which:
+                    for first in ("This program", "This library"):
+                        for sign in (":", ";"):
+                            out.append((f"{short}-{full}-{'or-later' if or_later else 'only'}", f"{first} {free}{tail}".replace("software:", "software" + sign)))
+    for version in _GNU_VERSIONS:
+        for short, name in _GNU.items():
+            out += [(f"{short}-{version if '.' in version else version + '.0'}", f"{by} the {name}, version {version}.") for by in ("This work is licensed under", "Licensed under")]
+    for version in ("1.1", "2.0"):
+        out.append((f"Apache-{version}", f"Licensed under the Apache License, Version {version}."))
+    for kind in _CC_KINDS:
+        for version in _CC_VERSIONS:
+            out += [(f"CC-{kind}-{version}", f"{by} CC {kind} {version}.") for by in ("Licensed under", "This work is licensed under")]
+    names = [*_SPDX, *(f"{s}-{v}-{w}" for s in _GNU for v in ("2.0", "2.1", "3.0") for w in ("or-later", "only")), *(f"{s}-{v}" for s in _GNU for v in ("2.0", "2.1", "3.0"))]
+    names += [f"CC-{k}-{v}" for k in _CC_KINDS for v in _CC_VERSIONS]
+    out += [(name, f"{_SPDX_MARK}: {name}") for name in names]
+    return out + [(name, s) for name, listed in _SENTENCES.items() for s in listed]
+
+
+def cut(text: str) -> list[str]:
+    """The normalised sentences of a known text, by the rules that hold for every text."""
+    for pattern, by in BEFORE:
+        text = re.sub(pattern, by.replace("$1", r"\1"), text)
+    text = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+    for pattern, by in AFTER:
+        text = re.sub(pattern, by.replace("$1", r"\1"), text)
+    found = [s.replace(LINE, " ").strip() for s in text.split(CUT)]
+    return [s for s in found if re.search("[a-z]", s)]
 
 
 def sentences() -> dict[str, str]:
-    """Normalised sentence to identifier; the versions and variants follow from rules."""
-    known = dict(_SENTENCES)
-    for v in ("1.1", "2.0"):
-        known[f"apache_{v}"] = f"Licensed under the Apache License, Version {v}."
-    for family, name in (("gpl", "GNU General Public License"), ("lgpl", "GNU Lesser General Public License"), ("agpl", "GNU Affero General Public License")):
-        for v in ("2", "2.1", "3", "2.0", "3.0"):
-            known[f"{family}_{v}"] = f"This work is licensed under the {name}, version {v}."
-    for kind in ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND"):
-        for v in ("1.0", "2.0", "2.5", "3.0", "4.0"):
-            known[f"cc_{kind.lower()}_{v}"] = f"Licensed under CC {kind} {v}."
-    return {normal(s): i for i, s in known.items()}
+    """Normalised sentence to identifier: the licence that has it first, and a number."""
+    known, count = {cut(_SPDX_MARK)[0]: "spdx"}, dict[str, int]()
+    for name, text in _texts():
+        for s in cut(text):
+            if s not in known:
+                count[name] = count.get(name, 0) + 1
+                known[s] = f"{name}.{count[name]}".lower()
+    return known
 
 
 def rules() -> list[tuple[str, list[str]]]:
-    """(licence, run of identifiers); earlier rules win."""
-    out = [
-        ("MIT", ["mit_grant", "mit_notice"]),
-        ("Apache-2.0", ["apache_grant", "apache_copy"]),
-        ("GPL-3.0-or-later", ["gpl_free", "gpl_hope"]),
-        ("GPL-3.0-or-later", ["gpl_free"]),
-    ]
-    for i in sentences().values():
-        family, _, rest = i.partition("_")
-        if family in ("gpl", "lgpl", "agpl") and rest[:1].isdigit():
-            out.append((f"{family.upper()}-{rest if '.' in rest else rest + '.0'}", [i]))
-        elif family == "cc":
-            kind, version = rest.split("_")
-            out.append((f"CC-{kind.upper()}-{version}", [i]))
-        elif family == "apache" and rest[:1].isdigit():
-            out.append((f"Apache-{rest}", [i]))
-    return out + [
-        ("MIT", ["mit_grant"]), ("MIT", ["mit_name"]), ("MIT", ["mit_name2"]), ("MIT", ["mit_title"]), ("MIT", ["mit_title2"]),
-        ("Apache-2.0", ["apache_grant"]), ("BSD", ["bsd_grant"]), ("BSD", ["bsd_name"]), ("ISC", ["isc_grant"]),
-        ("CC0-1.0", ["cc0_name"]), ("Unlicense", ["unlicense_grant"]), ("proprietary", ["reserved"]),
-    ]
+    """(licence, run of identifiers); earlier rules win: whole texts, then long first sentences by themselves."""
+    known = sentences()
+    out = [(name, [known[s] for s in cut(text)]) for name, text in _texts()]
+    seen = {tuple(run) for _, run in out}
+    for name, text in _TEXTS.items():
+        first = cut(text)[0]
+        if len(first.split()) >= 15 and (known[first],) not in seen:
+            seen.add((known[first],))
+            out.append((name.rpartition("-")[0].removesuffix("-4") if name.startswith("BSD") else name, [known[first]]))
+    return [(name, list(run)) for (name, run) in dict.fromkeys((n, tuple(r)) for n, r in out)]
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def scan(docs: DataFrame, known: dict[str, str] | None = None, ordered=None, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -90,16 +157,35 @@ def scan(docs: DataFrame, known: dict[str, str] | None = None, ordered=None, id_
     known = sentences() if known is None else known
     ordered = rules() if ordered is None else ordered
     table = F.create_map(*[F.lit(x) for kv in known.items() for x in kv])
-    cut = F.split(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), END, "$1\n"), "\n")
-    clean = lambda s: F.trim(
-        F.regexp_replace(F.translate(s, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), "[^a-z0-9]+", " ")
-    )
-    rows = docs.select(F.col(id_col).alias("id"), F.filter(F.transform(cut, clean), lambda s: s != "").alias("sentences"))
-    found = F.filter(F.transform("sentences", lambda s: F.try_element_at(table, s)), lambda i: i.isNotNull())
+    starts = F.array(*[F.lit(s) for s in sorted({" ".join(s.split()[:2]) for s in known})])
+    named = lambda s: F.try_element_at(table, s)
+
+    clean = F.coalesce(F.col(text), F.lit(""))
+    for pattern, by in BEFORE:
+        clean = F.regexp_replace(clean, pattern, by)
+    clean = F.translate(clean, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    for pattern, by in AFTER:
+        clean = F.regexp_replace(clean, pattern, by)
+
+    def by_lines(lines: Column) -> Column:
+        """The identifiers of the lines of a sentence up to where the rest of them is known, and of that rest; of each line where none is."""
+        rest = lambda i: F.array_join(F.slice(lines, i, F.size(lines)), " ")
+        begins = lambda i: F.substring_index(F.concat_ws(" ", F.element_at(lines, i), F.try_element_at(lines, i + 1)), " ", 2)
+        at = F.filter(F.sequence(F.lit(1), F.size(lines)), lambda i: F.array_contains(starts, begins(i)) & named(rest(i)).isNotNull())
+        return _let(
+            F.coalesce(F.try_element_at(at, F.lit(1)), F.size(lines) + 1),
+            lambda first: F.concat(F.transform(F.slice(lines, 1, first - 1), named), F.array(F.when(first <= F.size(lines), named(rest(first))))),
+        )
+
+    def ids(s: Column) -> Column:
+        return F.when(F.contains(s, F.lit(LINE)), _let(F.split(s, LINE), by_lines)).otherwise(F.array(named(s)))
+
+    rows = docs.select(F.col(id_col).alias("id"), F.filter(F.transform(F.split(clean, CUT), lambda s: F.btrim(s, F.lit(" \n"))), lambda s: s != "").alias("sentences"))
+    found = F.array_compact(F.flatten(F.transform("sentences", ids)))
     rows = rows.select("id", F.size("sentences").cast("bigint").alias("n_sentences"), F.array_join(found, ",").alias("sentence_ids"))
     # a rule is one comparison with the joined identifiers; most documents have none
     line = F.concat(F.lit(","), F.col("sentence_ids"), F.lit(","))
-    hits = F.array(*[F.when(F.contains(line, F.lit("," + ",".join(ids) + ",")), name) for name, ids in ordered])
+    hits = F.array(*[F.when(F.contains(line, F.lit("," + ",".join(run) + ",")), name) for name, run in ordered])
     names = F.when(F.col("sentence_ids") == "", F.array().cast("array<string>")).otherwise(F.array_distinct(F.array_compact(hits)))
     return rows.select("*", names.alias("names")).select(
         F.col("id").alias(id_col),
