@@ -3,8 +3,10 @@
 Character n-grams of the learning documents are counted per language in Spark. A language holds
 an n-gram when its rate there is at least MIN_SHARE of its highest rate in any language. The
 held n-grams go into one bit-sliced Bloom filter: a slot is a row of bits, one for each language,
-and the AND of an n-gram's slots is the set of languages that contain it. A document's score for
-a language is its popcount over all n-grams, corrected for the filter's false positives.
+and the AND of an n-gram's slots is the set of languages that contain it. The slots follow from
+the n-grams held, so that at most half the bits of a language are set; beyond MAX_BYTES the
+languages with most n-grams give up those with the lowest rates. A document's score for a language
+is its popcount over all n-grams, corrected for the filter's false positives.
 """
 
 from __future__ import annotations
@@ -22,10 +24,10 @@ from brinework.llm.common import checkpoint, released
 
 ORDERS = (2, 3, 4)
 MIN_SHARE = 0.25
-#: N-grams rarer than this in all learning documents are not learned.
-MIN_COUNT = 3
-#: Slots of the filter (its size is fixed: slots times a byte for every eight languages) and hashes of an n-gram.
-SLOTS, HASHES = 1 << 20, 3
+#: Hashes of an n-gram, and the most bytes of a filter (slots times a byte for every eight languages): it is sent to every executor.
+HASHES, MAX_BYTES = 3, 1 << 26
+#: Slots that travel to the driver as one row.
+BLOCK_SLOTS = 4096
 UNKNOWN = "und"
 #: Bytes of text that are worked on at once, and distinct n-grams of a language that a task holds before it emits them.
 SLICE, MAX_PENDING = 200_000, 1_000_000
@@ -160,10 +162,29 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rows(lang)
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang", slots: int = SLOTS, hashes: int = HASHES, min_share: float = MIN_SHARE) -> Filter:
+def slots_for(most: int, hashes: int = HASHES) -> int:
+    """The power of two at which so many n-grams set half of a language's bits or fewer."""
+    return max(BLOCK_SLOTS, 1 << int(np.ceil(np.log2(max(most, 1) * hashes / np.log(2)))))
+
+
+def _lowest_rates(held: DataFrame, most: int) -> dict[int, int]:
+    """For each language (k) that holds more n-grams than ``most``: the step of the rates, four to a halving, below which they are given up."""
+    steps = held.groupBy("k", F.floor(-4 * F.log2("rate")).alias("step")).count().collect()
+    out = {}
+    for k in {r.k for r in steps}:
+        own = sorted((r.step, r["count"]) for r in steps if r.k == k)
+        if sum(n for _, n in own) > most:
+            within = np.cumsum([n for _, n in own]) <= most
+            out[k] = own[int(within.sum())][0]  # the first step that no longer fits
+    return out
+
+
+def train(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang", hashes: int = HASHES, min_share: float = MIN_SHARE, max_bytes: int = MAX_BYTES) -> Filter:
     """Learns from all documents that are not held out and have a text and a language.
 
-    Only the filter's slots reach the driver: at most one row for each slot and eight languages.
+    A row for each language, a count for each language and step of the rates, and the filter's
+    bytes (``max_bytes`` at most) reach the driver. Rows with a null text or language are not
+    learned from, repeated rows count each, a table without any gives a filter of no language.
     """
     rows = docs.where(~in_fold(id_col)).select(F.col(lang).alias("lang"), F.col(text).alias("text")).dropna()
     counts = rows.mapInArrow(released(_counts), "lang string, mark bigint, n bigint").groupBy("lang", "mark").agg(F.sum("n").alias("n"))
@@ -176,22 +197,35 @@ def train(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str
         [(g, k, float(totals[g])) for k, g in enumerate(languages)], "lang string, k int, total double"
     )
     rated = counts.join(F.broadcast(known), "lang").withColumn("rate", F.col("n") / F.col("total"))
-    top = rated.groupBy("mark").agg(F.max("rate").alias("top"), F.sum("n").alias("all_n"))
-    held = rated.join(top, "mark").where((F.col("rate") >= min_share * F.col("top")) & (F.col("all_n") >= MIN_COUNT))
+    top = rated.groupBy("mark").agg(F.max("rate").alias("top"))
+    held = checkpoint(rated.join(top, "mark").where(F.col("rate") >= min_share * F.col("top")).select("mark", "k", "rate"))
+    width = (len(languages) + 7) // 8
+    most = held.groupBy("k").count().agg(F.max("count")).first()[0] or 0
+    slots = slots_for(most, hashes)
+    if slots * width > max_bytes:
+        slots = max(BLOCK_SLOTS, 1 << int(np.log2(max_bytes // width)))
+        for k, step in _lowest_rates(held, int(slots * np.log(2) / hashes)).items():
+            held = held.where((F.col("k") != k) | (F.floor(-4 * F.log2("rate")) < step))
 
     def slot_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             at = np.concatenate(_places(b.column(0).to_numpy().view(np.uint64), slots, hashes))
-            k = np.tile(b.column(1).to_numpy(), hashes)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(at), pa.array(k // 8), pa.array(np.left_shift(1, k % 8).astype(np.int32))], names=["slot", "byte", "bits"]
+                [pa.array(at // BLOCK_SLOTS), pa.array((at % BLOCK_SLOTS).astype(np.int32)), pa.array(np.tile(b.column(1).to_numpy(), hashes))], names=["block", "slot", "k"]
             )
 
-    got = held.select("mark", "k").mapInArrow(slot_rows, "slot bigint, byte int, bits int").groupBy("slot", "byte").agg(F.bit_or("bits").alias("bits")).toArrow()
-    bits = np.zeros((slots, (len(languages) + 7) // 8), np.uint8)
-    bits[got["slot"].to_numpy(), got["byte"].to_numpy()] = got["bits"].to_numpy().astype(np.uint8)
+    def packed(group: pa.Table) -> pa.Table:
+        bits = np.zeros((BLOCK_SLOTS, width), np.uint8)
+        k = group["k"].to_numpy()
+        np.bitwise_or.at(bits, (group["slot"].to_numpy(), k // 8), np.left_shift(1, k % 8).astype(np.uint8))
+        return pa.table({"block": group["block"][:1], "bits": pa.array([bits.tobytes()], pa.binary())})
+
+    placed = held.select("mark", "k").mapInArrow(slot_rows, "block bigint, slot int, k int").distinct()
+    bits = np.zeros((slots, width), np.uint8)
+    for r in placed.groupBy("block").applyInArrow(packed, "block bigint, bits binary").collect():
+        bits[r.block * BLOCK_SLOTS : (r.block + 1) * BLOCK_SLOTS] = np.frombuffer(r.bits, np.uint8).reshape(-1, width)
     full = np.array([((bits[:, k // 8] >> (k % 8)) & 1).mean() for k in range(len(languages))])
-    return Filter(bits, languages, np.minimum(full**hashes, 0.99), hashes)
+    return Filter(bits, languages, full**hashes, hashes)
 
 
 def identify(docs: DataFrame, model: Filter, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -200,7 +234,7 @@ def identify(docs: DataFrame, model: Filter, id_col: str = "doc_id", text: str =
     A null text, or one without letters, is ``und`` with score 0. Repeated rows each get their
     row; only the text is an input of the prediction.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # a filter of fixed size
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # MAX_BYTES at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -216,8 +250,16 @@ def identify(docs: DataFrame, model: Filter, id_col: str = "doc_id", text: str =
     )
 
 
-def keep_known(docs: DataFrame, model: Filter, min_score: float, text: str = "text") -> DataFrame:
-    """The documents in a learned language with at least ``min_score``, all columns unchanged."""
+def keep_known(docs: DataFrame, model: Filter, min_lead: float, text: str = "text") -> DataFrame:
+    """The documents in a learned language, all columns unchanged.
+
+    A score says how far the best language leads: 1 / languages is an even split, 1 no other
+    language at all. A document stays if its score goes ``min_lead`` of the way from the one to
+    the other. Null texts, texts without letters and, where nothing was learned, all go; repeated
+    rows are judged each; other columns are not read.
+    """
+    even = 1 / max(1, len(model.languages))
+    min_score = even + min_lead * (1 - even) - 1e-9
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
