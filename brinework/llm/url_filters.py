@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from brinework.llm.common import checkpoint
+
 #: (verdict, host, path)
 RULES = (
     ("block", "net", "/"),
@@ -20,23 +22,33 @@ RULES = (
     ("allow", "org", "/fr/"),
 )
 MIN_RATE, Z = 0.5, 1.64
+# Public suffixes of two labels under which names are registered.
+TWO_LABELS = (
+    "ac.uk co.uk gov.uk org.uk co.jp ne.jp or.jp co.kr co.nz org.nz co.za co.in co.il co.id com.au net.au org.au com.br com.ar com.mx"
+    " com.tr com.cn com.tw com.hk com.sg com.ua com.pl github.io"
+).split()
 #: Bounds of a fitted prior strength, in pages.
 WEAKEST, STRONGEST = 2.0, 500.0
 LEVELS = ("suffix", "domain", "host")
 
 
 def parts(pages: DataFrame, id_col: str = "page_id", url: str = "url") -> DataFrame:
-    """(id, __url, host, path, domain, suffix); a null url or one without ``://`` has an empty host and path."""
+    """(id, __url, host, path, domain, suffix).
+
+    A null url or one without ``://`` has an empty host and path. The registered domain is the
+    suffix and one label more, the suffix the last label, or two for those of TWO_LABELS.
+    """
     rows = pages.select(F.col(id_col).alias("id"), F.col(url).alias("__url"))
     rest = F.coalesce(F.when(F.contains("__url", F.lit("://")), F.expr("substring(__url, instr(__url, '://') + 3)")), F.lit(""))
     host = F.translate(F.regexp_extract(rest, r"^([^/?#]*)", 1), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    two = F.substring_index("host", ".", -2).isin(TWO_LABELS)
     return rows.select("*", host.alias("host"), F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1).alias("path")).select(
         "id",
         "__url",
         "host",
         "path",
-        F.substring_index("host", ".", -2).alias("domain"),
-        F.substring_index("host", ".", -1).alias("suffix"),
+        F.when(two, F.substring_index("host", ".", -3)).otherwise(F.substring_index("host", ".", -2)).alias("domain"),
+        F.when(two, F.substring_index("host", ".", -2)).otherwise(F.substring_index("host", ".", -1)).alias("suffix"),
     )
 
 
@@ -58,7 +70,7 @@ def reputations(counted: DataFrame, z: float = Z) -> DataFrame:
     above, parent = top, "everything"
     for level in LEVELS:
         own = known.groupBy(parent, level).agg(F.sum("good").alias("good"), F.sum("pages").alias("pages"))
-        seen = own.join(above.withColumnRenamed("rate", "prior"), parent)
+        seen = checkpoint(own.join(above.withColumnRenamed("rate", "prior"), parent))  # read twice below
         m = F.col("prior")
         spread = F.try_divide(
             F.sum(F.col("pages") * (F.try_divide("good", "pages") - m) ** 2), F.sum("pages")
@@ -90,13 +102,13 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules=RULES, min_rate: float =
     """
     rows = parts(pages, id_col, url)
     good = outcomes.select(F.col(id_col).alias("id"), F.col("good").cast("bigint").alias("good")).dropna()
-    hosts = (
+    hosts = checkpoint(
         rows.join(good, "id", "left")
         .groupBy("host", "domain", "suffix")
         .agg(F.coalesce(F.sum("good"), F.lit(0)).alias("good"), F.count("good").alias("pages"))
     )
     rule, ruled = rule_of(rules)
-    known = reputations(hosts)
+    known = checkpoint(reputations(hosts))  # a row for each host; the join below can split a hot one
     return rows.join(known, "host", "left").select(
         F.col("id").alias(id_col),
         "host",
