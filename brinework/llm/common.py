@@ -51,6 +51,16 @@ def fingerprint_of(df: DataFrame, *cols: str) -> tuple:
     return row.n, row.h
 
 
+def split_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """An inner equi-join whose sides have exchanges of their own, so that adaptive execution can split a hot key.
+
+    An aggregate by the same key would share its exchange with the join, which then cannot be
+    split; a hash of the key as a second one keeps them apart.
+    """
+    (mark,) = free_names(left, "mark")
+    return left.withColumn(mark, F.xxhash64(key)).join(right.withColumn(mark, F.xxhash64(key)), [key, mark]).drop(mark)
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of an edge table by alternating large-star and small-star rounds.
 
@@ -70,10 +80,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
         large = (
-            both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+            split_join(both.where("v > u"), low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         )
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = split_join(large, low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         stars = checkpoint(small.unionByName(low.withColumnRenamed("m", "v")).distinct())
     return stars.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         stars.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()

@@ -18,14 +18,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brinework.llm.common import checkpoint, components, pmod_hash
+from brinework.llm.common import checkpoint, components, pmod_hash, split_join
 
 THRESHOLD = 0.98
 #: k-means is fitted on at most this many vectors, those with the smallest hashes.
-MAX_SAMPLE = 10_000
-#: Centroids: one for each CELL_ROWS vectors of the largest label, at most MAX_CELLS (they are broadcast).
-CELL_ROWS, MAX_CELLS = 1024, 1024
+MAX_SAMPLE = 20_000
+#: Centroids: one for each CELL_ROWS vectors of the largest label, at most MAX_CELLS (every task holds them).
+CELL_ROWS, MAX_CELLS = 1024, 4096
 BLOCK_ROWS = 2048
+#: Vectors that are assigned at once.
+ASSIGN_ROWS = 1000
 
 
 def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 10, seed: int = 0) -> np.ndarray:
@@ -51,42 +53,48 @@ def _unit(column: pa.Array, dim: int) -> np.ndarray:
 
 
 def fit_cells(vectors: DataFrame, max_sample: int = MAX_SAMPLE) -> dict[int, np.ndarray]:
-    """Centroids for each vector length, from a bounded sample of a table (label, dim, vector)."""
-    largest = dict(
-        tuple(r)
-        for r in vectors.groupBy("dim", "label").count().groupBy("dim").agg(F.max("count")).orderBy("dim").limit(64).collect()
-    )
-    sample = vectors.orderBy(F.xxhash64("vector"), "node").limit(max_sample).select("dim", "vector").collect()
+    """Centroids for each vector length that a bounded sample of a table (node, label, dim, vector) holds.
+
+    Lengths outside of the sample have one cell. Repeated vectors count each; an empty table gives
+    no centroids; null labels and vectors are not expected.
+    """
+    sample = vectors.orderBy(F.xxhash64("vector"), "node").limit(max_sample).select("dim", "vector").toArrow()
+    dims = sample["dim"].to_numpy()
+    if not len(dims):
+        return {}
+    asked = vectors.sparkSession.createDataFrame([(int(d),) for d in np.unique(dims)], "dim int")
+    largest = vectors.join(F.broadcast(asked), "dim").groupBy("dim", "label").count().groupBy("dim").agg(F.max("count").alias("rows")).collect()
     cells = {}
-    for dim, rows in largest.items():
-        own = pa.array([r.vector for r in sample if r.dim == dim], pa.list_(pa.float64()))
-        if len(own):
-            k = min(MAX_CELLS, math.ceil(rows / CELL_ROWS), len(own))
-            cells[dim] = spherical_kmeans(_unit(own, dim), k)
+    for r in sorted(largest):
+        own = sample.filter(pa.array(dims == r.dim))["vector"].combine_chunks()
+        cells[r.dim] = spherical_kmeans(_unit(own, r.dim), min(MAX_CELLS, math.ceil(r.rows / CELL_ROWS), len(own)))
     return cells
 
 
 def _assign(batches, cells: dict[int, np.ndarray], angle: float):
     """(node, label, dim, cell, home, weight, vector) for the home cell and each later cell that a link could reach."""
-    for batch in batches:
-        dims = batch.column("dim").to_numpy()
-        for dim in np.unique(dims):
-            part = batch.filter(pa.array(dims == dim))
-            x = _unit(part.column("vector"), dim)
-            own = cells.get(int(dim), np.eye(1, dim))
-            near = x @ own.T
-            home = near.argmax(axis=1)
-            apart = np.linalg.norm(own[:, None] - own[None], axis=2) if len(own) > 1 else np.zeros((1, 1))
-            gap = near[np.arange(len(x)), home][:, None] - near
-            visit = gap <= apart[home] * math.sin(angle) + 1e-9
-            visit &= np.arange(len(own))[None] >= home[:, None]
-            row, cell = np.nonzero(visit)
-            taken = part.take(pa.array(row))
-            yield pa.RecordBatch.from_arrays(
-                [taken.column(c) for c in ("node", "label", "dim", "weight", "vector")]
-                + [pa.array(cell.astype(np.int32)), pa.array(cell == home[row])],
-                names=["node", "label", "dim", "weight", "vector", "cell", "home"],
-            )
+    reach: dict[int, np.ndarray] = {}  # by two centroids: how much nearer the home may be
+    for whole in batches:
+        for at in range(0, whole.num_rows, ASSIGN_ROWS):
+            batch = whole.slice(at, ASSIGN_ROWS)
+            dims = batch.column("dim").to_numpy()
+            for dim in np.unique(dims).tolist():
+                part = batch.filter(pa.array(dims == dim))
+                x = _unit(part.column("vector"), dim)
+                own = cells.get(dim, np.eye(1, dim))
+                if dim not in reach:
+                    reach = {dim: np.sqrt(np.maximum(2 - 2 * own @ own.T, 0)) * math.sin(angle) + 1e-9}
+                near = x @ own.T
+                home = near.argmax(axis=1)
+                visit = near[np.arange(len(x)), home][:, None] - near <= reach[dim][home]
+                visit &= np.arange(len(own))[None] >= home[:, None]
+                row, cell = np.nonzero(visit)
+                taken = part.take(pa.array(row))
+                yield pa.RecordBatch.from_arrays(
+                    [taken.column(c) for c in ("node", "label", "dim", "weight", "vector")]
+                    + [pa.array(cell.astype(np.int32)), pa.array(cell == home[row])],
+                    names=["node", "label", "dim", "weight", "vector", "cell", "home"],
+                )
 
 
 def _compare(group: pa.Table, threshold: float) -> pa.Table:
@@ -170,13 +178,13 @@ def near_duplicates(
     )
     count = found.groupBy("node").agg(F.sum("links").alias("links"))
     joined = components(found.where("other is not null"), "node", "other").withColumnRenamed("node", "member")
-    named = (
+    named = checkpoint(
         distinct.join(count, "node", "left")
         .join(joined, distinct.node == joined.member, "left")
         .select("label", "vector", "least_id", "weight", "links", F.coalesce("component", "node").alias("component"))
     )
     least = named.groupBy("component").agg(F.min("least_id").alias("first_id"))
-    named = named.join(least, "component").select(
+    named = split_join(named, least, "component").select(
         "label", "vector", "first_id", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links")
     )
     component = F.when(F.col("vector").isNull(), F.col("id")).otherwise(F.col("first_id"))

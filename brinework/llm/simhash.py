@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brinework.llm.common import checkpoint, components, free_names, pmod_hash, released
+from brinework.llm.common import checkpoint, components, free_names, pmod_hash, released, split_join
 
 RADIUS = 4
 SHINGLE = 4
@@ -277,9 +277,8 @@ def _members(distinct: DataFrame, edges: DataFrame) -> DataFrame:
 def _named(distinct: DataFrame, edges: DataFrame) -> DataFrame:
     """(fp, component_id): the smallest id that edges reach from each row of (fp, least_id)."""
     members = _members(distinct, edges)
-    # checkpointed, so that the join has plain exchanges on both sides and a huge component's can be split
-    least = checkpoint(members.groupBy("component").agg(F.min("least_id").alias("component_id")))
-    return members.join(least, "component").select("fp", "component_id")
+    least = members.groupBy("component").agg(F.min("least_id").alias("component_id"))
+    return split_join(members, least, "component").select("fp", "component_id")
 
 
 def _sketches(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
@@ -364,7 +363,7 @@ def similar_links(docs: DataFrame, distinct: DataFrame, shingle: int, similarity
     """
     keyed = distinct.select("fp", F.explode("keys").alias("key"))
     low = keyed.groupBy("key").agg(F.min("fp").alias("low"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    star = keyed.join(low, "key").where("fp <> low").select("fp", "low")
+    star = split_join(keyed, low, "key").where("fp <> low").select("fp", "low")
     near = checkpoint(components(star, "fp", "low").join(distinct, F.col("node") == F.col("fp")).select("fp", "least_id", "size", "component"))
     shingles = near.agg(F.sum(F.col("size").cast("bigint")).alias("n")).first().n or 0
     n = max(1, shingles // block_shingles)
@@ -372,7 +371,7 @@ def similar_links(docs: DataFrame, distinct: DataFrame, shingle: int, similarity
     asked = docs.join(near.select("fp", "least_id"), F.col("id").eqNullSafe(F.col("least_id"))).select("fp", "text")
     sets = asked.mapInArrow(released(lambda it: _sets(it, shingle)), "fp bigint, bits bigint, hashes array<bigint>").dropDuplicates(["fp"])
     placed = (
-        near.join(blocks, "component")
+        split_join(near, blocks, "component")
         .withColumn("sub", pmod_hash(F.col("blocks"), "fp").cast("int"))
         .join(sets, "fp")
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))

@@ -12,16 +12,26 @@ def _text(s: str) -> str:
 
 
 def license_scan_sql() -> str:
+    """Sentences as rows; of one over several lines, its rests as rows too."""
     known = ", ".join(f"({_text(s)}, {_text(i)})" for s, i in license_scan.sentences().items())
     rules = ", ".join(f"({k}, {_text(name)}, {_text(',' + ','.join(ids) + ',')})" for k, (name, ids) in enumerate(license_scan.rules()))
+    letters = "'[^a-z0-9]+', ' ', 'g'"
     return f"""WITH known(s, id) AS (VALUES {known}), rules(k, name, run) AS (VALUES {rules}),
-d AS (SELECT row_number() OVER () AS r, doc_id, string_split(regexp_replace(coalesce(text, ''), '([.!?])[ \\t\\r\\f]+', '\\1' || chr(10), 'g'), chr(10)) AS l FROM documents),
+t AS (SELECT row_number() OVER () AS r, doc_id, regexp_replace(replace(coalesce(text, ''), chr(13) || chr(10), chr(10)), '\\r', chr(10), 'g') AS t FROM documents),
+b AS (SELECT r, doc_id, string_split(t, chr(10)) AS l FROM t),
+p AS (SELECT r, array_to_string(list_transform(l, lambda x: regexp_replace(x, '^[^A-Za-z0-9]+', '')), chr(10)) AS t FROM b),
+d AS (SELECT r, string_split(regexp_replace(regexp_replace(t, '\\n\\n+', chr(2), 'g'), '[.!?:]["'')\\]]*[ \\t\\n]+', chr(2), 'g'), chr(2)) AS l FROM p),
 u AS (SELECT r, unnest(l) AS s, generate_subscripts(l, 1) AS p FROM d),
-n AS (SELECT r, p, trim(regexp_replace(translate(s, '{UPPER}', '{LOWER}'), '[^a-z0-9]+', ' ', 'g'), ' ') AS s FROM u),
-a AS (SELECT r, count_if(n.s <> '') AS n_sentences, coalesce(string_agg(known.id, ',' ORDER BY p), '') AS sentence_ids FROM n LEFT JOIN known ON n.s = known.s GROUP BY r),
-h AS (SELECT r, name, min(k) AS k FROM a JOIN rules ON contains(',' || sentence_ids || ',', run) GROUP BY r, name),
+n AS (SELECT r, p, list_transform(string_split(trim(s, chr(10) || ' '), chr(10)), lambda x: trim(regexp_replace(translate(x, '{UPPER}', '{LOWER}'), {letters}), ' ')) AS l, FROM u),
+m AS (SELECT r, p, trim(array_to_string(l, chr(10)), chr(10) || ' ') AS s FROM n),
+k AS (SELECT r, p, string_split(s, chr(10)) AS l FROM m WHERE s <> ''),
+e AS (SELECT r, p, l, unnest(range(1, len(l) + 1)) AS i FROM k),
+w AS (SELECT r, p, min(i) AS i FROM e JOIN known ON array_to_string(l[i:], ' ') = known.s GROUP BY ALL),
+a AS (SELECT e.r, e.p, e.i, known.id FROM e LEFT JOIN w ON e.r = w.r AND e.p = w.p LEFT JOIN known ON known.s = CASE WHEN e.i = w.i THEN array_to_string(l[e.i:], ' ') WHEN w.i IS NULL OR e.i < w.i THEN l[e.i] END),
+c AS (SELECT t.r, doc_id, count(DISTINCT p) AS n_sentences, coalesce(string_agg(id, ',' ORDER BY p, i), '') AS sentence_ids FROM t LEFT JOIN a ON t.r = a.r GROUP BY ALL),
+h AS (SELECT r, name, min(k) AS k FROM c JOIN rules ON contains(',' || sentence_ids || ',', run) GROUP BY r, name),
 f AS (SELECT r, arg_min(name, k) AS licence, string_agg(name, ',' ORDER BY k) AS licences FROM h GROUP BY r)
-SELECT d.doc_id, a.n_sentences, a.sentence_ids, f.licence, coalesce(f.licences, '') AS licences FROM d JOIN a USING (r) LEFT JOIN f USING (r)"""
+SELECT doc_id, n_sentences, sentence_ids, f.licence, coalesce(f.licences, '') AS licences FROM c LEFT JOIN f USING (r)"""
 
 
 def url_filters_sql(rules=url_filters.RULES, min_rate: float = url_filters.MIN_RATE, z: float = url_filters.Z) -> str:
@@ -41,11 +51,13 @@ b_{level} AS (SELECT {parent}, noise, (spread - noise / size) / (1 - 1 / greates
 t_{level} AS (SELECT {parent}, CASE WHEN between_rates > 0 THEN least(greatest(noise / between_rates - 1, {url_filters.WEAKEST}), {url_filters.STRONGEST}) ELSE {url_filters.STRONGEST} END AS strength FROM b_{level}),
 r_{level} AS (SELECT s.{level}, (prior * strength + good) / (strength + pages) AS rate, strength + pages AS n FROM s_{level} s JOIN t_{level} t ON s.{parent} = t.{parent})"""
         above = f"r_{level}"
+    two = ", ".join(map(_text, url_filters.TWO_LABELS))
     rest = "substr(url, instr(url, '://') + 3)"
     return f"""WITH p AS (SELECT page_id, url,
   CASE WHEN contains(url, '://') THEN translate(regexp_extract({rest}, '^([^/?#]*)', 1), '{UPPER}', '{LOWER}') ELSE '' END AS host,
   CASE WHEN contains(url, '://') THEN regexp_extract({rest}, '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path FROM pages),
-q AS (SELECT *, regexp_extract(host, '([^.]*[.])?[^.]*$', 0) AS domain, regexp_extract(host, '[^.]*$', 0) AS suffix FROM p),
+q AS (SELECT p.*, CASE WHEN last IN ({two}) THEN regexp_extract(host, '([^.]*[.])?[^.]*[.][^.]*$', 0) ELSE last END AS domain,
+  CASE WHEN last IN ({two}) THEN last ELSE regexp_extract(host, '[^.]*$', 0) END AS suffix FROM (SELECT *, regexp_extract(host, '([^.]*[.])?[^.]*$', 0) AS last FROM p) p),
 g AS (SELECT page_id, quality AS good FROM (SELECT page_id, try_cast(regexp_extract(url, '://[^/?#]*/[^?#0-9]*([0-9]{{1,18}})', 1) AS BIGINT) AS doc_id FROM pages) JOIN labels USING (doc_id)),
 c AS (SELECT 1 AS everything, host, domain, suffix, coalesce(sum(good), 0) AS good, count(good) AS pages FROM q LEFT JOIN g ON q.page_id = g.page_id GROUP BY ALL),
 r_everything AS (SELECT everything, (sum(good) + 1) / (sum(pages) + 2) AS rate FROM c GROUP BY ALL){levels}

@@ -119,6 +119,20 @@ def test_vectors(spark, monkeypatch, shape):
     assert linked.sum() > 100
 
 
+def test_many_lengths(spark):
+    """Vectors of more lengths than a sample holds, each with a copy and a near one."""
+    rng = np.random.default_rng(2)
+    rows = []
+    for dim in range(2, 102):
+        v = rng.normal(size=dim)
+        rows += [v, v + 1e-3, -v]
+    table = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(rows)], "vec_id bigint, embedding array<float>, label int")
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in embedding_dedup.near_duplicates(table).collect())
+    assert got == [(i, int(i % 3 < 2), i - (i % 3 == 1)) for i in range(len(rows))]
+    few = embedding_dedup.fit_cells(table.selectExpr("vec_id AS node", "label", "size(embedding) AS dim", "embedding AS vector"), 10)
+    assert 0 < len(few) <= 10
+
+
 def test_given_vectors(spark):
     t = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
     rows = sorted((r.vec_id, r.embedding, r.label) for r in t.collect())
