@@ -14,8 +14,8 @@ from brinework.llm import language_id, packing, quality_rules, simhash
 from brinework.llm.common import shared_folder, table
 from brinework.llm.queries import tokenizer_path
 
-#: A document in one of the learned languages scores well above this; text of no language does not.
-MIN_LANGUAGE_SCORE = 0.3
+#: Of the way from an even split between the learned languages (0) to one language alone (1): a document in one of them is well beyond.
+MIN_LANGUAGE_LEAD = 1 / 15
 #: Near copies: texts whose sets of five-word shingles have this Jaccard index or more.
 SHINGLE, SIMILARITY = 5, 0.8
 
@@ -26,7 +26,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return language_id.keep_known(docs, language_id.train(docs), MIN_LANGUAGE_SCORE)
+    return language_id.keep_known(docs, language_id.train(docs), MIN_LANGUAGE_LEAD)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
