@@ -198,19 +198,17 @@ def arc_cosine_distance(lat1, lon1, lat2, lon2, radius: float = RADIUS_RIVER) ->
 
 def tidal_ellipse(au, phu, av, phv) -> dict[str, Column]:
     """Semi-major axis, eccentricity, inclination and phase (degrees in [0, 360)) of a tidal current."""
-    pu, pv = F.radians(_col(phu)), F.radians(_col(phv))
-    ur, ui = _col(au) * F.cos(pu), -_col(au) * F.sin(pu)
-    vr, vi = _col(av) * F.cos(pv), -_col(av) * F.sin(pv)
-    pr, pi = (ur - vi) / 2, (ui + vr) / 2  # anticlockwise circle
-    mr, mi = (ur + vi) / 2, (vr - ui) / 2  # clockwise circle
-    wp, wm = F.hypot(pr, pi), F.hypot(mr, mi)
-    tp, tm = F.atan2(pi, pr), F.atan2(mi, mr)
+    # u + iv turns both ways at once: (x, y) of its left-hand and of its right-hand rotation at time zero
+    east, north = ((_col(a) * F.cos(F.radians(_col(p))), -_col(a) * F.sin(F.radians(_col(p)))) for a, p in ((au, phu), (av, phv)))
+    left = ((east[0] - north[1]) / 2, (east[1] + north[0]) / 2)
+    right = ((east[0] + north[1]) / 2, (north[0] - east[1]) / 2)
+    (big, start), (small, end) = ((F.hypot(x, y), F.atan2(y, x)) for x, y in (left, right))
     wrap = lambda x: F.when(x < 0, x + 360).otherwise(x)
     return {
-        "semi_major": wp + wm,
-        "eccentricity": F.try_divide(wp - wm, wp + wm),
-        "inclination": wrap(F.degrees((tm + tp) / 2)),
-        "phase": wrap(F.degrees((tm - tp) / 2)),
+        "semi_major": big + small,
+        "eccentricity": F.try_divide(big - small, big + small),
+        "inclination": wrap(F.degrees((end + start) / 2)),
+        "phase": wrap(F.degrees((end - start) / 2)),
     }
 
 
@@ -258,6 +256,15 @@ def runoff_direction(up, right, left, down) -> tuple[Column, Column]:
     return axis, sign
 
 
+def runoff_shift(up, right, left, down) -> tuple[Column, Column]:
+    """Steps along xi and eta from a river's coastal cell to the index of its source, by the same pattern: -1 where the land beside it is left of or below it."""
+    pattern = 8 * _col(up) + 4 * _col(right) + 2 * _col(left) + _col(down)
+    shift = lambda bits: F.when(pattern.isin(*bits), -1).when(pattern.between(0, 15), 0)
+    return shift(RUNOFF_LEFT), shift(RUNOFF_DOWN)
+
+
+# The land patterns whose source lies one cell to the left, or below.
+RUNOFF_LEFT, RUNOFF_DOWN = (2, 3, 10, 13), (1, 7)
 # Land pattern (up, right, left, down as bits 8, 4, 2, 1) to axis and sign.
 RUNOFF = {
     4: (0, -1), 2: (0, 1), 8: (1, -1), 1: (1, 1), 9: (1, 1), 6: (0, 1), 12: (0, -1), 5: (0, -1),

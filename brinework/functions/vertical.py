@@ -157,7 +157,8 @@ def depth_mean(values, z_w) -> Column:
 def conserve_transport(values, z_w, target) -> Column:
     """A profile shifted so that its depth mean is the target."""
     shift = _col(target) - depth_mean(values, z_w)
-    return F.transform(_col(values), lambda x: x + shift)
+    # as an element of an array the shift is worked out once, not for each level
+    return F.element_at(F.transform(F.array(shift), lambda by: F.transform(_col(values), lambda x: x + by)), 1)
 
 
 def z_to_sigma(values, z, target_z) -> Column:

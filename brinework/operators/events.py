@@ -17,16 +17,53 @@ def climatology(
 ) -> DataFrame:
     """(keys, doy, clim, thr90, thr10): mean and percentiles of the days within ``half_window`` of each day of the year.
 
-    Day numbers run from 1 to 366 and wrap. Missing values are not counted.
+    Day numbers run from 1 to 366 and wrap. Missing values are not counted; a day of the year
+    without any near it has no row. A cell's values are gathered once by day of the year, and its
+    366 windows are put together from those lists in its own row, so no value is shuffled twice.
     """
-    spread = F.explode(F.transform(F.sequence(F.lit(-half_window), F.lit(half_window)), lambda k: F.pmod(F.dayofyear(day) - 1 + k, F.lit(366)) + 1))
-    pooled = daily.where(F.col(value).isNotNull()).select(*keys, value, spread.alias("doy"))
-    return pooled.groupBy(*keys, "doy").agg(
-        F.avg(value).alias("clim"),
-        F.percentile(value, F.lit(quantiles[0])).alias("thr90"),
-        F.percentile(value, F.lit(quantiles[1])).alias("thr10"),
+    known = daily.where(F.col(value).isNotNull()).select(*keys, F.dayofyear(day).alias("__d"), F.col(value).cast("double").alias("__v"))
+    lists = known.groupBy(*keys, "__d").agg(F.collect_list("__v").alias("__l"))
+    by_day = F.map_from_entries(F.collect_list(F.struct("__d", "__l")))
+    none = F.array().cast("array<double>")
+    cells = lists.groupBy(*keys).agg(by_day.alias("__m")).withColumn(
+        "__days", F.transform(F.sequence(F.lit(1), F.lit(366)), lambda d: F.coalesce(F.try_element_at("__m", d), none))
     )
 
+    def window(d: Column) -> Column:
+        around = F.transform(F.sequence(d - 1 - half_window, d - 1 + half_window), lambda k: F.get("__days", F.pmod(k, F.lit(366))))
+        return F.struct(d.alias("doy"), F.array_sort(F.flatten(around)).alias("x"))
+
+    def quantile(x: Column, q: float) -> Column:
+        at = (F.size(x) - 1) * F.lit(q)
+        low, high = F.floor(at), F.ceil(at)
+        below, above = F.get(x, low.cast("int")), F.get(x, high.cast("int"))
+        return F.when(low == high, below).otherwise((high - at) * below + (at - low) * above)
+
+    def summary(w: Column) -> Column:
+        x = w["x"]
+        mean = F.aggregate(x, F.lit(0.0), lambda a, v: a + v) / F.size(x)
+        return F.struct(w["doy"].alias("doy"), mean.alias("clim"), quantile(x, quantiles[0]).alias("thr90"), quantile(x, quantiles[1]).alias("thr10"))
+
+    windows = F.filter(F.transform(F.sequence(F.lit(1), F.lit(366)), window), lambda w: F.size(w["x"]) > 0)
+    return cells.select(*keys, F.explode(F.transform(windows, summary)).alias("__s")).select(*keys, "__s.*")
+
+
+def combined_baselines(clim: DataFrame, thresholds: DataFrame | None, keys: list[str], doy: str = "doy") -> DataFrame:
+    """(keys, doy, clim, thr90, thr10) from a climatology and, if given, a table of thresholds, each from its own source.
+
+    The climatology's value may be named ``temp``, ``climatology`` or ``clim``; its other variables
+    go, but ``zeta`` stays. The thresholds may be named ``threshold_90`` and ``threshold_10`` or
+    ``thr90`` and ``thr10``; days without them, or no table at all, have null ones.
+    """
+    named = next((c for c in ("temp", "climatology", "clim") if c in clim.columns), None)
+    if named is None:
+        raise ValueError("the climatology has none of temp, climatology, clim")
+    base = clim.select(*keys, doy, F.col(named).alias("clim"), *[c for c in ("zeta",) if c in clim.columns])
+    if thresholds is None:
+        return base.withColumns({"thr90": F.lit(None).cast("double"), "thr10": F.lit(None).cast("double")})
+    short = {n: next(c for c in (f"threshold_{n}", f"thr{n}") if c in thresholds.columns) for n in ("90", "10")}
+    return base.join(thresholds.select(*keys, doy, *[F.col(c).alias(f"thr{n}") for n, c in short.items()]), [*keys, doy], "left")
+
 
 def join_climatology(daily: DataFrame, clim: DataFrame, keys: list[str], day: str = "day") -> DataFrame:
     """Adds the baseline of the day of the year; day 60 falls back to 59 where a cell's baseline has no 60."""

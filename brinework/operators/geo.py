@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from brinework.functions import physics
+from brinework.session import cut
 
 
 def nearest_cell(
@@ -55,18 +56,57 @@ def nearest_cell(
             .agg(F.min(F.struct(F.round("dist", 12).alias("r"), "eta", "xi", "cell_lon", "cell_lat", "dist")).alias("b"))
             .select(site, "lon", "lat", "b.eta", "b.xi", "b.cell_lon", "b.cell_lat", "b.dist")
         )
+        near = cut(near)
         sure = near.where(F.col("dist") <= reach * tile)
         found = sure if found is None else found.unionByName(sure)
         if reach > span:
-            return found.unionByName(near.join(sure, site, "left_anti"))
-        todo = todo.join(sure, site, "left_anti")
+            return found.unionByName(near.where(F.col("dist") > reach * tile))
+        todo = cut(todo.join(sure, site, "left_anti"))
         if check and todo.isEmpty():
             return found
-        reach *= 4
+        reach *= 2
 
 
-def shift_cells(found: DataFrame, di: int = 0, dj: int = 0) -> DataFrame:
-    return found.withColumn("eta", F.col("eta") + dj).withColumn("xi", F.col("xi") + di)
+def shift_cells(found: DataFrame, di: int | str = 0, dj: int | str = 0) -> DataFrame:
+    """Moves cells by fixed steps, or by steps that columns name; a null step is none."""
+    step = lambda d: F.coalesce(F.col(d), F.lit(0)) if isinstance(d, str) else F.lit(d)
+    return found.withColumn("eta", F.col("eta") + step(dj)).withColumn("xi", F.col("xi") + step(di))
+
+
+def sites_to_indices(sites: DataFrame, grid: DataFrame, site: str = "site", di: str | None = None, dj: str | None = None, bottom: str | None = None, tile: float = 1.0) -> DataFrame:
+    """(site, eta, xi): the nearest wet cell of each site, at least as deep as the site's own ``bottom``, moved by its own steps.
+
+    ``di``, ``dj`` and ``bottom`` name columns of the sites; null is none. Sites meet the grid once for each
+    distinct bottom, which are few.
+    """
+    own = sites.select(site, "lon", "lat", *[F.col(c) if c else F.lit(None).cast(t) for c, t in ((di, "int"), (dj, "int"), (bottom, "double"))]).toDF(site, "lon", "lat", "__di", "__dj", "__b")
+    out = None
+    for row in own.select("__b").distinct().orderBy("__b").collect() if bottom else [(None,)]:
+        some = own.where(F.col("__b").eqNullSafe(F.lit(row[0]).cast("double")))
+        got = nearest_cell(some, grid, site, min_depth=row[0], tile=tile).select(site, "eta", "xi")
+        out = got if out is None else out.unionByName(got)
+    return shift_cells(out.join(own.select(site, "__di", "__dj"), site), "__di", "__dj").select(site, "eta", "xi")
+
+
+def attach_grid(field: DataFrame, grid: DataFrame, columns: list[str]) -> DataFrame:
+    """A field with grid variables by cell; they replace those that the field brings itself."""
+    return field.drop(*columns).join(grid.select("eta", "xi", *columns), ["eta", "xi"], "left")
+
+
+def transfer_mask(child: DataFrame, parent: DataFrame, rows: int = 2, tile: float = 1.0) -> DataFrame:
+    """A child grid whose outer ``rows`` rows and columns take the mask of the nearest parent cell."""
+    ends = child.agg(*[f(c).alias(f"__{n}_{c}") for c in ("eta", "xi") for n, f in (("a", F.min), ("b", F.max))])
+    edge = F.lit(False)
+    for c in ("eta", "xi"):
+        edge = edge | (F.col(c) < F.col(f"__a_{c}") + rows) | (F.col(c) > F.col(f"__b_{c}") - rows)
+    marked = child.crossJoin(F.broadcast(ends)).withColumn("__edge", edge).drop(*ends.columns)  # one row
+    at = marked.where("__edge").select(F.struct("eta", "xi").alias("cell"), "lon", "lat")
+    near = nearest_cell(at, parent, "cell", wet_only=False, tile=tile).join(parent.select("eta", "xi", F.col("mask").alias("__mask")), ["eta", "xi"])
+    return (
+        marked.join(near.select("cell.eta", "cell.xi", "__mask"), ["eta", "xi"], "left")
+        .withColumn("mask", F.coalesce("__mask", "mask"))
+        .drop("__mask", "__edge")
+    )
 
 
 def series_at_sites(field: DataFrame, found: DataFrame, site: str = "site") -> DataFrame:

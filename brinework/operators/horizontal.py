@@ -172,7 +172,7 @@ def triangle_weights(grid: DataFrame, cells: DataFrame, tile: float) -> DataFram
                 w = np.stack([w0, w1, 1 - w0 - w1])
                 inside = (w >= -1e-9).all(axis=0)
                 for k, (de, dx) in enumerate(moves):
-                    found.append(pd.DataFrame({"out_cell": p.out_cell[inside], "triangle": (2 * (p.eta * 100_000 + p.xi) + (corners == "dbc"))[inside], "eta": p.eta[inside] + de, "xi": p.xi[inside] + dx, "w": w[k][inside]}))
+                    found.append(pd.DataFrame({"out_cell": p.out_cell[inside], "triangle": (2 * (p.eta.astype("int64") * (1 << 31) + p.xi) + (corners == "dbc"))[inside], "eta": p.eta[inside] + de, "xi": p.xi[inside] + dx, "w": w[k][inside]}))
             yield pd.concat(found)
 
     hits = near.mapInPandas(weigh, "out_cell bigint, triangle bigint, eta int, xi int, w double")
@@ -237,23 +237,87 @@ def steepness(grid: DataFrame, value: str = "h") -> DataFrame:
     return along("xi", "eta").unionByName(along("eta", "xi"))
 
 
-def power_spectrum(series: DataFrame, keys: list[str], values: str, spacing: float = 1.0, detrend: bool = True, window: bool = True) -> DataFrame:
-    """(keys, k, frequency, power) of arrays: |FFT|^2 of detrended, Hann-windowed values; arrays of one batch and length go through one FFT."""
+def power_spectrum(series: DataFrame, keys: list[str], values: str, spacing: float = 1.0, detrend: str | None = None, window: str | None = None, true_amplitude: bool = True) -> DataFrame:
+    """(keys, k, frequency, power) of arrays over an even axis: the squared size of the transform, at the n frequencies in rising order.
+
+    By default the series counts as periodic and the transform is multiplied by the spacing
+    (``true_amplitude``). ``detrend`` is ``constant`` or ``linear``, ``window`` is ``hann``. Arrays
+    with a null, and of fewer than two values, give no rows. Arrays of one batch and length go
+    through one FFT.
+    """
+    return _spectrum(series, keys, values, (spacing,), detrend, window, true_amplitude)
+
+
+def power_spectrum_2d(fields: DataFrame, keys: list[str], values: str, spacings: tuple[float, float] = (1.0, 1.0), detrend: str | None = None, window: str | None = None, true_amplitude: bool = True) -> DataFrame:
+    """(keys, j, i, frequency_y, frequency_x, power) of arrays of equally long rows: the transform over both axes, else as ``power_spectrum``."""
+    return _spectrum(fields, keys, values, spacings, detrend, window, true_amplitude)
+
+
+def _without_trend(x: np.ndarray, detrend: str | None) -> np.ndarray:
+    """Arrays less their mean or their plane of least squares over all axes but the first."""
+    if detrend is None:
+        return x
+    if detrend not in ("constant", "linear"):
+        raise ValueError(f"unknown detrend {detrend!r}: constant or linear")
+    axes = tuple(range(1, x.ndim))
+    x = x - x.mean(axis=axes, keepdims=True)
+    for axis in axes if detrend == "linear" else ():
+        t = np.arange(x.shape[axis]) - (x.shape[axis] - 1) / 2
+        t = t.reshape([-1 if k == axis else 1 for k in range(x.ndim)])
+        rest = x.size / x.shape[0] / x.shape[axis]
+        x = x - (x * t).sum(axis=axes, keepdims=True) / ((t * t).sum() * rest) * t
+    return x
+
+
+def _spectrum(series: DataFrame, keys: list[str], values: str, spacings: tuple[float, ...], detrend: str | None, window: str | None, true_amplitude: bool) -> DataFrame:
     kinds = ", ".join(f"`{k}` {series.schema[k].dataType.simpleString()}" for k in keys)
+    names = [("k", "frequency")] if len(spacings) == 1 else [("j", "frequency_y"), ("i", "frequency_x")]
+    if window not in (None, "hann"):
+        raise ValueError(f"unknown window {window!r}: hann")
+    _without_trend(np.zeros((1, 2)), detrend)
+
+    def shape(v) -> tuple[int, ...]:
+        if v is None or len(v) < 2:
+            return ()
+        if len(spacings) == 1:
+            return () if any(x is None or x != x for x in v) else (len(v),)
+        n = {-1 if row is None or any(x is None or x != x for x in row) else len(row) for row in v}
+        return (len(v), n.pop()) if len(n) == 1 and min(n) > 1 else ()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in batches:
-            for n, part in p.groupby(p[values].map(lambda v: 0 if v is None else len(v))):
-                if n < 2:
+            for size, part in p.groupby(p[values].map(shape)):
+                if not size:
                     continue
-                x = np.stack(part[values].to_numpy()).astype(float)
-                if detrend:
-                    t = np.arange(n) - (n - 1) / 2
-                    x = x - x.mean(axis=1, keepdims=True) - (x @ t / (t @ t))[:, None] * t
-                if window:
-                    x = x * np.hanning(n)
-                power = np.abs(np.fft.rfft(x, axis=1)) ** 2 * spacing / n
-                f = np.fft.rfftfreq(n, spacing)
-                yield pd.DataFrame({k: np.repeat(part[k].to_numpy(), len(f)) for k in keys} | {"k": np.tile(np.arange(len(f)), len(part)), "frequency": np.tile(f, len(part)), "power": power.ravel()})
-
-    return series.select(*keys, values).mapInPandas(run, f"{kinds}, k bigint, frequency double, power double")
+                x = _without_trend(np.array([[list(r) for r in v] if len(size) > 1 else v for v in part[values]], float), detrend)
+                axes = tuple(range(1, x.ndim))
+                for axis in axes if window else ():
+                    hann = np.hanning(x.shape[axis] + 1)[:-1]
+                    x = x * hann.reshape([-1 if k == axis else 1 for k in range(x.ndim)])
+                power = np.abs(np.fft.fftshift(np.fft.fftn(x, axes=axes), axes=axes)) ** 2
+                if true_amplitude:
+                    power = power * float(np.prod(spacings)) ** 2
+                f = np.meshgrid(*[np.fft.fftshift(np.fft.fftfreq(n, d)) for n, d in zip(size, spacings)], indexing="ij")
+                at = np.indices(size).reshape(len(size), -1)
+                out = {k: np.repeat(part[k].to_numpy(), power[0].size) for k in keys}
+                for axis, (number, frequency) in enumerate(names):
+                    out |= {number: np.tile(at[axis], len(part)), frequency: np.tile(f[axis].ravel(), len(part))}
+                yield pd.DataFrame(out | {"power": power.ravel()})
+
+    rest = ", ".join([*(f"{n} bigint" for n, _ in names), *(f"{f} double" for _, f in names), "power double"])
+    order = [*keys, *(n for n, _ in names), *(f for _, f in names), "power"]
+    return series.select(*keys, values).mapInPandas(lambda it: (d[order] for d in run(it)), f"{kinds}, {rest}")
+
+
+def scatter_to_grid(points: DataFrame, grid: DataFrame, value: str, low: float, high: float, tile: float = 1.0) -> DataFrame:
+    """(eta, xi, value): each cell takes the value of the scattered point (lon, lat, value) nearest to it, clamped; of equals the first by position."""
+    from brinework.operators import geo
+    from brinework.operators.filters import clamped
+
+    # the points are the grid here and the cells the sites; a point is named by its rank in (lat, lon)
+    spots = points.where(F.col(value).isNotNull()).groupBy("lon", "lat").agg(F.min(value).alias(value))
+    named = spots.select(F.col("lat").alias("eta"), F.col("lon").alias("xi"), "lon", "lat", F.lit(1).alias("mask"), value)
+    cells = grid.select(F.struct("eta", "xi").alias("cell"), "lon", "lat")
+    near = geo.nearest_cell(cells, named, "cell", tile=tile)
+    out = near.join(named.select("eta", "xi", value), ["eta", "xi"])
+    return out.select("cell.eta", "cell.xi", value).withColumn(value, clamped(value, low, high))

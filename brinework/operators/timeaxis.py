@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from brinework.session import cut
+
 
 def decode_time(seconds, origin: str) -> Column:
     """Seconds since an origin (a timestamp text) as a timestamp."""
@@ -24,14 +28,16 @@ def drop_part_days(readings: DataFrame, daily: DataFrame, min_fraction: float, t
 
     A share of 0 or fewer than two times keeps every day; if every day would go, that is an error.
     """
-    times = readings.select(F.col(time).alias("t")).where("t is not null").distinct()
+    times = cut(readings.select(F.col(time).alias("t")).where("t is not null").distinct())
     if min_fraction <= 0 or times.count() < 2:
         return daily
-    # the distinct times are few and one series, so one window without a key is meant here
-    step = times.select(
-        (F.unix_micros(F.col("t").cast("timestamp")) - F.unix_micros(F.lag(F.col("t")).over(Window.orderBy("t")).cast("timestamp"))).alias("d")
-    ).agg(F.percentile("d", F.lit(0.5)).alias("step"))
-    expected = 86_400e6 / step.first().step
+    # steps inside each day, and from the last time of a day to the first of the next: only the days are one list
+    at = F.unix_micros(F.col("t").cast("timestamp"))
+    inside = times.select((at - F.lag(at).over(Window.partitionBy(F.to_date("t")).orderBy("t"))).alias("d"))
+    ends = times.groupBy(F.to_date("t").alias("day")).agg(F.min(at).alias("first"), F.max(at).alias("last"))
+    between = ends.select((F.col("first") - F.lag("last").over(Window.orderBy("day"))).alias("d"))
+    steps = inside.unionByName(between).where("d is not null").groupBy("d").agg(F.count(F.lit(1)).alias("n"))
+    expected = 86_400e6 / steps.agg(F.percentile("d", F.lit(0.5), F.col("n")).alias("step")).first().step
     counts = times.groupBy(F.to_date("t").alias("day")).agg((F.count(F.lit(1)) / expected).alias("share"))
     kept = counts.where(F.col("share") >= min_fraction).select("day")
     if kept.isEmpty():
@@ -53,7 +59,7 @@ def carry_forward(df: DataFrame, keys: list[str], time: str, values: list[str])
 
 
 def interpolate(df: DataFrame, keys: list[str], time: str, value: str, extrapolate: str | None = None) -> DataFrame:
-    """Missing values by the line between the known ones around them; ends stay missing, or are held ("hold")."""
+    """Missing values by the line between the known ones around them; ends stay missing, are held ("hold"), or follow the line of the two nearest known values ("linear")."""
     w = Window.partitionBy(*keys).orderBy(time)
     known = F.when(F.col(value).isNotNull(), F.struct(F.unix_micros(F.col(time).cast("timestamp")).alias("t"), F.col(value).alias("v")))
     out = df.withColumn("__k", known)
@@ -63,8 +69,15 @@ def interpolate(df: DataFrame, keys: list[str], time: str, value: str, extrapola
     at = F.unix_micros(F.col(time).cast("timestamp"))
     line = F.col("__a.v") + (F.col("__b.v") - F.col("__a.v")) * F.try_divide(at - F.col("__a.t"), F.col("__b.t") - F.col("__a.t"))
     ends = F.coalesce("__a.v", "__b.v") if extrapolate == "hold" else F.lit(None).cast("double")
+    if extrapolate == "linear":
+        every = (Window.unboundedPreceding, Window.unboundedFollowing)
+        down = Window.partitionBy(*keys).orderBy(F.desc(time)).rowsBetween(*every)
+        for name, over in (("__f", w.rowsBetween(*every)), ("__l", down)):
+            out = out.withColumns({f"{name}{k}": F.nth_value("__k", k, True).over(over) for k in (1, 2)})
+        along = lambda n: F.col(f"{n}1.v") + (F.col(f"{n}2.v") - F.col(f"{n}1.v")) * F.try_divide(at - F.col(f"{n}1.t"), F.col(f"{n}2.t") - F.col(f"{n}1.t"))
+        ends = F.when(F.col("__a").isNull(), along("__f")).otherwise(along("__l"))
     filled = F.when(F.col(value).isNotNull(), F.col(value)).when(F.col("__a").isNotNull() & F.col("__b").isNotNull(), line).otherwise(ends)
-    return out.withColumn(value, filled).drop("__k", "__a", "__b")
+    return out.withColumn(value, filled).drop("__k", "__a", "__b", "__f1", "__f2", "__l1", "__l2")
 
 
 def nearest_in_time(left: DataFrame, right: DataFrame, keys: list[str], time: str, values: list[str]) -> DataFrame:
@@ -171,6 +184,32 @@ def gap_count(df: DataFrame, day: str = "day") -> DataFrame:
     return days.select(step.alias("s")).agg(F.count_if(F.col("s") != 1).alias("gaps"), F.count(F.lit(1)).alias("days"))
 
 
+def time_range(df: DataFrame, time: str, first: str, last: str) -> DataFrame:
+    """Records between two times, both included."""
+    return df.where(F.col(time).cast("timestamp").between(F.lit(first).cast("timestamp"), F.lit(last).cast("timestamp")))
+
+
+def in_sequence(parts: list[DataFrame], keys: list[str], time: str, drop_first: bool = False) -> DataFrame:
+    """Tables one after another in time; with ``drop_first`` each loses the first record of each key, as station files repeat their start.
+
+    Each record gets its ``position`` in its key's series, so that no global sort is needed.
+    """
+    first = Window.partitionBy(*keys).orderBy(time)
+    if drop_first:
+        parts = [p.withColumn("__k", F.row_number().over(first)).where("__k > 1").drop("__k") for p in parts]
+    return reduce(DataFrame.unionByName, parts).withColumn("position", F.row_number().over(first) - 1)
+
+
+def merge_first(tables: list[DataFrame], keys: list[str]) -> DataFrame:
+    """All variables of several tables on the union of their keys; of a variable in several, the first table with a value wins."""
+    def both(a: DataFrame, b: DataFrame) -> DataFrame:
+        twice = [c for c in b.columns if c in a.columns and c not in keys]
+        joined = a.join(b.withColumnsRenamed({c: f"__{c}" for c in twice}), keys, "full")
+        return joined.withColumns({c: F.coalesce(c, f"__{c}") for c in twice}).drop(*[f"__{c}" for c in twice])
+
+    return reduce(both, tables)
+
+
 def same_axis(a: DataFrame, b: DataFrame, cols: list[str]) -> bool:
     """Whether two tables hold the same rows of some columns, repeats included."""
     x, y = a.select(*cols), b.select(*cols)

@@ -22,6 +22,13 @@ def read_fields(spark: SparkSession, paths: str | list[str], variables: list[str
     return df.select(*keys, *variables)
 
 
+def read_grid(spark: SparkSession, paths: str | list[str], keys: list[str], static: list[str], where: Column | None = None) -> DataFrame:
+    """The variables that do not change in time, once for each cell: of the first file of a list, in an index box if one is asked for."""
+    first = paths if isinstance(paths, str) else paths[0]
+    df = read_fields(spark, first, static, keys)
+    return (df if where is None else df.where(where)).dropDuplicates(keys)
+
+
 def rename_product(df: DataFrame, product: str) -> DataFrame:
     """Standard names for a product's variables; an unknown product is an error."""
     if product not in PRODUCTS:
@@ -81,12 +88,13 @@ def read_scatter(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     return spark.read.csv(path, schema="x double, y double, z double", sep=sep)
 
 
-def write_products(df: DataFrame, path: str, time: str = "day") -> None:
-    """Monthly partitions; only the months present are overwritten."""
-    (
-        df.withColumns({"year": F.year(time), "month": F.month(time)})
-        .write.partitionBy("year", "month").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
-    )
+def write_products(df: DataFrame, path: str, time: str = "day", period: str = "month") -> None:
+    """Partitions by month or year, of which only those present are overwritten, or one whole (``full``)."""
+    parts = {"month": {"year": F.year(time), "month": F.month(time)}, "year": {"year": F.year(time)}, "full": {}}
+    if period not in parts:
+        raise ValueError(f"unknown period {period!r}: month, year or full")
+    out = df.withColumns(parts[period]).write.mode("overwrite")
+    (out.partitionBy(*parts[period]).option("partitionOverwriteMode", "dynamic") if parts[period] else out).parquet(path)
 
 
 def append_columns(base: DataFrame, added: DataFrame, keys: list[str]) -> DataFrame:
