@@ -161,8 +161,7 @@ def open_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""WITH {GRID}, p AS (SELECT eta, xi, CASE WHEN mask = 1 THEN value END AS value FROM grid),
-t AS (SELECT m.eta, m.xi, k.value, (m.eta - k.eta) ** 2 + (m.xi - k.xi) ** 2 AS d, k.eta AS e, k.xi AS x FROM p m JOIN p k ON m.value IS NULL AND k.value IS NOT NULL
-AND abs(m.eta // 5 - k.eta // 5) <= 1 AND abs(m.xi // 5 - k.xi // 5) <= 1),
+t AS (SELECT m.eta, m.xi, k.value, (m.eta - k.eta) ** 2 + (m.xi - k.xi) ** 2 AS d, k.eta AS e, k.xi AS x FROM p m JOIN p k ON m.value IS NULL AND k.value IS NOT NULL),
 b AS (SELECT eta, xi, value FROM t QUALIFY row_number() OVER (PARTITION BY eta, xi ORDER BY d, e, x) = 1)
 SELECT p.eta, p.xi, coalesce(p.value, b.value) AS value FROM p LEFT JOIN b ON p.eta = b.eta AND p.xi = b.xi"""
 )
@@ -378,20 +377,3 @@ SELECT p.cell, round(za + (10 - ta) * (zb - za) / (tb - ta), 6) AS depth FROM pr
 )
 def isotherm_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_levels(spark, sf_dir).select("cell", r6(vertical.at_surface_of("z", "temp", 10.0), "depth"))
-
-
-@query()
-def pressure_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = vertical.with_pressure(_with_levels(spark, sf_dir), "rho", "z", "z_w")
-    return _cells(p, pressure=F.col("pressure"))
-
-
-@query()
-def profile_spectrum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return horizontal.power_spectrum(profiles(spark, sf_dir), ["cell"], "temp").select("cell", "k", r6("frequency"), r6("power"))
-
-
-@query()
-def wet_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Groups of connected land cells of the grid."""
-    return forcing.connected_groups(grid(spark, sf_dir).where("mask = 0").select("eta", "xi"))

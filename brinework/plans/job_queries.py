@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from brinework.functions import physics, vertical
 from brinework.operators import filters, forcing, geo, horizontal
 from brinework.plans import workloads
-from brinework.plans.field_queries import NEAREST, RING, _nearest, _with_levels
+from brinework.plans.field_queries import NEAREST, RING, _depth_sql, _eos_sql, _nearest, _with_levels
 from brinework.plans.series_queries import query, r6, text_time
 from brinework.sources.adaptors import GRID, PROFILES, SENSORS, WIDTH, grid, sensors, table
 
@@ -48,12 +48,14 @@ def boundary_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""WITH {GRID}, d AS (SELECT g.eta, g.xi, max(CASE WHEN l.eta = g.eta + 1 THEN 8 ELSE 0 END) + max(CASE WHEN l.xi = g.xi + 1 THEN 4 ELSE 0 END) + max(CASE WHEN l.xi = g.xi - 1 THEN 2 ELSE 0 END) + max(CASE WHEN l.eta = g.eta - 1 THEN 1 ELSE 0 END) AS p
 FROM grid g JOIN grid l ON l.mask = 0 AND abs(l.eta - g.eta) + abs(l.xi - g.xi) = 1 WHERE g.mask = 1 GROUP BY ALL)
-SELECT eta, xi, CAST(CASE WHEN p IN (8, 1, 9, 14, 7) THEN 1 WHEN p <> 15 THEN 0 END AS INT) AS axis, CAST(CASE WHEN p IN (4, 8, 12, 5, 14) THEN -1 WHEN p <> 15 THEN 1 END AS INT) AS sign FROM d"""
+SELECT eta, xi, CAST(CASE WHEN p IN (8, 1, 9, 14, 7) THEN 1 WHEN p <> 15 THEN 0 END AS INT) AS axis, CAST(CASE WHEN p IN (4, 8, 12, 5, 14) THEN -1 WHEN p <> 15 THEN 1 END AS INT) AS sign,
+CAST(CASE WHEN p IN (2, 3, 10, 13) THEN -1 ELSE 0 END AS INT) AS di, CAST(CASE WHEN p IN (1, 7) THEN -1 ELSE 0 END AS INT) AS dj FROM d"""
 )
 def runoff_directions(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = horizontal.land_neighbours(grid(spark, sf_dir)).where("mask = 1 and land > 0")
-    axis, sign = physics.runoff_direction("land_up", "land_right", "land_left", "land_down")
-    return near.select("eta", "xi", axis.alias("axis"), sign.alias("sign"))
+    flags = ("land_up", "land_right", "land_left", "land_down")
+    (axis, sign), (di, dj) = physics.runoff_direction(*flags), physics.runoff_shift(*flags)
+    return near.select("eta", "xi", axis.alias("axis"), sign.alias("sign"), di.alias("di"), dj.alias("dj"))
 
 
 @query(
@@ -67,7 +69,30 @@ def profiles_at_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("site", "level", r6("z"), r6("temp"), r6("salt"))
 
 
-@query()
+SECTION_RADIUS = 6367442.76
+
+
+def _section_sql() -> str:
+    """A section's points, their place in index space and four weighted corners, by plain formulas."""
+    far = f"{SECTION_RADIUS} * atan2(sqrt((sin(l) * cos(b)) ** 2 + (sin(b) * cos(a) - cos(b) * sin(a) * cos(l)) ** 2), sin(b) * sin(a) + cos(b) * cos(a) * cos(l))"
+    return f"""WITH {GRID}, e AS (SELECT radians(15.3::DOUBLE) AS o, radians(-35.95::DOUBLE) AS a, radians(18.9::DOUBLE) AS p, radians(-35.7::DOUBLE) AS b),
+t AS (SELECT *, 2 * {SECTION_RADIUS} * asin(sqrt(sin((b - a) / 2) ** 2 + cos(a) * cos(b) * sin((p - o) / 2) ** 2)) AS total, atan2(cos(b) * sin(p - o), cos(a) * sin(b) - sin(a) * cos(b) * cos(p - o)) AS h FROM e),
+s AS (SELECT *, CAST(unnest(range(CAST(floor(total / 10000) AS BIGINT) + 1)) AS INT) AS point FROM t),
+y AS (SELECT *, point * 10000 / {SECTION_RADIUS} AS s, asin(sin(a) * cos(point * 10000 / {SECTION_RADIUS}) + cos(a) * sin(point * 10000 / {SECTION_RADIUS}) * cos(h)) AS y FROM s),
+q AS (SELECT point, degrees(o + atan2(sin(h) * sin(s) * cos(a), cos(s) - sin(a) * sin(y))) AS lon, degrees(y) AS lat FROM y),
+w AS (SELECT *, radians(lat) AS a1, radians(lead(lat) OVER n) AS b1, radians(lead(lon) OVER n - lon) AS d1 FROM q WINDOW n AS (ORDER BY point)),
+z AS (SELECT *, atan2(cos(b1) * sin(d1), cos(a1) * sin(b1) - sin(a1) * cos(b1) * cos(d1)) AS bearing FROM w),
+r AS (SELECT point, lon, lat, coalesce(bearing, lag(bearing) OVER (ORDER BY point)) AS bearing FROM z),
+n AS (SELECT r.*, g.eta, g.xi, g.lon AS clon, g.lat AS clat FROM r, grid g QUALIFY row_number() OVER (PARTITION BY point ORDER BY round(sqrt((g.lon - r.lon) ** 2 + (g.lat - r.lat) ** 2), 12), g.eta, g.xi) = 1),
+f AS (SELECT *, radians(abs(lon - clon)) AS l, radians(clat) AS a, radians(lat) AS b, radians(270 - degrees(atan2(clat - lat, clon - lon))) AS north FROM n),
+i AS (SELECT point, lon, lat, bearing, eta + ({far}) * cos(north) / 11113.0 AS ef, xi + ({far}) * sin(north) / 9200.0 AS xf FROM f),
+c AS (SELECT i.*, floor(ef) + de AS eta, floor(xf) + dx AS xi, (CASE de WHEN 1 THEN ef - floor(ef) ELSE 1 - (ef - floor(ef)) END) * (CASE dx WHEN 1 THEN xf - floor(xf) ELSE 1 - (xf - floor(xf)) END) AS w
+    FROM i, (SELECT unnest([0, 1]) AS de), (SELECT unnest([0, 1]) AS dx)),
+k AS (SELECT point, c.lon, c.lat, bearing, count(*) AS need, count(g.eta) AS have, sum(w * value) AS value, sum(w * h) AS h FROM c LEFT JOIN grid g ON g.eta = c.eta AND g.xi = c.xi WHERE w > 0 GROUP BY ALL)
+SELECT point, round(lon, 6) AS lon, round(lat, 6) AS lat, round(bearing, 6) AS bearing, CASE WHEN need = have THEN round(value, 6) END AS value, CASE WHEN need = have THEN round(h, 6) END AS h FROM k WHERE have > 0"""
+
+
+@query(_section_sql())
 def section_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = grid(spark, sf_dir).withColumns({"pm": F.lit(1 / 9200.0), "pn": F.lit(1 / 11113.0), "angle": F.lit(0.0)})
     got = workloads.section(spark, g, g, (15.3, -35.95, 18.9, -35.7), 10_000.0, ["value", "h"], [], tile=0.5)
@@ -84,7 +109,14 @@ def regridded_depths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("depth", "out_cell", r6("lon"), r6("lat"), r6("temp"), r6("salt"))
 
 
-@query()
+@query(
+    f"""WITH {NEAREST}, {PROFILES}, {SENSORS}, {_depth_sql(10.0)}, m AS (SELECT cell, cell % 200 // {WIDTH} AS eta, cell % 200 % {WIDTH} AS xi, cell % 40 AS bin, temp AS model FROM v10),
+o AS (SELECT site, CAST(ceil((epoch_us(time) - epoch_us(TIMESTAMP '2024-01-01') + 10800000000) / 21600000000.0) - 1 AS BIGINT) AS bin, avg(value) AS obs FROM sensors GROUP BY ALL),
+p AS (SELECT n.site, m.model, o.obs FROM near n JOIN m ON m.eta = n.eta AND m.xi = n.xi JOIN o ON o.site = n.site AND o.bin = m.bin WHERE model IS NOT NULL AND obs IS NOT NULL),
+s AS (SELECT site, count(*) AS n, covar_pop(model, obs) AS c, stddev_pop(model) * stddev_pop(obs) AS d, sqrt(var_pop(model - obs)) AS rmse, avg(model) AS a, min(model) AS b, max(model) AS x, avg(obs) AS e, min(obs) AS f, max(obs) AS g, avg(abs(model - obs)) AS mae FROM p GROUP BY ALL)
+SELECT site, n, CASE WHEN n > 1 AND d > 0 THEN round(c / d, 6) END AS corr, CASE WHEN n > 1 THEN round(rmse, 6) END AS rmse, CASE WHEN n > 1 THEN round(a, 6) END AS model_mean, CASE WHEN n > 1 THEN round(b, 6) END AS model_min,
+CASE WHEN n > 1 THEN round(x, 6) END AS model_max, CASE WHEN n > 1 THEN round(e, 6) END AS obs_mean, CASE WHEN n > 1 THEN round(f, 6) END AS obs_min, CASE WHEN n > 1 THEN round(g, 6) END AS obs_max, CASE WHEN n > 1 THEN round(mae, 6) END AS mae FROM s"""
+)
 def model_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Profiles as a model of six-hourly steps, sensors as observations, statistics per site."""
     start = F.lit("2024-01-01").cast("timestamp")
@@ -97,16 +129,34 @@ def model_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("site", "n", *[r6(c) for c, t in got.dtypes if t == "double"])
 
 
-@query()
+def _masked(value: str, out: str, keys: str, order: str) -> str:
+    """Mean difference to the neighbours one index away, or that to the one there is."""
+    w = f"OVER (PARTITION BY {keys} ORDER BY {order})"
+    ahead = f"(CASE WHEN lead({order}) {w} = {order} + 1 THEN lead({value}) {w} END - {value})"
+    behind = f"({value} - CASE WHEN lag({order}) {w} = {order} - 1 THEN lag({value}) {w} END)"
+    return f"coalesce(({ahead} + {behind}) / 2, {ahead}, {behind}) AS {out}"
+
+
+def _pv_sql() -> str:
+    up, row, col = (("eta, xi", "level"), ("level, eta", "xi"), ("level, xi", "eta"))
+    parts = [_masked(v, n, *up) for v, n in (("z", "zz"), ("rho", "rz"), ("u", "uz"), ("v", "vz"))]
+    parts += [_masked(v, n, *row) for v, n in (("v", "vx"), ("rho", "rx"), ("z", "zx"))] + [_masked(v, n, *col) for v, n in (("u", "uy"), ("rho", "ry"), ("z", "zy"))]
+    at_x, at_y = (lambda n, s: f"({n} - {s} / zz * zx) * pm"), (lambda n, s: f"({n} - {s} / zz * zy) * pn")
+    return f"""WITH {GRID}, {PROFILES}, c AS (SELECT CAST(cell // {WIDTH} AS INT) AS eta, CAST(cell % {WIDTH} AS INT) AS xi, CAST(i AS INT) AS level, temp / 10 AS u, salt / 10 AS v, {_eos_sql('temp', 'salt')} AS rho, z FROM water),
+g AS (SELECT c.*, pm, pn, 4 * pi() * sin(radians(lat)) * 366.25 / (24 * 3600 * 365.25) AS f FROM c JOIN grid USING (eta, xi)),
+d AS (SELECT *, {', '.join(parts)} FROM g)
+SELECT level, eta, xi, round(1e9 * (-(f + {at_x('vx', 'vz')} - {at_y('uy', 'uz')}) * rz / zz + vz / zz * {at_x('rx', 'rz')} - uz / zz * {at_y('ry', 'rz')}) / 1027, 4) AS pv FROM d"""
+
+
+@query(_pv_sql())
 def potential_vorticity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ertel potential vorticity of profiles laid on the grid."""
     p = _with_levels(spark, sf_dir).withColumns({"eta": F.floor(F.col("cell") / WIDTH).cast("int"), "xi": (F.col("cell") % WIDTH).cast("int")})
-    zipped = F.arrays_zip("temp", "salt", "rho", "z")
-    cells = p.select("eta", "xi", F.posexplode(F.slice(zipped, 50, 10)).alias("level", "v")).select(
+    cells = p.select("eta", "xi", F.posexplode(F.arrays_zip("temp", "salt", "rho", "z")).alias("level", "v")).select(
         "eta", "xi", "level", (F.col("v.temp") / 10).alias("u"), (F.col("v.salt") / 10).alias("v"), "v.rho", "v.z"
     )
     metrics = grid(spark, sf_dir).select("eta", "xi", "pm", "pn", physics.coriolis("lat").alias("f"))
-    return workloads.ertel_pv(cells.join(metrics, ["eta", "xi"]), []).select("level", "eta", "xi", F.round(F.col("pv") * 1e9, 6).alias("pv"))
+    return workloads.ertel_pv(cells.join(metrics, ["eta", "xi"]), []).select("level", "eta", "xi", F.round(F.col("pv") * 1e9, 4).alias("pv"))
 
 
 @query(
@@ -122,7 +172,20 @@ def vectors_at_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     return geo.vector_series_at_sites(u, v, _nearest(spark, sf_dir), g).select("site", "time", r6("u"), r6("v"))
 
 
-@query()
+def _nearest_sql(name: str, points: str, cells: str) -> str:
+    return f"""{name} AS (SELECT p.river, g.eta, g.xi, g.lon, g.lat, g.mask FROM {points} p, grid g WHERE {cells} QUALIFY row_number() OVER (PARTITION BY p.river ORDER BY round(sqrt((g.lon - p.lon) ** 2 + (g.lat - p.lat) ** 2), 12), g.eta, g.xi) = 1)"""
+
+
+@query(
+    f"""WITH {GRID}, v AS (SELECT s_suppkey AS river, 14.5 + 0.05::DOUBLE * (s_suppkey * 7 % 120) AS lon, -36.2 + 0.01::DOUBLE * (s_suppkey * 13 % 420) AS lat FROM supplier),
+r AS (SELECT v.* FROM v, (SELECT min(lon) AS a, max(lon) AS b, min(lat) AS c, max(lat) AS d FROM grid) WHERE lon BETWEEN a AND b AND lat BETWEEN c AND d),
+l AS (SELECT g.eta, g.xi, coalesce(sum(CASE WHEN m.eta = g.eta + 1 THEN 8 WHEN m.xi = g.xi + 1 THEN 4 WHEN m.xi = g.xi - 1 THEN 2 WHEN m.eta = g.eta - 1 THEN 1 END), 0) AS p FROM grid g LEFT JOIN grid m ON m.mask = 0 AND abs(m.eta - g.eta) + abs(m.xi - g.xi) = 1 GROUP BY ALL),
+{_nearest_sql('n', 'r', 'true')}, k AS (SELECT n.river, n.eta, n.xi, n.mask, p, r.lon, r.lat FROM n JOIN l USING (eta, xi) JOIN r USING (river)),
+o AS (SELECT river, lon, lat FROM k WHERE mask = 1 AND p = 0), {_nearest_sql('s', 'o', 'g.mask = 0')}, a AS (SELECT river, lon, lat FROM k WHERE mask = 0 UNION ALL SELECT river, lon, lat FROM s), {_nearest_sql('w', 'a', 'g.mask = 1')},
+f AS (SELECT river, eta, xi FROM k WHERE mask = 1 AND p > 0 UNION ALL SELECT river, eta, xi FROM w)
+SELECT river, eta, xi, CAST(CASE WHEN p IN (8, 1, 9, 14, 7) THEN 1 WHEN p NOT IN (0, 15) THEN 0 END AS INT) AS axis, CAST(CASE WHEN p IN (4, 8, 12, 5, 14) THEN -1 WHEN p NOT IN (0, 15) THEN 1 END AS INT) AS sign,
+CAST(CASE WHEN p IN (2, 3, 10, 13) THEN -1 ELSE 0 END AS INT) AS di, CAST(CASE WHEN p IN (1, 7) THEN -1 ELSE 0 END AS INT) AS dj FROM f JOIN l USING (eta, xi)"""
+)
 def river_mouths(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("s_suppkey")
     rivers = table(spark, sf_dir, "supplier").select(k.alias("river"), (14.5 + 0.05 * (k * 7 % 120)).alias("lon"), (-36.2 + 0.01 * (k * 13 % 420)).alias("lat"))
@@ -141,19 +204,16 @@ def regular_source_on_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("eta", "xi", F.posexplode("temp").alias("level", "temp")).select("eta", "xi", "level", r6("temp"))
 
 
-@query()
+@query(
+    f"""WITH {PROFILES}, c AS (SELECT cell // {WIDTH} AS eta, cell % {WIDTH} AS xi, i AS level, temp, z FROM water),
+q AS (SELECT *, (coalesce(lead(temp) OVER w, temp) - coalesce(lag(temp) OVER w, temp)) / (coalesce(lead(z) OVER w, z) - coalesce(lag(z) OVER w, z)) AS s FROM c WINDOW w AS (PARTITION BY eta, xi ORDER BY level))
+SELECT CAST(a.eta AS INT) AS eta, CAST(a.xi AS INT) AS xi, CAST(a.level AS INT) AS level, round(((b.temp - a.temp) - (a.s + b.s) / 2 * (b.z - a.z)) * 1e-3, 6) + 0::DOUBLE AS gradient FROM q a LEFT JOIN q b ON b.eta = a.eta AND b.level = a.level AND b.xi = a.xi + 1"""
+)
 def isotherm_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gradient along xi at constant depth on the sloping levels."""
     p = _with_levels(spark, sf_dir).withColumns({"eta": F.floor(F.col("cell") / WIDTH).cast("int"), "xi": (F.col("cell") % WIDTH).cast("int"), "pm": F.lit(1e-3)})
     cells = p.select("eta", "xi", "pm", F.posexplode(F.arrays_zip("temp", "z")).alias("level", "v")).select("eta", "xi", "pm", "level", "v.temp", "v.z")
-    return workloads.horizontal_gradient(cells, [], "temp", "xi", "pm").select("eta", "xi", "level", r6("gradient"))
-
-
-@query(f"WITH {PROFILES} SELECT cell, round(h / 100, 6) AS mean, round(h / 100, 6) AS target FROM profiles")
-def mixed_layer_transport(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Profiles shifted to a given depth mean, and their new depth mean."""
-    p = _with_levels(spark, sf_dir).withColumn("moved", vertical.conserve_transport("temp", "z_w", F.col("h") / 100))
-    return p.select("cell", r6(vertical.depth_mean("moved", "z_w"), "mean"), r6(F.col("h") / 100, "target"))
+    return workloads.horizontal_gradient(cells, [], "temp", "xi", "pm").select("eta", "xi", "level", (F.round("gradient", 6) + 0.0).alias("gradient"))
 
 
 @query(

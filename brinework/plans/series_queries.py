@@ -232,7 +232,7 @@ def statistics_by_level(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """WITH q AS (SELECT quantile_cont(o_totalprice, 0.01) AS a, quantile_cont(o_totalprice, 0.99) AS b FROM orders)
+    """WITH q AS (SELECT quantile_disc(o_totalprice, 0.01) AS a, quantile_disc(o_totalprice, 0.99) AS b FROM orders)
 SELECT round(a / pow(10, floor(log10(abs(a))) - 1)) * pow(10, floor(log10(abs(a))) - 1) AS low, round(b / pow(10, floor(log10(abs(b))) - 1)) * pow(10, floor(log10(abs(b))) - 1) AS high FROM q"""
 )
 def colour_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -334,20 +334,20 @@ def context_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timeaxis.context_days(target, [other], ["cell"]).select("cell", text_day(), r6("temp"), "is_target")
 
 
-@query(f"WITH {CELL_READINGS} SELECT DISTINCT cell, strftime(CAST(time AS DATE), '%Y-%m-%d') AS day FROM cell_readings WHERE CAST(time AS DATE) NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders WHERE o_orderpriority = '1-URGENT')")
+@query(f"WITH {CELL_READINGS} SELECT DISTINCT cell, strftime(CAST(time AS DATE), '%Y-%m-%d') AS day FROM cell_readings WHERE CAST(time AS DATE) NOT IN (SELECT CAST(o_orderdate AS DATE) + 2000 FROM orders)")
 def days_without_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Anti join in time: the days of cells that are none of the other axis."""
+    """Anti join in time: the days of cells that are none of the other axis, shifted so that the two overlap in part."""
     mine = cell_readings(spark, sf_dir).select("cell", F.to_date("time").alias("day")).distinct()
-    other = table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'").select(F.to_date("o_orderdate").alias("day")).distinct()
+    other = table(spark, sf_dir, "orders").select(F.date_add(F.to_date("o_orderdate"), 2000).alias("day")).distinct()
     return mine.join(other, "day", "left_anti").select("cell", text_day())
 
 
 @query(
-    f"""WITH {SENSORS}, t AS (SELECT id, site, time, value FROM sensors WHERE kind = 'view'), n AS (SELECT id, time, abs(epoch_us(time) - epoch_us(TIMESTAMP '2024-01-15 12:00:00')) AS g FROM t)
+    f"""WITH {SENSORS}, t AS (SELECT id, site, time, value FROM sensors), n AS (SELECT id, time, abs(epoch_us(time) - epoch_us(TIMESTAMP '2024-01-15 12:00:00')) AS g FROM t)
 SELECT id FROM n ORDER BY g, time LIMIT 2"""
 )
 def two_nearest_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return timeaxis.nearest_times(sensors(spark, sf_dir).where("kind = 'view'"), "2024-01-15 12:00:00", 2, "time").select("id")
+    return timeaxis.nearest_times(sensors(spark, sf_dir), "2024-01-15 12:00:00", 2, "time").select("id")
 
 
 @query(

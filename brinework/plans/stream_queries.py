@@ -6,13 +6,13 @@ after the last record less the allowed lateness is still open and is not in the
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brinework.plans.series_queries import query, r6
+from brinework.session import shared_folder
 from brinework.sources.adaptors import table
 from brinework.streaming import jobs
 
@@ -21,9 +21,7 @@ LATE = "1 day"
 
 def _folder(spark: SparkSession) -> str:
     """A new folder beside the session's checkpoints, which driver and executors share."""
-    sc = spark.sparkContext
-    base = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-stream-", dir="/tmp")
-    return f"{base}/stream-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,22 +73,23 @@ def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _finished(spark, jobs.sessions(_events(spark, sf_dir), ["user_id"], "ts", "6 hours"))
 
 
-@query("SELECT count(DISTINCT user_id) AS users FROM events")
+@query("SELECT count(DISTINCT user_id) AS users, count(DISTINCT user_id) AS kept FROM events")
 def stream_first_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Repeats within the watermark are dropped; every user keeps a record."""
+    """Repeats within the watermark are dropped; every user keeps one record."""
     first = _finished(spark, jobs.first_records(_events(spark, sf_dir), ["user_id"]).select("user_id", "event_id"))
-    return first.agg(F.count_distinct("user_id").alias("users"))
+    return first.agg(F.count_distinct("user_id").alias("users"), F.count(F.lit(1)).alias("kept"))
 
 
 @query(
     f"""WITH {CLOSED}, d AS (SELECT user_id, date_trunc('day', ts) AS day, avg(value) AS value FROM events GROUP BY ALL),
 c AS (SELECT user_id, avg(value) AS clim FROM events GROUP BY ALL)
-SELECT user_id, strftime(day, '%Y-%m-%d') AS day, round(value - clim, 6) AS anomaly FROM d JOIN c USING (user_id), mark WHERE day + INTERVAL 1 DAY <= mark"""
+SELECT user_id, strftime(day, '%Y-%m-%d') AS day, round(value - clim - dayofyear(day) / 100, 6) AS anomaly FROM d JOIN c USING (user_id), mark WHERE day + INTERVAL 1 DAY <= mark"""
 )
 def stream_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily means joined to a static baseline for each day of the year."""
     days = jobs.daily_means(_events(spark, sf_dir), ["user_id"], "ts", "value")
     clim = table(spark, sf_dir, "events").groupBy("user_id").agg(F.avg("value").alias("clim")).withColumn("doy", F.explode(F.sequence(F.lit(1), F.lit(366))))
+    clim = clim.withColumn("clim", F.col("clim") + F.col("doy") / 100)
     return _finished(spark, jobs.against_climatology(days, clim, ["user_id"], "day", "value").select("user_id", "day", "anomaly")).select("user_id", "day", r6("anomaly"))
 
 
@@ -103,7 +102,12 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.groupBy(F.col("user_id").cast("bigint").alias("user_id")).agg(F.count(F.lit(1)).alias("n"), F.round(F.max("value"), 6).alias("top"))
 
 
-@query()
+@query(
+    """WITH h AS (SELECT user_id, datediff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS position, max(value - 20) AS peak FROM events WHERE value > 20 GROUP BY ALL),
+s AS (SELECT *, CASE WHEN position - lag(position) OVER w - 1 <= 2 THEN 0 ELSE 1 END AS new FROM h WINDOW w AS (PARTITION BY user_id ORDER BY position)),
+g AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY position) AS g FROM s)
+SELECT user_id, min(position) AS first, max(position) AS last, max(position) - min(position) + 1 AS length, round(max(peak), 6) AS peak FROM g GROUP BY user_id, g HAVING max(position) > min(position)"""
+)
 def stream_event_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stateful detection: runs of positions whose value exceeds a threshold, with short gaps bridged."""
     e = _events(spark, sf_dir)
