@@ -30,8 +30,8 @@ from brinework.llm.common import released
 
 #: Parts, and pre-tokens, that a task remembers; what it has not met lately goes, and longer ones are not stored.
 MAX_PARTS, MAX_PART_CHARS = 900_000, 40
-#: Symbols that step together.
-MAX_CELLS = 1 << 16
+#: Symbols that step together; a pre-token of more bytes than LONG steps by itself.
+MAX_CELLS, LONG = 1 << 16, 1 << 12
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _GAP = re.compile(r"\s\s")
 _CUT = re.compile(r"(?<=\S) (?=\S)|(?<=\S)(?=\n\S)")
@@ -95,6 +95,7 @@ class SegmentTreeBPE:
         self.digits = _blob([b"%d," % i for i in range(size)])
         self.pattern = regex.compile(PATTERN)
         self.cut_special = regex.compile("|".join(map(re.escape, self.special))) if self.special else None
+        self.rank_of: dict[int, int] = {}  # for long pre-tokens, when one comes
         self.forget()
 
     def forget(self) -> None:
@@ -189,6 +190,52 @@ class SegmentTreeBPE:
         ends = (4 * np.cumsum(kept.sum(axis=1))).tolist()
         return [raw[a:b] for a, b in zip([0, *ends], ends)]
 
+    def _merge_long(self, raw: bytes) -> bytes:
+        """Ids of one long pre-token: the same tree in plain lists, whose updates stop where a node keeps its value."""
+        n = len(raw)
+        width = 1 << (n - 1).bit_length()
+        sym = self.byte_id[np.frombuffer(raw, np.uint8)]
+        none = (len(self.made) + 1) * width
+        rank = self._rank(sym[:-1], sym[1:]).astype(np.int64)
+        tree = np.full(2 * width, none, np.int64)
+        tree[width : width + n - 1] = np.where(rank >= 0, rank * width + np.arange(n - 1), none)
+        a = width >> 1
+        while a:
+            tree[a : 2 * a] = np.minimum(tree[2 * a : 4 * a : 2], tree[2 * a + 1 : 4 * a : 2])
+            a >>= 1
+        tree, sym, made, size = tree.tolist(), sym.tolist(), self.made.tolist(), self.size
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        if not self.rank_of:
+            self.rank_of = {k: r for k, r in zip(self.slot_key.tolist(), self.slot_rank.tolist()) if k >= 0}
+        rank_of = self.rank_of
+
+        def put(place: int, value: int) -> None:
+            node = width + place
+            tree[node] = value
+            node >>= 1
+            while node:
+                low = min(tree[2 * node], tree[2 * node + 1])
+                if tree[node] == low:
+                    break
+                tree[node] = low
+                node >>= 1
+
+        while (root := tree[1]) != none:
+            at = root % width
+            gone = after[at]
+            nxt, prv = after[gone], before[at]
+            sym[at], sym[gone], after[at] = made[root // width], -1, nxt
+            put(gone, none)
+            found = None
+            if nxt < n:
+                before[nxt] = at
+                found = rank_of.get(sym[at] * size + sym[nxt])
+            put(at, none if found is None else found * width + at)
+            if prv >= 0:
+                found = rank_of.get(sym[prv] * size + sym[at])
+                put(prv, none if found is None else found * width + prv)
+        return np.array([s for s in sym if s >= 0], "<u4").tobytes()
+
     def encode_pretokens(self, tokens: Iterable[str]) -> dict[str, bytes]:
         """Ids of each distinct pre-token, by classes of length."""
         by_class: dict[int, tuple[list[str], list[bytes]]] = {}
@@ -199,6 +246,9 @@ class SegmentTreeBPE:
             raws.append(raw)
         out: dict[str, bytes] = {}
         for bits, (names, raws) in by_class.items():
+            if 1 << bits > LONG:
+                out.update(zip(names, map(self._merge_long, raws)))
+                continue
             step = max(1, MAX_CELLS >> bits)
             for k in range(0, len(names), step):
                 out.update(zip(names[k : k + step], self._merge(raws[k : k + step])))

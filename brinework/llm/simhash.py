@@ -120,7 +120,11 @@ def _with_fingerprints(batches: Iterator[pa.RecordBatch], text: str, name: str,
 
 
 def fingerprints(docs: DataFrame, text: str = "text", name: str = "fingerprint", keep_text: bool = False, shingle: int = SHINGLE, whole_set: bool = False) -> DataFrame:
-    """Adds the fingerprint (or the hash of the set of shingles) as a signed long; the text goes unless it is kept."""
+    """Adds the fingerprint (or the hash of the set of shingles) as a signed long; the text goes unless it is kept.
+
+    A null text counts as empty: fingerprint zero, the hash of the empty set. Every row keeps its
+    place and its other columns; ``name`` must be free (``free_names`` gives such a name).
+    """
     rest = docs if keep_text else docs.drop(text)
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema), f"`{name}` bigint"])
     return docs.mapInArrow(released(lambda it: _with_fingerprints(it, text, name, keep_text, shingle, whole_set)), schema)

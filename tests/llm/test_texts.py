@@ -9,6 +9,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -593,6 +594,15 @@ def test_odd_texts():
     assert ids.tolist() == [i for e in each for i in e] and ends.tolist() == [*np.cumsum(list(map(len, each))), len(ids)]
 
 
+def test_long_pretokens():
+    """Words of many thousand letters, of one kind or mixed, step by themselves."""
+    lib = Tokenizer.from_file(queries.tokenizer_path())
+    codec = bpe.SegmentTreeBPE(queries.tokenizer_path())
+    rng = np.random.default_rng(6)
+    for t in ("x" * 200_000, "ab" * 5000, "".join(rng.choice(list("etaoinshr\u00e9"), 60_000)), "=" * 4097, " " * 9000 + "a"):
+        assert codec.encode([t, "and short"])[0].tolist() == lib.encode(t, add_special_tokens=False).ids
+
+
 def test_small_tables_stay_right(monkeypatch):
     monkeypatch.setattr(bpe, "MAX_PARTS", 6)
     lib = Tokenizer.from_file(queries.tokenizer_path())
@@ -603,6 +613,16 @@ def test_small_tables_stay_right(monkeypatch):
 
 
 # pipeline
+def test_empty_pipeline(spark, tmp_path):
+    """No documents, or none that a stage keeps, give no sequences."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    for name, rows in (("none", docs.limit(0)), ("blank", docs.limit(3).withColumn("text", F.lit(" ").cast("string")))):
+        rows.write.parquet(str(tmp_path / name / "documents.parquet"))
+        labels.limit(0).write.parquet(str(tmp_path / name / "labels.parquet"))
+        assert corpus_pipeline.run(spark, str(tmp_path / name)).collect() == []
+
+
 def test_pipeline(spark, docs, texts):
     out = corpus_pipeline.run(spark, SF).collect()
     model = quality_rules.train(docs, spark.read.parquet(f"{SF}/labels.parquet"))
