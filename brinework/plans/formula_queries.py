@@ -201,6 +201,38 @@ def field_spectrum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("cell", "j", "i", r6("frequency_y"), r6("frequency_x"), F.round("power", 4).alias("power"))
 
 
+@query(
+    f"""WITH {PROFILES}, {W_LEVELS}, c AS (SELECT w.cell, CAST(w.cell // {WIDTH} AS INT) AS eta, CAST(w.cell % {WIDTH} AS INT) AS xi, w.i, 0.01 * (w.cell // {WIDTH}) AS angle, p.h, temp / 10 AS u, salt / 100 AS v, b.z - a.z AS d
+FROM water w JOIN profiles p USING (cell) JOIN zw a ON a.cell = w.cell AND a.k = w.i JOIN zw b ON b.cell = w.cell AND b.k = w.i + 1),
+t AS (SELECT *, u * cos(angle) + v * sin(angle) AS uu, v * cos(angle) - u * sin(angle) AS vv FROM c), m AS (SELECT cell, sum(uu * d) / sum(d) AS um, sum(vv * d) / sum(d) AS vm FROM t GROUP BY ALL),
+s AS (SELECT *, unnest(list_filter([CASE WHEN eta = 0 THEN 'south' END, CASE WHEN xi = {WIDTH - 1} THEN 'east' END, CASE WHEN xi = 0 THEN 'west' END], lambda x: x IS NOT NULL)) AS side FROM t)
+SELECT side, eta, xi, CAST(i AS INT) AS level, round(uu - um + h / 1000, 6) AS u, round(vv - vm - h / 1000, 6) AS v FROM s JOIN m USING (cell)"""
+)
+def boundary_velocities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Velocities at three open boundaries, turned to the grid and shifted to given depth means."""
+    p = _with_levels(spark, sf_dir).select(
+        F.floor(F.col("cell") / WIDTH).cast("int").alias("eta"), (F.col("cell") % WIDTH).cast("int").alias("xi"), (0.01 * F.floor(F.col("cell") / WIDTH)).alias("angle"), "z_w",
+        F.transform("temp", lambda x: x / 10).alias("u"), F.transform("salt", lambda x: x / 100).alias("v"), (F.col("h") / 1000).alias("ubar"), (-F.col("h") / 1000).alias("vbar"),
+    )
+    edge = workloads.boundary_records(p, -1, WIDTH - 1, ("south", "east", "west"))
+    got = workloads.turned_and_corrected(edge, ubar="ubar", vbar="vbar")
+    return got.select("side", "eta", "xi", F.posexplode(F.arrays_zip("u", "v")).alias("level", "x")).select("side", "eta", "xi", "level", r6("x.u", "u"), r6("x.v", "v"))
+
+
+@query(
+    f"""WITH {GRID}, s AS (SELECT eta AS j, xi AS i, d AS depth, CASE WHEN mask = 1 OR d < 50 THEN value - d / 100 END AS temp FROM grid, (SELECT unnest([5.0, 20.0, 60.0, 200.0]::DOUBLE[]) AS d)),
+w AS (SELECT *, (coalesce(lead(depth) OVER k, depth) - coalesce(lag(depth) OVER k, -depth)) / 2 AS d FROM s WINDOW k AS (PARTITION BY j, i ORDER BY depth))
+SELECT j, i, round(sum(temp * d) / sum(CASE WHEN temp IS NOT NULL THEN d END), 6) AS temp FROM w GROUP BY ALL"""
+)
+def product_depth_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Means of a product over its own depths."""
+    d = F.col("depth")
+    source = grid(spark, sf_dir).withColumn("depth", F.explode(F.array(*map(F.lit, (5.0, 20.0, 60.0, 200.0))))).select(
+        F.col("eta").alias("j"), F.col("xi").alias("i"), "depth", F.when((F.col("mask") == 1) | (d < 50), F.col("value") - d / 100).alias("temp")
+    )
+    return workloads.depth_means(source, ["temp"], []).select("j", "i", r6("temp"))
+
+
 # stencils and groups
 @query(
     f"""WITH {GRID}, m AS (SELECT max(eta) AS e, max(xi) AS x FROM grid), p AS (SELECT eta AS eta_v, xi AS xi_u, value FROM grid, m WHERE eta < e AND xi < x),

@@ -141,6 +141,47 @@ def regrid_to_model(source: DataFrame, grid: DataFrame, values: list[str], by: l
     return out.withColumns(moved).drop(*[f"__{v}" for v in values])
 
 
+def turned_and_corrected(columns: DataFrame, u: str = "u", v: str = "v", ubar: str | None = None, vbar: str | None = None, z_w: str = "z_w") -> DataFrame:
+    """Profiles of east and north velocities turned to the grid's axes by ``angle`` and, with targets, shifted to those depth means."""
+    turn = lambda k: F.zip_with(u, v, lambda a, b: physics.rotate_to_grid(a, b, F.col("angle"))[k])
+    out = columns.withColumns({"__u": turn(0), "__v": turn(1)}).drop(u, v).withColumnsRenamed({"__u": u, "__v": v})
+    moved = {c: vertical.conserve_transport(c, z_w, F.col(t)) for c, t in ((u, ubar), (v, vbar)) if t}
+    return out.withColumns(moved) if moved else out
+
+
+def model_records(source: DataFrame, grid: DataFrame, scalars: list[str], u: str, v: str, by: list[str], lon0: float, lat0: float, step: float, theta_s: float, theta_b: float, hc: float, n: int) -> DataFrame:
+    """Every record of a regular ocean product on the model's levels, as a climatology or nudging state needs it.
+
+    Velocities are turned to the grid's axes and keep the depth mean that their source had on its
+    own depths. (by, eta, xi, z, z_w, scalars, u, v).
+    """
+    columns = regrid_to_model(source, grid, [*scalars, u, v], by, lon0, lat0, step, theta_s, theta_b, hc, n)
+    columns = columns.withColumn("z_w", vertical.level_depths("h", F.lit(0.0), theta_s, theta_b, hc, n, "w"))
+    means = depth_means(source, [u, v], by).withColumnsRenamed({"j": "eta", "i": "xi"})
+    at = None
+    for c in (u, v):
+        got = forcing.regular_to_grid(means.select(*by, F.col("eta").alias("j"), F.col("xi").alias("i"), F.col(c).alias(f"{c}bar")), grid, lon0, lat0, step, f"{c}bar", by)
+        at = got if at is None else at.join(got, [*by, "eta", "xi"])
+    joined = columns.join(at, [*by, "eta", "xi"], "left")
+    ue, vn = physics.rotate_to_grid(f"{u}bar", f"{v}bar", "angle")
+    both = joined.withColumns({"__ub": ue, "__vb": vn})
+    return turned_and_corrected(both, u, v, "__ub", "__vb").drop("__ub", "__vb", f"{u}bar", f"{v}bar")
+
+
+def depth_means(source: DataFrame, values: list[str], by: list[str], depth: str = "depth") -> DataFrame:
+    """(by, j, i, values): means of a product over its own depths, each depth weighing half of the way to its neighbours; missing depths do not count."""
+    w = Window.partitionBy(*by, "j", "i").orderBy(depth)
+    here = F.col(depth)
+    above, below = F.coalesce(F.lag(depth).over(w), -here), F.coalesce(F.lead(depth).over(w), here)
+    d = source.withColumn("__d", (below - above) / 2)
+    return d.groupBy(*by, "j", "i").agg(*[F.try_divide(F.sum(F.col(c) * F.col("__d")), F.sum(F.when(F.col(c).isNotNull(), F.col("__d")))).alias(c) for c in values])
+
+
+def boundary_records(columns: DataFrame, eta_max: int, xi_max: int, sides: tuple[str, ...] = ("south", "east", "north", "west")) -> DataFrame:
+    """The records of the open boundaries, one row for each cell, side and record: the edge strips are cut before any further work."""
+    return geo.open_boundaries(columns, eta_max, xi_max, sides)
+
+
 def initial_state(columns: DataFrame, at: str, values: list[str], time: str = "time") -> DataFrame:
     """State at a time from the two nearest times, linear between them; element-wise on profiles."""
     micros = lambda c: F.unix_micros(c.cast("timestamp"))

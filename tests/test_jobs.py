@@ -134,3 +134,20 @@ def test_event_runs_in_a_stream(spark, tmp_path):
     events = stream_of(spark, tmp_path, batches, "site string, position bigint, excess double, ts timestamp").withWatermark("ts", "0 days")
     got = sorted((r.first, r.last, r.length) for r in finish(spark, jobs.event_runs(events, "site"), tmp_path))
     assert got == [(0, 5, 6), (9, 17, 9)]
+
+
+def test_model_records(spark):
+    """A product that is uniform in space keeps its values on the levels, its direction on the grid and its depth mean."""
+    depths = (5.0, 20.0, 60.0, 200.0)
+    rows = [(t, d, j, i, 10.0 + t, 0.3 - d / 1000, 0.1) for t in (0, 1) for d in depths for j in range(12) for i in range(12)]
+    source = spark.createDataFrame(rows, "t int, depth double, j int, i int, temp double, u double, v double")
+    g = grid(spark, angle=1.5707963267948966)
+    out = workloads.model_records(source, g, ["temp"], "u", "v", ["t"], 19.95, -35.05, 0.1, 5.0, 0.5, 10.0, 6)
+    weights = {5.0: 12.5, 20.0: 27.5, 60.0: 90.0, 200.0: 70.0}
+    mean = sum((0.3 - d / 1000) * w for d, w in weights.items()) / sum(weights.values())
+    got = out.withColumn("um", vertical.depth_mean("u", "z_w")).withColumn("vm", vertical.depth_mean("v", "z_w")).collect()
+    assert len(got) == 84 and {r.t for r in got} == {0, 1}
+    for r in got:
+        assert r.temp == pytest.approx([10.0 + r.t] * 6) and r.um == pytest.approx(0.1) and r.vm == pytest.approx(-mean)
+    edge = workloads.boundary_records(out, 5, 6, ("north", "east"))
+    assert {(r.side, n) for r, n in ((r, r["count"]) for r in edge.groupBy("side").count().collect())} == {("north", 14), ("east", 12)}
