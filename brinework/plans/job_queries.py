@@ -192,7 +192,16 @@ def river_mouths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forcing.river_mouths(rivers, grid(spark, sf_dir), tile=0.5)
 
 
-@query()
+@query(
+    f"""WITH {GRID}, k AS (SELECT m.eta, m.xi, g.value FROM grid m JOIN grid g ON g.mask = 1 QUALIFY row_number() OVER (PARTITION BY m.eta, m.xi ORDER BY (m.eta - g.eta) ** 2 + (m.xi - g.xi) ** 2, g.eta, g.xi) = 1),
+c AS (SELECT eta, xi, h, (lat * 0.5::DOUBLE - 17.95::DOUBLE + 36.0::DOUBLE) / 0.1::DOUBLE AS ef, (lon * 0.5::DOUBLE + 7.6::DOUBLE - 15.0::DOUBLE) / 0.1::DOUBLE AS xf FROM grid),
+w AS (SELECT eta, xi, h, floor(ef) + de AS e, floor(xf) + dx AS x, (CASE de WHEN 1 THEN ef - floor(ef) ELSE 1 - (ef - floor(ef)) END) * (CASE dx WHEN 1 THEN xf - floor(xf) ELSE 1 - (xf - floor(xf)) END) AS w
+    FROM c, (SELECT unnest([0, 1]) AS de), (SELECT unnest([0, 1]) AS dx)),
+v AS (SELECT w.eta, w.xi, w.h, CASE WHEN count(*) = count(k.value) THEN sum(w * k.value) END AS v, count(k.value) AS have FROM w LEFT JOIN k ON k.eta = e AND k.xi = x WHERE w > 0 GROUP BY ALL),
+s AS (SELECT i, (i + 1 - 10 - 0.5::DOUBLE) / 10 AS s FROM (SELECT unnest(range(10)) AS i)), t AS (SELECT i, s, (exp(2 * ((1 - cosh(5 * s)) / (cosh(5) - 1) + 1)) - 1) / (exp(2) - 1) - 1 AS c FROM s),
+z AS (SELECT eta, xi, i, v, (20 * s + c * h) * h / (h + 20) AS z FROM v, t WHERE have > 0)
+SELECT eta, xi, CAST(i AS INT) AS level, round(CASE WHEN z <= -200 THEN v - 2 WHEN z >= -5 THEN v - 0.05 ELSE v + z / 100 END, 6) AS temp FROM z"""
+)
 def regular_source_on_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A regular product of four depths with holes, filled, sampled at a smaller grid and moved to ten levels."""
     g = grid(spark, sf_dir)
