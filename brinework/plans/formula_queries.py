@@ -88,14 +88,14 @@ def nodal_tides(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forcing.corrected_tides(rows, factors, 24.0 * 7807).select("site", "wave", r6("amp"), F.round("phase", 4).alias("phase"))
 
 
-@query(f"WITH {SITES}, c AS (SELECT site, (site % 40 + 1) / 10 AS a, site % 360 AS p FROM sites) SELECT site, round(a * cos(radians(p)), 6) AS re, round(a * sin(radians(p)), 6) AS im, round(a, 6) AS amplitude, CAST(p AS BIGINT) AS phase FROM c")
+@query(f"WITH {SITES}, c AS (SELECT site, (site % 40 + 1) / 10 AS a, site % 360 AS p FROM sites) SELECT site, round(a * cos(radians(p)), 6) + 0::DOUBLE AS re, round(a * sin(radians(p)), 6) + 0::DOUBLE AS im, round(a, 6) AS amplitude, CAST(p AS BIGINT) AS phase FROM c")
 def amplitudes_and_phases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """To real and imaginary parts and back."""
     k = F.col("site")
     re, im = physics.to_real_imaginary((k % 40 + 1) / 10, (k % 360).cast("double"))
     rows = sites(spark, sf_dir).select("site", re.alias("re"), im.alias("im"))
     amplitude, phase = physics.to_amplitude_phase("re", "im")
-    return rows.select("site", r6("re"), r6("im"), r6(amplitude, "amplitude"), (F.round(phase).cast("bigint") % 360).alias("phase"))
+    return rows.select("site", (F.round("re", 6) + 0.0).alias("re"), (F.round("im", 6) + 0.0).alias("im"), r6(amplitude, "amplitude"), (F.round(phase).cast("bigint") % 360).alias("phase"))
 
 
 # profiles
