@@ -211,11 +211,32 @@ def test_statistics(spark):
 
 
 def test_spectrum(spark):
+    """The transform times the spacing, squared; trends and windows only when asked for."""
     x = RNG.normal(size=(3, 16))
-    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "k int, v array<double>").union(spark.createDataFrame([(9, [1.0])], "k int, v array<double>"))
-    got = horizontal.power_spectrum(df.withColumnRenamed("k", "series"), ["series"], "v", 0.5, detrend=False, window=False).orderBy("series", "k").collect()
-    want = np.abs(np.fft.rfft(x, axis=1)) ** 2 * 0.5 / 16
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "series int, v array<double>").union(
+        spark.createDataFrame([(9, [1.0]), (10, None), (11, [1.0, None])], "series int, v array<double>")
+    )
+    got = horizontal.power_spectrum(df, ["series"], "v", 0.5).orderBy("series", "k").collect()
+    want = np.fft.fftshift(np.abs(np.fft.fft(x, axis=1)) ** 2 * 0.25, axes=1)
     assert [r.power for r in got] == pytest.approx(want.ravel().tolist())
+    assert [r.frequency for r in got[:16]] == pytest.approx(np.fft.fftshift(np.fft.fftfreq(16, 0.5)).tolist())
+    t = np.arange(16)
+    plain = x - np.array([np.polyval(np.polyfit(t, v, 1), t) for v in x])
+    hann = 0.5 - 0.5 * np.cos(2 * np.pi * t / 16)
+    got = horizontal.power_spectrum(df, ["series"], "v", detrend="linear", window="hann", true_amplitude=False).orderBy("series", "k").collect()
+    assert [r.power for r in got] == pytest.approx(np.fft.fftshift(np.abs(np.fft.fft(plain * hann, axis=1)) ** 2, axes=1).ravel().tolist())
+    with pytest.raises(ValueError):
+        horizontal.power_spectrum(df, ["series"], "v", window="box")
+
+
+def test_spectrum_of_fields(spark):
+    x = RNG.normal(size=(2, 6, 5))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(7, [[1.0], [1.0, 2.0]])], "f int, v array<array<double>>")
+    got = horizontal.power_spectrum_2d(df, ["f"], "v", (2.0, 3.0)).orderBy("f", "j", "i").collect()
+    assert [r.power for r in got] == pytest.approx(np.fft.fftshift(np.abs(np.fft.fft2(x)) ** 2 * 36, axes=(1, 2)).ravel().tolist())
+    j, i = np.meshgrid(np.arange(6), np.arange(5), indexing="ij")
+    plane = spark.createDataFrame([(0, (1 + 2.0 * j - 0.5 * i).tolist())], "f int, v array<array<double>>")
+    assert max(r.power for r in horizontal.power_spectrum_2d(plane, ["f"], "v", detrend="linear").collect()) < 1e-18
 
 
 def test_files(spark, tmp_path):
