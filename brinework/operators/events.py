@@ -23,15 +23,9 @@ def climatology(
     """
     known = daily.where(F.col(value).isNotNull()).select(*keys, F.dayofyear(day).alias("__d"), F.col(value).cast("double").alias("__v"))
     lists = known.groupBy(*keys, "__d").agg(F.collect_list("__v").alias("__l"))
-    by_day = F.map_from_entries(F.collect_list(F.struct("__d", "__l")))
+    cells = lists.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("__d", "__l"))).alias("__m"))
     none = F.array().cast("array<double>")
-    cells = lists.groupBy(*keys).agg(by_day.alias("__m")).withColumn(
-        "__days", F.transform(F.sequence(F.lit(1), F.lit(366)), lambda d: F.coalesce(F.try_element_at("__m", d), none))
-    )
-
-    def window(d: Column) -> Column:
-        around = F.transform(F.sequence(d - 1 - half_window, d - 1 + half_window), lambda k: F.get("__days", F.pmod(k, F.lit(366))))
-        return F.struct(d.alias("doy"), F.array_sort(F.flatten(around)).alias("x"))
+    every = F.sequence(F.lit(1), F.lit(366))
 
     def quantile(x: Column, q: float) -> Column:
         at = (F.size(x) - 1) * F.lit(q)
@@ -39,13 +33,19 @@ def climatology(
         below, above = F.get(x, low.cast("int")), F.get(x, high.cast("int"))
         return F.when(low == high, below).otherwise((high - at) * below + (at - low) * above)
 
-    def summary(w: Column) -> Column:
-        x = w["x"]
-        mean = F.aggregate(x, F.lit(0.0), lambda a, v: a + v) / F.size(x)
-        return F.struct(w["doy"].alias("doy"), mean.alias("clim"), quantile(x, quantiles[0]).alias("thr90"), quantile(x, quantiles[1]).alias("thr10"))
+    def summaries(days: Column) -> Column:
+        around = lambda d: F.transform(F.sequence(d - 1 - half_window, d - 1 + half_window), lambda k: F.get(days, F.pmod(k, F.lit(366))))
+        windows = F.transform(every, lambda d: F.struct(d.alias("doy"), F.sort_array(F.flatten(around(d))).alias("x")))
+        mean = lambda x: F.aggregate(x, F.lit(0.0), lambda a, v: a + v) / F.size(x)
+        return F.transform(
+            F.filter(windows, lambda w: F.size(w["x"]) > 0),
+            lambda w: F.struct(w["doy"].alias("doy"), mean(w["x"]).alias("clim"), *[quantile(w["x"], q).alias(n) for n, q in zip(("thr90", "thr10"), quantiles)]),
+        )
 
-    windows = F.filter(F.transform(F.sequence(F.lit(1), F.lit(366)), window), lambda w: F.size(w["x"]) > 0)
-    return cells.select(*keys, F.explode(F.transform(windows, summary)).alias("__s")).select(*keys, "__s.*")
+    # as an element of an array the list of days is worked out once for a cell, not for each window
+    by_day = F.transform(every, lambda d: F.coalesce(F.try_element_at("__m", d), none))
+    out = F.element_at(F.transform(F.array(by_day), summaries), 1)
+    return cells.select(*keys, F.explode(out).alias("__s")).select(*keys, "__s.*")
 
 
 def combined_baselines(clim: DataFrame, thresholds: DataFrame | None, keys: list[str], doy: str = "doy") -> DataFrame:
