@@ -83,14 +83,14 @@ def stream_first_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""WITH {CLOSED}, d AS (SELECT user_id, date_trunc('day', ts) AS day, avg(value) AS value FROM events GROUP BY ALL),
 c AS (SELECT user_id, avg(value) AS clim FROM events GROUP BY ALL)
-SELECT user_id, strftime(day, '%Y-%m-%d') AS day, round(value - clim - dayofyear(day) / 100, 6) AS anomaly FROM d JOIN c USING (user_id), mark WHERE day + INTERVAL 1 DAY <= mark"""
+SELECT user_id, strftime(day, '%Y-%m-%d') AS day, round(value - (clim + dayofyear(day) / 100), 8) AS anomaly FROM d JOIN c USING (user_id), mark WHERE day + INTERVAL 1 DAY <= mark"""
 )
 def stream_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily means joined to a static baseline for each day of the year."""
     days = jobs.daily_means(_events(spark, sf_dir), ["user_id"], "ts", "value")
     clim = table(spark, sf_dir, "events").groupBy("user_id").agg(F.avg("value").alias("clim")).withColumn("doy", F.explode(F.sequence(F.lit(1), F.lit(366))))
     clim = clim.withColumn("clim", F.col("clim") + F.col("doy") / 100)
-    return _finished(spark, jobs.against_climatology(days, clim, ["user_id"], "day", "value").select("user_id", "day", "anomaly")).select("user_id", "day", r6("anomaly"))
+    return _finished(spark, jobs.against_climatology(days, clim, ["user_id"], "day", "value").select("user_id", "day", "anomaly")).select("user_id", "day", F.round("anomaly", 8).alias("anomaly"))
 
 
 @query("SELECT user_id, count(*) AS n, round(max(value), 6) AS top FROM events GROUP BY ALL")
