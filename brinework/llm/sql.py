@@ -66,24 +66,35 @@ CASE {' '.join(cases['verdict'])} WHEN r.rate + {z} * sqrt(r.rate * (1 - r.rate)
 FROM p LEFT JOIN r_host r ON p.host = r.host"""
 
 
-def _crc_table() -> list[int]:
-    """Remainders of the sixteen half bytes by the reflected polynomial."""
-    table = []
-    for n in range(16):
-        for _ in range(4):
-            n = n >> 1 ^ (0xEDB88320 if n & 1 else 0)
-        table.append(n)
-    return table
+def _advanced(register: int, half_bytes: int) -> int:
+    """A checksum register after so many zero half bytes, by the reflected polynomial."""
+    for _ in range(4 * half_bytes):
+        register = register >> 1 ^ (0xEDB88320 if register & 1 else 0)
+    return register
+
+
+#: Half bytes of a text whose checksum is one fold; the parts of a text are then joined by another.
+_CRC_PART = 128
+#: Four bytes that take a register of zero to all ones, where a checksum starts; zeros before them change nothing.
+_CRC_START = "62f52692"
 
 
 def sharding_sql(shards: int = sharding.SHARDS, slots: int = sharding.SLOTS) -> str:
-    """crc32 half byte by half byte, and the edit of the map as a fold over lists; fit for small tables only."""
+    """crc32 by parts of a text and half byte by half byte, and the edit of the map as a fold over lists; fit for small tables only."""
     at = "i + 1 - 2 * (i % 2)"  # the low half of a byte first
+    step = [_advanced(n, 1) for n in range(16)]
+    jump = " , ".join(f"{[_advanced(n << 4 * k, _CRC_PART) for n in range(16)]}[((c >> {4 * k}) & 15) + 1]" for k in range(8)).split(" , ")
+    moved = jump[0]
+    for part in jump[1:]:
+        moved = f"xor({moved}, {part})"
     loads = f"a[1:{shards}]"
-    return f"""WITH h AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS h FROM documents),
-c AS (SELECT doc_id, CAST(length(h) // 2 + 1 AS BIGINT) AS size, xor(4294967295, list_reduce([CAST(4294967295 AS BIGINT)] || list_transform(range(length(h)), lambda i: CAST(instr('0123456789abcdef', substr(h, {at} + 1, 1)) - 1 AS BIGINT)),
-    lambda c, b: xor({_crc_table()}[(xor(c, b) & 15) + 1], c >> 4))) AS text_crc32 FROM h),
-d AS (SELECT *, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ' ' || text_crc32 || ' ' || size), 1, 8) AS BIGINT) % {slots} AS virtual_slot FROM c),
+    return f"""WITH t AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, '{_CRC_START}' || lower(hex(encode(coalesce(text, '')))) AS h FROM documents),
+p AS (SELECT r, lpad(h, CAST(ceil(length(h) / {_CRC_PART}) * {_CRC_PART} AS INT), '0') AS h FROM t),
+q AS (SELECT r, k, substr(h, CAST({_CRC_PART} * k + 1 AS BIGINT), {_CRC_PART}) AS h FROM (SELECT r, h, unnest(range(length(h) // {_CRC_PART})) AS k FROM p)),
+g AS (SELECT r, list(list_reduce([CAST(0 AS BIGINT)] || list_transform(range({_CRC_PART}), lambda i: CAST(instr('0123456789abcdef', substr(h, {at} + 1, 1)) - 1 AS BIGINT)),
+    lambda c, b: xor({step}[(xor(c, b) & 15) + 1], c >> 4)) ORDER BY k) AS parts FROM q GROUP BY r),
+c AS (SELECT doc_id, CAST((length(h) - {len(_CRC_START)}) // 2 + 1 AS BIGINT) AS size, xor(4294967295, list_reduce(parts, lambda c, b: xor({moved}, b))) AS text_crc32 FROM t JOIN g USING (r)),
+d AS MATERIALIZED (SELECT *, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ' ' || text_crc32 || ' ' || size), 1, 8) AS BIGINT) % {slots} AS virtual_slot FROM c),
 v1 AS (SELECT s AS virtual_slot, s % {shards} AS shard, CAST(coalesce(b, 0) AS BIGINT) AS b FROM (SELECT unnest(range({slots})) AS s) LEFT JOIN (SELECT virtual_slot, sum(size) AS b FROM d GROUP BY ALL) ON s = virtual_slot),
 k AS (SELECT *, b = 0 OR sum(b) OVER (PARTITION BY shard ORDER BY b DESC, virtual_slot) * {shards} <= sum(b) OVER () AS stays FROM v1),
 l AS (SELECT list(load ORDER BY shard) AS loads FROM (SELECT shard, CAST(coalesce(sum(b) FILTER (stays), 0) AS BIGINT) AS load FROM k GROUP BY shard)),
