@@ -223,19 +223,21 @@ def links(distinct: DataFrame, radius: int = RADIUS, block_rows: int = BLOCK_ROW
     """A spanning set (a, b) of the links between distinct fingerprints of a column ``fp``."""
     count = distinct.count()
     masks = block_masks(radius, agree or agreeing_blocks(count, radius))
-    n = max(1, count * len(masks) // TASK_ROWS)
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
     keyed = distinct.select(
         "fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m).cast("long")) for m in signed])).alias("combo", "key")
     )
-    crowded = (
+    crowded = checkpoint(
         keyed.groupBy("combo", "key")
         .agg(F.count(F.lit(1)).alias("rows"))
         .where(F.col("rows") > block_rows)
-        .select("combo", "key", F.ceil(F.col("rows") / block_rows).cast("int").alias("blocks"))
+        .select("combo", "key", "rows", F.ceil(F.col("rows") / block_rows).cast("int").alias("blocks"))
     )
+    # every block of a crowded key is copied to each of its pairs of blocks
+    copies = crowded.agg(F.sum(F.col("rows") * (F.col("blocks") - 1)).alias("n")).first().n or 0
+    n = max(1, (count * len(masks) + copies) // TASK_ROWS)
     placed = (
-        keyed.join(crowded, ["combo", "key"], "left")
+        keyed.join(crowded.drop("rows"), ["combo", "key"], "left")
         .withColumn("blocks", F.coalesce("blocks", F.lit(1)))
         .withColumn("sub", pmod_hash(F.col("blocks"), "fp").cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -340,13 +342,13 @@ def similar_forest(bits: np.ndarray, sets: list[np.ndarray], first: int, similar
 
 
 def _search_sets(group: pa.Table, similarity: float, radius: int) -> pa.Table:
-    fp, component, lo, hi, sub = (group[c].to_numpy() for c in ("fp", "component", "lo", "hi", "sub"))
+    fp, key, lo, hi, sub = (group[c].to_numpy() for c in ("fp", "group", "lo", "hi", "sub"))
     bits = group["bits"].to_numpy().view(np.uint64)
     hashes = group["hashes"].combine_chunks()
     ends, values = hashes.offsets.to_numpy(), hashes.values.to_numpy()
-    order = np.lexsort((fp, sub, hi, lo, component))
+    order = np.lexsort((fp, sub, hi, lo, key))
     new = np.ones(len(order), bool)
-    new[1:] = np.any([x[order][1:] != x[order][:-1] for x in (component, lo, hi)], axis=0)
+    new[1:] = np.any([x[order][1:] != x[order][:-1] for x in (key, lo, hi)], axis=0)
     cuts = np.append(np.flatnonzero(new), len(order))
     found: list[tuple[int, int]] = []
     for a, b in zip(cuts, cuts[1:]):
@@ -363,24 +365,33 @@ def similar_links(docs: DataFrame, distinct: DataFrame, shingle: int, similarity
     """A spanning set (a, b) of the links between sets of shingles (fp, least_id, size, keys) of documents (id, text).
 
     Sets that share a band key make up candidate components. Only their members' texts are read
-    again, and a set goes to its component's shard alone; a large component is cut into blocks.
+    again, and a set goes to the shard of its component alone. Chains of chance can make a component
+    large: the sets of one beyond ``block_shingles`` go to the shards of their band keys instead,
+    and a key that is still larger is cut into blocks.
     """
     keyed = distinct.select("fp", F.explode("keys").alias("key"))
     low = keyed.groupBy("key").agg(F.min("fp").alias("low"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     star = split_join(keyed, low, "key").where("fp <> low").select("fp", "low")
-    near = checkpoint(components(star, "fp", "low").join(distinct, F.col("node") == F.col("fp")).select("fp", "least_id", "size", "component"))
-    shingles = near.agg(F.sum(F.col("size").cast("bigint")).alias("n")).first().n or 0
-    n = max(1, shingles // block_shingles)
-    blocks = near.groupBy("component").agg(F.ceil(F.sum("size") / block_shingles).cast("int").alias("blocks"))
+    near = checkpoint(components(star, "fp", "low").join(distinct, F.col("node") == F.col("fp")).select("fp", "least_id", "size", "keys", "component"))
+    totals = near.groupBy("component").agg(F.sum("size").alias("total"))
+    groups = F.when(F.col("total") > block_shingles, F.col("keys")).otherwise(F.array("component"))
+    grouped = checkpoint(split_join(near, totals, "component").select("fp", "size", F.explode(groups).alias("group")))
+    blocks = checkpoint(
+        grouped.groupBy("group")
+        .agg(F.sum("size").alias("total"), F.count(F.lit(1)).alias("n"))
+        .where("n > 1")
+        .select("group", "total", F.ceil(F.col("total") / block_shingles).cast("int").alias("blocks"))
+    )
+    n = max(1, (blocks.agg(F.sum(F.col("total") * F.col("blocks")).alias("n")).first().n or 0) // block_shingles)
     asked = docs.join(near.select("fp", "least_id"), F.col("id").eqNullSafe(F.col("least_id"))).select("fp", "text")
     sets = asked.mapInArrow(released(lambda it: _sets(it, shingle)), "fp bigint, bits bigint, hashes array<bigint>").dropDuplicates(["fp"])
     placed = (
-        split_join(near, blocks, "component")
+        split_join(grouped.drop("size"), blocks.drop("total"), "group")
         .withColumn("sub", pmod_hash(F.col("blocks"), "fp").cast("int"))
         .join(sets, "fp")
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("fp", "bits", "hashes", "component", "sub", F.least("sub", "other").alias("lo"), F.greatest("sub", "other").alias("hi"))
-        .withColumn("shard", pmod_hash(n, "component", "lo", "hi"))
+        .select("fp", "bits", "hashes", "group", "sub", F.least("sub", "other").alias("lo"), F.greatest("sub", "other").alias("hi"))
+        .withColumn("shard", pmod_hash(n, "group", "lo", "hi"))
     )
     return placed.groupBy("shard").applyInArrow(lambda t: _search_sets(t, similarity, radius), "a bigint, b bigint")
 
