@@ -99,7 +99,26 @@ def section_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("point", r6("lon"), r6("lat"), r6("bearing"), r6("value"), r6("h"))
 
 
-@query()
+def _regridded_sql() -> str:
+    """Two depths of each profile, and of every regular cell in the ring the first triangle around it with its three weights."""
+    edges = ", ".join(f"({a}::DOUBLE, {b}::DOUBLE, {c}::DOUBLE, {d}::DOUBLE)" for (a, b), (c, d) in zip(RING, RING[1:] + RING[:1]))
+    return f"""WITH {GRID}, {PROFILES}, {_depth_sql(5.0)}, {_depth_sql(20.0)}, edges(a, b, c, d) AS (VALUES {edges}),
+f AS (SELECT depth, cell // {WIDTH} AS eta, cell % {WIDTH} AS xi, temp, salt FROM (SELECT -5.0::DOUBLE AS depth, * FROM v5 UNION ALL SELECT -20.0::DOUBLE, * FROM v20)),
+s AS (SELECT floor(min(lon) / 0.25) * 0.25 AS lon0, floor(min(lat) / 0.25) * 0.25 AS lat0, ceil(max(lon) / 0.25) * 0.25 AS lon1, ceil(max(lat) / 0.25) * 0.25 AS lat1 FROM grid),
+x AS (SELECT lon0, lat0, lon1, lat1, CAST(round((lon1 - lon0) / 0.25) AS INT) + 1 AS nx, unnest(range(CAST(round((lon1 - lon0) / 0.25) AS INT) + 1)) AS i FROM s),
+y AS (SELECT *, unnest(range(CAST(round((lat1 - lat0) / 0.25) AS INT) + 1)) AS j FROM x),
+c AS (SELECT CAST(j * nx + i AS BIGINT) AS out_cell, CAST(lon0 + i * 0.25 AS DOUBLE) AS lon, CAST(lat0 + j * 0.25 AS DOUBLE) AS lat FROM y),
+r AS (SELECT out_cell, lon, lat FROM c, edges WHERE (b > lat) <> (d > lat) AND lon < (edges.c - a) * (lat - b) / (d - b) + a GROUP BY ALL HAVING count(*) % 2 = 1),
+q AS (SELECT g.eta, g.xi FROM grid g JOIN grid e ON e.eta = g.eta AND e.xi = g.xi + 1 JOIN grid n ON n.eta = g.eta + 1 AND n.xi = g.xi JOIN grid o ON o.eta = g.eta + 1 AND o.xi = g.xi + 1),
+m AS (SELECT r.*, eta, xi, (lon - 15) / 0.1 - xi AS a, (lat + 36) / 0.1 - eta AS b FROM r JOIN q ON xi BETWEEN (lon - 15) / 0.1 - 1.001 AND (lon - 15) / 0.1 + 0.001 AND eta BETWEEN (lat + 36) / 0.1 - 1.001 AND (lat + 36) / 0.1 + 0.001),
+t AS (SELECT *, CASE u WHEN 0 THEN [1 - a - b, a, b] ELSE [a + b - 1, 1 - b, 1 - a] END AS w FROM m, (SELECT unnest([0, 1]) AS u)),
+k AS (SELECT * FROM t WHERE list_min(w) >= -1e-9 QUALIFY row_number() OVER (PARTITION BY out_cell ORDER BY eta, xi, u) = 1),
+z AS (SELECT out_cell, lon, lat, eta + CASE p WHEN 1 THEN u WHEN 2 THEN 0 ELSE 1 END AS eta, xi + CASE p WHEN 1 THEN u WHEN 2 THEN 1 ELSE 0 END AS xi, w[p] AS w FROM k, (SELECT unnest([1, 2, 3]) AS p))
+SELECT depth, out_cell, round(lon, 6) AS lon, round(lat, 6) AS lat, CASE WHEN count(temp) = 3 THEN round(sum(w * temp), 6) END AS temp, CASE WHEN count(salt) = 3 THEN round(sum(w * salt), 6) END AS salt
+FROM z JOIN f ON f.eta = z.eta AND f.xi = z.xi GROUP BY depth, out_cell, lon, lat"""
+
+
+@query(_regridded_sql())
 def regridded_depths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Profiles to fixed depths, then to a regular grid inside a ring."""
     g = grid(spark, sf_dir)
