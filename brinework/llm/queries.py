@@ -11,10 +11,13 @@ from brinework.llm import (
     html_extraction,
     language_id,
     license_scan,
+    orchard_clustering,
     packing,
+    personal_data,
     quality_rules,
     sharding,
     simhash,
+    spelling_variants,
     url_filters,
 )
 from brinework.llm.common import table
@@ -78,6 +81,18 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.find(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.group_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orchard_clustering.cluster(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -91,5 +106,8 @@ QUERIES = {
         op8_embedding_dedup,
         op9_language_id,
         op10_bpe,
+        op11_personal_data,
+        op12_spelling_variants,
+        op13_centroid_clustering,
     )
 }

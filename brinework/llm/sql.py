@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from brinework.llm import license_scan, sharding, url_filters
+from brinework.llm import license_scan, orchard_clustering, sharding, spelling_variants, url_filters
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -106,8 +106,51 @@ SELECT doc_id, size, text_crc32, 'bytes' AS law, CAST(shard AS INT) AS shard, ro
 CAST(NULL AS INT) AS grown_shard, virtual_slot, 2 AS version FROM d JOIN m USING (virtual_slot)"""
 
 
+def spelling_variants_sql() -> str:
+    """Checksums by half bytes of each (document, run) once; near words by the words that are left without one letter."""
+    step = [_advanced(n, 1) for n in range(16)]
+    fold = f"""list_reduce([CAST(4294967295 AS BIGINT)] || list_transform(range(length(h)), lambda i: CAST(instr('0123456789abcdef', substr(h, i + 1 + 1 - 2 * (i % 2), 1)) - 1 AS BIGINT)),
+    lambda c, b: xor({step}[(xor(c, b) & 15) + 1], c >> 4))"""
+    return f"""WITH RECURSIVE r AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS d, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[a-z\u00C0-\u00FF]+')) AS run FROM documents),
+c AS (SELECT d, run, count(*) AS n, lower(hex(encode(d || ':' || run))) AS h FROM r WHERE length(run) >= {spelling_variants.MIN_LETTERS} GROUP BY ALL),
+k AS (SELECT run, n, xor(4294967295, {fold}) AS k FROM c),
+x AS (SELECT n, CASE WHEN k % {spelling_variants.DAMAGE} = 0 THEN left(run, k % length(run)) || substr(run, k % length(run) + 2) ELSE run END AS word FROM k),
+w AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM x WHERE length(word) >= {spelling_variants.MIN_LETTERS} GROUP BY ALL HAVING sum(n) >= {spelling_variants.MIN_COUNT}),
+v AS MATERIALIZED (SELECT word, i, left(word, i) || substr(word, i + 2) AS v FROM (SELECT word, unnest(range(length(word))) AS i FROM w)),
+near AS MATERIALIZED (SELECT DISTINCT * FROM (SELECT a.word, b.word AS other FROM v a JOIN v b ON a.v = b.v AND a.i = b.i AND a.word <> b.word
+  UNION ALL SELECT v.word, w.word FROM v JOIN w ON v.v = w.word UNION ALL SELECT w.word, v.word FROM v JOIN w ON v.v = w.word)),
+b AS (SELECT near.word, count(*) AS n_near, max(w.n) AS top, arg_min(other, (-w.n, encode(other))) AS best FROM near JOIN w ON w.word = other GROUP BY near.word),
+f AS MATERIALIZED (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= 2 * w.n THEN best END AS form, CASE WHEN top >= 2 * w.n THEN top END AS form_n FROM w LEFT JOIN b USING (word)),
+up AS (SELECT word, word AS there, 0 AS steps FROM f UNION ALL SELECT up.word, f.form, steps + 1 FROM up JOIN f ON f.word = up.there WHERE f.form IS NOT NULL),
+t AS (SELECT word, arg_max(there, steps) AS root FROM up GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM f JOIN t USING (word)"""
+
+
+def centroid_clustering_sql() -> str:
+    """Every vector beside every centroid, four times over."""
+    dims, k = orchard_clustering.DIMENSIONS, orchard_clustering.CENTROIDS
+    out = f"""WITH q AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor({orchard_clustering.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v, embedding AS e FROM embeddings
+WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('{orchard_clustering.SEED}:' || coalesce(CAST(vec_id AS VARCHAR), '')), e) - 1 AS c, v FROM q QUALIFY c < {k})"""
+    for n in range(orchard_clustering.ROUNDS + 1):
+        gap = f"CAST(list_sum(list_transform(range(1, {dims} + 1), lambda i: (q.v[i] - c.v[i]) * (q.v[i] - c.v[i]))) AS BIGINT)"
+        out += f""",
+a{n} AS MATERIALIZED (SELECT r, vec_id, q.v, c.c, {gap} AS distance FROM q, c{n} c QUALIFY row_number() OVER (PARTITION BY r ORDER BY distance, c.c) = 1)"""
+        if n < orchard_clustering.ROUNDS:
+            out += f""",
+s{n} AS (SELECT c, i, sum(v[i]) AS s, count(*) AS n FROM a{n}, (SELECT unnest(range(1, {dims} + 1)) AS i) GROUP BY ALL),
+m{n} AS (SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS v FROM s{n} GROUP BY c),
+c{n + 1} AS MATERIALIZED (SELECT c, coalesce(m.v, p.v) AS v FROM c{n} p LEFT JOIN m{n} m USING (c))"""
+    last = orchard_clustering.ROUNDS
+    return f"""{out}
+SELECT vec_id, CAST(a.c AS INT) AS cluster, distance, CAST(sum(distance) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia, CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+sha256(array_to_string(c.v, ',')) AS centroid_sha256 FROM a{last} a JOIN c{last} c USING (c)"""
+
+
 ORACLE_SQL = {
     "op2_sharding": sharding_sql(),
     "op6_url_filters": url_filters_sql(),
     "op7_license_scan": license_scan_sql(),
+    "op12_spelling_variants": spelling_variants_sql(),
+    "op13_centroid_clustering": centroid_clustering_sql(),
 }
