@@ -8,63 +8,45 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from brinework.functions import physics
-from brinework.session import cut
+from brinework.operators import nearest
 
 
 def nearest_cell(
-    sites: DataFrame,
-    grid: DataFrame,
-    site: str = "site",
-    wet_only: bool = True,
-    min_depth: float | None = None,
-    tile: float = 1.0,
-    rings: int | None = None,
-    check: bool = True,
+    sites: DataFrame, grid: DataFrame, site: str = "site", wet_only: bool = True, min_depth: float | None = None, bottom: str | None = None, sphere: bool = False
 ) -> DataFrame:
-    """(site, lon, lat, eta, xi, cell_lon, cell_lat, dist): the nearest cell by planar distance in degrees.
+    """(site, lon, lat, eta, xi, cell_lon, cell_lat, dist): the nearest cell by planar distance in degrees, or on the sphere in metres.
 
-    Of equals the first in (eta, xi) order. Sites and cells meet by tile: rings of tiles grow
-    around a site until a cell is found and no nearer one can lie outside the rings, so no site is
-    compared with the whole grid. A site without any candidate cell is an error.
+    Of equals (to twelve places of a degree, or to a metre) the first in (eta, xi) order. Cells are
+    at least ``min_depth`` deep, and as deep as the site's own column ``bottom`` says (null:
+    any). Sites without a place have no row; a site whose conditions no cell fulfils is an error.
+    Sites go down a tree over the cells (see ``nearest``), so the joins are as many for any distance.
     """
     cells = grid.where("lon is not null and lat is not null")
     if wet_only:
         cells = cells.where("mask = 1")
     if min_depth is not None:
         cells = cells.where(F.col("h") >= min_depth)
-    cells = cells.select(
-        "eta", "xi", F.col("lon").alias("cell_lon"), F.col("lat").alias("cell_lat"),
-        F.floor(F.col("lon") / tile).alias("__tx"), F.floor(F.col("lat") / tile).alias("__ty"),
-    )
-    todo = sites.select(site, "lon", "lat").where("lon is not null and lat is not null")
-    box = cells.agg(F.min("__tx"), F.max("__tx"), F.min("__ty"), F.max("__ty")).first()
-    if box[0] is None:
-        if todo.isEmpty():
-            box = (0, 0, 0, 0)
-        else:
+    cells = cells.select("eta", "xi", F.col("lon").alias("cell_lon"), F.col("lat").alias("cell_lat"), *([F.col("h").cast("double").alias("__h")] if bottom else []))
+    todo = sites.select(site, "lon", "lat", *([F.col(bottom).cast("double").alias("__need")] if bottom else [])).where("lon is not null and lat is not null")
+    places = (["cell_lon", "cell_lat"], ["lon", "lat"])
+    if sphere:
+        places = tuple([f"__{c}{k}" for k in range(3)] for c in "ts")
+        cells = cells.withColumns(dict(zip(places[0], nearest.unit_vector("cell_lon", "cell_lat"))))
+        todo = todo.withColumns(dict(zip(places[1], nearest.unit_vector())))
+    tree = nearest.BoxTree(cells, places[0], "__h" if bottom else None)
+    if tree.empty:
+        if not todo.isEmpty():
             raise ValueError("no candidate cell")
-    inside = sites.agg(F.min(F.floor(F.col("lon") / tile)), F.max(F.floor(F.col("lon") / tile)), F.min(F.floor(F.col("lat") / tile)), F.max(F.floor(F.col("lat") / tile))).first()
-    span = max([1, *(abs(x - y) for x in inside if x is not None for y in box)])
-    reach, found = rings or 1, None
-    while True:
-        near = (
-            todo.withColumn("__tx", F.explode(F.sequence(F.floor(F.col("lon") / tile) - reach, F.floor(F.col("lon") / tile) + reach)))
-            .withColumn("__ty", F.explode(F.sequence(F.floor(F.col("lat") / tile) - reach, F.floor(F.col("lat") / tile) + reach)))
-            .join(cells, ["__tx", "__ty"])
-            .withColumn("dist", F.sqrt((F.col("cell_lon") - F.col("lon")) ** 2 + (F.col("cell_lat") - F.col("lat")) ** 2))
-            .groupBy(site, "lon", "lat")
-            .agg(F.min(F.struct(F.round("dist", 12).alias("r"), "eta", "xi", "cell_lon", "cell_lat", "dist")).alias("b"))
-            .select(site, "lon", "lat", "b.eta", "b.xi", "b.cell_lon", "b.cell_lat", "b.dist")
-        )
-        near = cut(near)
-        sure = near.where(F.col("dist") <= reach * tile)
-        found = sure if found is None else found.unionByName(sure)
-        if reach > span:
-            return found.unionByName(near.where(F.col("dist") > reach * tile))
-        todo = cut(todo.join(sure, site, "left_anti"))
-        if check and todo.isEmpty():
-            return found
-        reach *= 2
+        shape = todo.crossJoin(cells)  # both are empty
+        return shape.select(site, "lon", "lat", "eta", "xi", "cell_lon", "cell_lat", F.lit(0.0).alias("dist"))
+    if bottom and (deepest := todo.agg(F.max("__need")).first()[0]) is not None and deepest > tree.greatest:
+        raise ValueError(f"no candidate cell as deep as {deepest}")
+    if sphere:
+        dist, slack = physics.arc_cosine_distance("lat", "lon", "cell_lat", "cell_lon"), 1e-6  # of a radius: a metre and what the arc cosine loses
+    else:
+        dist, slack = F.sqrt((F.col("cell_lon") - F.col("lon")) ** 2 + (F.col("cell_lat") - F.col("lat")) ** 2), 1e-9
+    got = tree.nearest(todo, places[1], "__need" if bottom else None, dist, [F.round(dist, 0 if sphere else 12), F.col("eta"), F.col("xi")], ["eta", "xi", "cell_lon", "cell_lat"], slack)
+    return got.select(site, "lon", "lat", *[F.col(f"found.{c}").alias(c) for c in ("eta", "xi", "cell_lon", "cell_lat")], F.col("found.distance").alias("dist"))
 
 
 def shift_cells(found: DataFrame, di: int | str = 0, dj: int | str = 0) -> DataFrame:
@@ -73,19 +55,14 @@ def shift_cells(found: DataFrame, di: int | str = 0, dj: int | str = 0) -> DataF
     return found.withColumn("eta", F.col("eta") + step(dj)).withColumn("xi", F.col("xi") + step(di))
 
 
-def sites_to_indices(sites: DataFrame, grid: DataFrame, site: str = "site", di: str | None = None, dj: str | None = None, bottom: str | None = None, tile: float = 1.0) -> DataFrame:
+def sites_to_indices(sites: DataFrame, grid: DataFrame, site: str = "site", di: str | None = None, dj: str | None = None, bottom: str | None = None) -> DataFrame:
     """(site, eta, xi): the nearest wet cell of each site, at least as deep as the site's own ``bottom``, moved by its own steps.
 
-    ``di``, ``dj`` and ``bottom`` name columns of the sites; null is none. Sites meet the grid once for each
-    distinct bottom, which are few.
+    ``di``, ``dj`` and ``bottom`` name columns of the sites; null is none.
     """
-    own = sites.select(site, "lon", "lat", *[F.col(c) if c else F.lit(None).cast(t) for c, t in ((di, "int"), (dj, "int"), (bottom, "double"))]).toDF(site, "lon", "lat", "__di", "__dj", "__b")
-    out = None
-    for row in own.select("__b").distinct().orderBy("__b").collect() if bottom else [(None,)]:
-        some = own.where(F.col("__b").eqNullSafe(F.lit(row[0]).cast("double")))
-        got = nearest_cell(some, grid, site, min_depth=row[0], tile=tile).select(site, "eta", "xi")
-        out = got if out is None else out.unionByName(got)
-    return shift_cells(out.join(own.select(site, "__di", "__dj"), site), "__di", "__dj").select(site, "eta", "xi")
+    own = sites.select(F.struct(F.col(site).alias("site"), *[F.col(c).cast("int").alias(n) if c else F.lit(None).cast("int").alias(n) for c, n in ((di, "di"), (dj, "dj"))]).alias("own"), "lon", "lat", *([F.col(bottom).alias("bottom")] if bottom else []))
+    got = nearest_cell(own, grid, "own", bottom="bottom" if bottom else None).select(F.col("own.site").alias(site), "own.di", "own.dj", "eta", "xi")
+    return shift_cells(got, "di", "dj").select(site, "eta", "xi")
 
 
 def attach_grid(field: DataFrame, grid: DataFrame, columns: list[str]) -> DataFrame:
@@ -93,7 +70,7 @@ def attach_grid(field: DataFrame, grid: DataFrame, columns: list[str]) -> DataFr
     return field.drop(*columns).join(grid.select("eta", "xi", *columns), ["eta", "xi"], "left")
 
 
-def transfer_mask(child: DataFrame, parent: DataFrame, rows: int = 2, tile: float = 1.0) -> DataFrame:
+def transfer_mask(child: DataFrame, parent: DataFrame, rows: int = 2) -> DataFrame:
     """A child grid whose outer ``rows`` rows and columns take the mask of the nearest parent cell."""
     ends = child.agg(*[f(c).alias(f"__{n}_{c}") for c in ("eta", "xi") for n, f in (("a", F.min), ("b", F.max))])
     edge = F.lit(False)
@@ -101,7 +78,7 @@ def transfer_mask(child: DataFrame, parent: DataFrame, rows: int = 2, tile: floa
         edge = edge | (F.col(c) < F.col(f"__a_{c}") + rows) | (F.col(c) > F.col(f"__b_{c}") - rows)
     marked = child.crossJoin(F.broadcast(ends)).withColumn("__edge", edge).drop(*ends.columns)  # one row
     at = marked.where("__edge").select(F.struct("eta", "xi").alias("cell"), "lon", "lat")
-    near = nearest_cell(at, parent, "cell", wet_only=False, tile=tile).join(parent.select("eta", "xi", F.col("mask").alias("__mask")), ["eta", "xi"])
+    near = nearest_cell(at, parent, "cell", wet_only=False).join(parent.select("eta", "xi", F.col("mask").alias("__mask")), ["eta", "xi"])
     return (
         marked.join(near.select("cell.eta", "cell.xi", "__mask"), ["eta", "xi"], "left")
         .withColumn("mask", F.coalesce("__mask", "mask"))
@@ -153,9 +130,9 @@ def explode_sections(ends: DataFrame, points: Column, spacing: Column, radius: f
     return rows.withColumns({"lon": F.degrees(lon), "lat": F.degrees(lat), "distance": F.col("point") * spacing})
 
 
-def fractional_index(points: DataFrame, grid: DataFrame, site: str = "site", **options) -> DataFrame:
+def fractional_index(points: DataFrame, grid: DataFrame, site: str = "site") -> DataFrame:
     """(site, eta_frac, xi_frac): position of points in index space, from the nearest cell, its angle and its metric."""
-    at = nearest_cell(points, grid, site, wet_only=False, **options).join(grid.select("eta", "xi", "angle", "pm", "pn"), ["eta", "xi"])
+    at = nearest_cell(points, grid, site, wet_only=False).join(grid.select("eta", "xi", "angle", "pm", "pn"), ["eta", "xi"])
     far = physics.great_circle("cell_lat", "cell_lon", "lat", "lon")
     north = F.pmod(270 - F.degrees(F.atan2(F.col("cell_lat") - F.col("lat"), F.col("cell_lon") - F.col("lon"))), F.lit(360.0))
     turn = F.radians(F.degrees("angle") + north)

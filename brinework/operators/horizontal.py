@@ -180,40 +180,72 @@ def triangle_weights(grid: DataFrame, cells: DataFrame, tile: float) -> DataFram
     return hits.join(first, ["out_cell", "triangle"]).drop("triangle")
 
 
-def fill_nearest(df: DataFrame, by: list[str], value: str, tile: int, reach: int) -> DataFrame:
+def _envelope(rows: np.ndarray, squares: np.ndarray, wanted: np.ndarray) -> list[int]:
+    """For each wanted row the position of the candidate row with the least (row distance squared + its square), of equals the first row.
+
+    Candidates are parabolas over the rows; those that are lowest somewhere stay on a stack with the
+    row from which they are, so the work is linear in the candidates. All numbers are integers.
+    """
+    order = np.argsort(rows, kind="stable")
+    stack, begins = [], []
+    for k in order.tolist():
+        e, g = int(rows[k]), int(squares[k])
+        begin = None
+        while stack:
+            at, low = int(rows[stack[-1]]), int(squares[stack[-1]])
+            begin = (e * e + g - at * at - low) // (2 * (e - at)) + 1  # the first row where the later one is lower
+            if begin > begins[-1]:
+                break
+            stack.pop()
+            begins.pop()
+        stack.append(k)
+        begins.append(begin if len(stack) > 1 else -(1 << 62))
+    return [stack[j] for j in (np.searchsorted(np.array(begins), wanted, side="right") - 1).tolist()] if stack else [None] * len(wanted)
+
+
+def fill_nearest(df: DataFrame, by: list[str], value: str) -> DataFrame:
     """Missing cells take the value of the nearest valid cell of their group in index space; a group without one stays missing.
 
-    Of equals the first in (eta, xi) order. Cells meet within ``reach`` tiles; for cells with no
-    valid one surely nearest there, the tiles grow until every cell is reached. Only valid cells
-    beside one that is not are sent: a step from any other leads to a nearer valid one.
+    Of equals the first in (eta, xi) order. A distance transform in two passes: within each row, every
+    column that misses a value somewhere finds the row's nearest valid cell; within each such
+    column, the least sum of the squared distances decides. The exchanges are the same for any hole.
+    Rows without a place stay as they are.
     """
-    cells = df.select(*by, "eta", "xi", value)
+    group = F.struct(*by) if by else F.lit(0)
+    placed = F.col("eta").isNotNull() & F.col("xi").isNotNull()
+    cells = df.where(placed).withColumn("__g", group)
     known = cells.where(F.col(value).isNotNull())
-    sides = F.array(*[F.struct((F.col("eta") + de).alias("eta"), (F.col("xi") + dx).alias("xi"), F.lit(1 << k).alias("__s")) for k, (de, dx) in enumerate(((0, 1), (0, -1), (1, 0), (-1, 0)))])
-    inner = known.select(*by, F.explode(sides).alias("__c")).groupBy(*by, "__c.eta", "__c.xi").agg(F.bit_or("__c.__s").alias("__s")).where("__s = 15").drop("__s")
-    edge = known.join(inner, [*by, "eta", "xi"], "left_anti").select(*by, F.col("eta").alias("__e"), F.col("xi").alias("__x"), F.col(value).alias("__v"))
-    todo = cells.where(F.col(value).isNull()).select(*by, "eta", "xi")
-    box = cells.agg(F.max("eta") - F.min("eta"), F.max("xi") - F.min("xi")).first()
-    span = max(x or 0 for x in box)
-    around = F.sequence(F.lit(-reach), F.lit(reach))
-    gap = (F.col("eta") - F.col("__e")) ** 2 + (F.col("xi") - F.col("__x")) ** 2
-    found = None
-    while True:
-        at = lambda c: F.floor(F.col(c) / tile)  # noqa: B023, E731
-        missing = todo.withColumn("__te", F.explode(F.transform(around, lambda k: at("eta") + k))).withColumn("__tx", F.explode(F.transform(around, lambda k: at("xi") + k)))
-        near = (
-            missing.join(edge.withColumns({"__te": at("__e"), "__tx": at("__x")}), [*by, "__te", "__tx"])
-            .groupBy(*by, "eta", "xi")
-            .agg(F.min_by("__v", F.struct(gap, "__e", "__x")).alias("__v"), F.min(gap).alias("__gap"))
-        )
-        last = reach * tile >= span
-        sure = (near if last else near.where(F.col("__gap") <= (reach * tile) ** 2)).drop("__gap")
-        found = sure if found is None else found.unionByName(sure)
-        todo = todo.join(sure, [*by, "eta", "xi"], "left_anti")
-        if last or todo.isEmpty():
-            break
-        tile *= 4
-    return df.join(found, [*by, "eta", "xi"], "left").withColumn(value, F.coalesce(value, "__v")).drop("__v")
+    missing = cells.where(F.col(value).isNull())
+    rows = known.groupBy("__g", F.col("eta").cast("bigint").alias("__e")).agg(F.sort_array(F.collect_list(F.struct(F.col("xi").cast("bigint").alias("x"), F.col(value).alias("v")))).alias("__k"))
+    columns = missing.groupBy("__g").agg(F.sort_array(F.collect_set(F.col("xi").cast("bigint"))).alias("__c"))
+    met = rows.join(columns, "__g") if by else rows.crossJoin(F.broadcast(columns.drop("__g")))  # one row, as long as the grid is wide
+
+    @F.pandas_udf("array<int>")
+    def beside(known: pd.Series, wanted: pd.Series) -> pd.Series:
+        def one(k: np.ndarray, c: np.ndarray) -> np.ndarray:
+            right = np.searchsorted(k, c)
+            left = np.maximum(right - 1, 0)
+            right = np.minimum(right, len(k) - 1)
+            return np.where(np.abs(c - k[left]) <= np.abs(k[right] - c), left, right).astype(np.int32)
+
+        return pd.Series([one(np.asarray(k), np.asarray(c)) for k, c in zip(known, wanted)])
+
+    @F.pandas_udf("array<int>")
+    def lowest(rows: pd.Series, squares: pd.Series, wanted: pd.Series) -> pd.Series:
+        return pd.Series([_envelope(np.asarray(r, np.int64), np.asarray(s, np.int64), np.asarray(w, np.int64)) for r, s, w in zip(rows, squares, wanted)])
+
+    picked = met.withColumn("__i", beside(F.transform("__k", lambda k: k["x"]), F.col("__c")))
+    near = F.transform(F.arrays_zip("__c", "__i"), lambda z: F.struct(z["__c"].alias("x"), F.get("__k", z["__i"]).alias("k")))
+    candidates = picked.select("__g", "__e", F.explode(near).alias("n")).select(
+        "__g", F.col("n.x").alias("__x"), F.struct(F.col("__e").alias("e"), ((F.col("n.k.x") - F.col("n.x")) ** 2).cast("bigint").alias("s"), F.col("n.k.v").alias("v")).alias("__a"), F.lit(None).alias("__m")
+    )
+    targets = missing.select("__g", F.col("xi").cast("bigint").alias("__x"), F.lit(None).alias("__a"), F.struct(*df.columns).alias("__m"))
+    typed = candidates.withColumn("__m", F.col("__m").cast(targets.schema["__m"].dataType)).unionByName(targets.withColumn("__a", F.col("__a").cast(candidates.schema["__a"].dataType)))
+    whole = typed.groupBy("__g", "__x").agg(F.collect_list("__a").alias("__a"), F.collect_list("__m").alias("__m")).where(F.size("__m") > 0)
+    pick = lowest(F.transform("__a", lambda a: a["e"]), F.transform("__a", lambda a: a["s"]), F.transform("__m", lambda m: m["eta"].cast("bigint")))
+    filled = whole.withColumn("__i", pick).select("__a", F.explode(F.arrays_zip("__m", "__i")).alias("__z"))
+    filled = filled.select(*[F.get("__a", F.col("__z.__i"))["v"].alias(c) if c == value else F.col(f"__z.__m.{c}").alias(c) for c in df.columns])
+    return df.where(~placed | F.col(value).isNotNull()).unionByName(filled)
 
 
 def coarsen(points: DataFrame, cells: DataFrame, width: float, value: str) -> DataFrame:
@@ -309,7 +341,7 @@ def _spectrum(series: DataFrame, keys: list[str], values: str, spacings: tuple[f
     return series.select(*keys, values).mapInPandas(lambda it: (d[order] for d in run(it)), f"{kinds}, {rest}")
 
 
-def scatter_to_grid(points: DataFrame, grid: DataFrame, value: str, low: float, high: float, tile: float = 1.0) -> DataFrame:
+def scatter_to_grid(points: DataFrame, grid: DataFrame, value: str, low: float, high: float) -> DataFrame:
     """(eta, xi, value): each cell takes the value of the scattered point (lon, lat, value) nearest to it, clamped; of equals the first by position."""
     from brinework.operators import geo
     from brinework.operators.filters import clamped
@@ -318,6 +350,6 @@ def scatter_to_grid(points: DataFrame, grid: DataFrame, value: str, low: float,
     spots = points.where(F.col(value).isNotNull()).groupBy("lon", "lat").agg(F.min(value).alias(value))
     named = spots.select(F.col("lat").alias("eta"), F.col("lon").alias("xi"), "lon", "lat", F.lit(1).alias("mask"), value)
     cells = grid.select(F.struct("eta", "xi").alias("cell"), "lon", "lat")
-    near = geo.nearest_cell(cells, named, "cell", tile=tile)
+    near = geo.nearest_cell(cells, named, "cell")
     out = near.join(named.select("eta", "xi", value), ["eta", "xi"])
     return out.select("cell.eta", "cell.xi", value).withColumn(value, clamped(value, low, high))

@@ -29,7 +29,7 @@ near AS (SELECT site, lon, lat, eta, xi, d FROM pairs QUALIFY row_number() OVER
 
 
 def _nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return geo.nearest_cell(sites(spark, sf_dir), grid(spark, sf_dir), tile=0.3)
+    return geo.nearest_cell(sites(spark, sf_dir), grid(spark, sf_dir))
 
 
 @query(f"WITH {NEAREST} SELECT site, eta, xi, round(d, 6) AS dist FROM near")
@@ -49,7 +49,7 @@ FROM near WHERE site IN (10, 20, 30, 40)) SELECT * FROM c"""
 )
 def subdomain_box(spark: SparkSession, sf_dir: str) -> DataFrame:
     corners = sites(spark, sf_dir).where("site in (10, 20, 30, 40)")  # the four corners of a subdomain
-    box = geo.index_box(geo.nearest_cell(corners, grid(spark, sf_dir), tile=0.3))
+    box = geo.index_box(geo.nearest_cell(corners, grid(spark, sf_dir)))
     return box.select(*[F.col(c).cast("int").alias(c) for c in box.columns])
 
 
@@ -167,7 +167,7 @@ SELECT p.eta, p.xi, coalesce(p.value, b.value) AS value FROM p LEFT JOIN b ON p.
 )
 def filled_coast(spark: SparkSession, sf_dir: str) -> DataFrame:
     field = grid(spark, sf_dir).select("eta", "xi", F.when(F.col("mask") == 1, F.col("value")).alias("value"))
-    return horizontal.fill_nearest(field, [], "value", 5, 1).select("eta", "xi", "value")
+    return horizontal.fill_nearest(field, [], "value").select("eta", "xi", "value")
 
 
 @query(
@@ -194,7 +194,7 @@ SELECT out_cell, value FROM n"""
 def regridded_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = grid(spark, sf_dir)
     cells = horizontal.regular_cells(horizontal.regular_axis(g, SPACING), SPACING)
-    near = geo.nearest_cell(cells, g, "out_cell", wet_only=False, tile=0.5)
+    near = geo.nearest_cell(cells, g, "out_cell", wet_only=False)
     weights = near.select("out_cell", "eta", "xi", F.lit(1.0).alias("w"))
     return horizontal.apply_weights(g, weights, [], ["value"]).select("out_cell", "value")
 

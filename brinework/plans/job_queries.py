@@ -95,7 +95,7 @@ SELECT point, round(lon, 6) AS lon, round(lat, 6) AS lat, round(bearing, 6) AS b
 @query(_section_sql())
 def section_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = grid(spark, sf_dir).withColumns({"pm": F.lit(1 / 9200.0), "pn": F.lit(1 / 11113.0), "angle": F.lit(0.0)})
-    got = workloads.section(spark, g, g, (15.3, -35.95, 18.9, -35.7), 10_000.0, ["value", "h"], [], tile=0.5)
+    got = workloads.section(spark, g, g, (15.3, -35.95, 18.9, -35.7), 10_000.0, ["value", "h"], [])
     return got.select("point", r6("lon"), r6("lat"), r6("bearing"), r6("value"), r6("h"))
 
 
@@ -192,12 +192,12 @@ def vectors_at_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _nearest_sql(name: str, points: str, cells: str) -> str:
-    return f"""{name} AS (SELECT p.river, g.eta, g.xi, g.lon, g.lat, g.mask FROM {points} p, grid g WHERE {cells} QUALIFY row_number() OVER (PARTITION BY p.river ORDER BY round(sqrt((g.lon - p.lon) ** 2 + (g.lat - p.lat) ** 2), 12), g.eta, g.xi) = 1)"""
+    return f"""{name} AS (SELECT p.river, g.eta, g.xi, g.lon, g.lat, g.mask FROM {points} p, grid g WHERE {cells} QUALIFY row_number() OVER (PARTITION BY p.river ORDER BY round(6371000 * acos(greatest(-1, least(1, sin(radians(p.lat)) * sin(radians(g.lat)) + cos(radians(p.lat)) * cos(radians(g.lat)) * cos(radians(g.lon - p.lon)))))), g.eta, g.xi) = 1)"""
 
 
 @query(
-    f"""WITH {GRID}, v AS (SELECT s_suppkey AS river, 14.5 + 0.05::DOUBLE * (s_suppkey * 7 % 120) AS lon, -36.2 + 0.01::DOUBLE * (s_suppkey * 13 % 420) AS lat FROM supplier),
-r AS (SELECT v.* FROM v, (SELECT min(lon) AS a, max(lon) AS b, min(lat) AS c, max(lat) AS d FROM grid) WHERE lon BETWEEN a AND b AND lat BETWEEN c AND d),
+    f"""WITH {GRID}, v AS (SELECT s_suppkey AS river, 14.5 + 0.05::DOUBLE * (s_suppkey * 7 % 120) + 360 * (s_suppkey % 3 - 1) AS lon, -36.2 + 0.01::DOUBLE * (s_suppkey * 13 % 420) AS lat FROM supplier),
+r AS (SELECT river, v.lon + turn AS lon, v.lat FROM v, (SELECT min(lon) AS a, max(lon) AS b, min(lat) AS c, max(lat) AS d FROM grid), (SELECT unnest([-360, 0, 360]) AS turn) WHERE v.lon + turn BETWEEN a AND b AND v.lat BETWEEN c AND d),
 l AS (SELECT g.eta, g.xi, coalesce(sum(CASE WHEN m.eta = g.eta + 1 THEN 8 WHEN m.xi = g.xi + 1 THEN 4 WHEN m.xi = g.xi - 1 THEN 2 WHEN m.eta = g.eta - 1 THEN 1 END), 0) AS p FROM grid g LEFT JOIN grid m ON m.mask = 0 AND abs(m.eta - g.eta) + abs(m.xi - g.xi) = 1 GROUP BY ALL),
 {_nearest_sql('n', 'r', 'true')}, k AS (SELECT n.river, n.eta, n.xi, n.mask, p, r.lon, r.lat FROM n JOIN l USING (eta, xi) JOIN r USING (river)),
 o AS (SELECT river, lon, lat FROM k WHERE mask = 1 AND p = 0), {_nearest_sql('s', 'o', 'g.mask = 0')}, a AS (SELECT river, lon, lat FROM k WHERE mask = 0 UNION ALL SELECT river, lon, lat FROM s), {_nearest_sql('w', 'a', 'g.mask = 1')},
@@ -206,9 +206,10 @@ SELECT river, eta, xi, CAST(CASE WHEN p IN (8, 1, 9, 14, 7) THEN 1 WHEN p NOT IN
 CAST(CASE WHEN p IN (2, 3, 10, 13) THEN -1 ELSE 0 END AS INT) AS di, CAST(CASE WHEN p IN (1, 7) THEN -1 ELSE 0 END AS INT) AS dj FROM f JOIN l USING (eta, xi)"""
 )
 def river_mouths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rivers whose longitudes are right or a whole turn off."""
     k = F.col("s_suppkey")
-    rivers = table(spark, sf_dir, "supplier").select(k.alias("river"), (14.5 + 0.05 * (k * 7 % 120)).alias("lon"), (-36.2 + 0.01 * (k * 13 % 420)).alias("lat"))
-    return forcing.river_mouths(rivers, grid(spark, sf_dir), tile=0.5)
+    rivers = table(spark, sf_dir, "supplier").select(k.alias("river"), (14.5 + 0.05 * (k * 7 % 120) + 360 * (k % 3 - 1)).alias("lon"), (-36.2 + 0.01 * (k * 13 % 420)).alias("lat"))
+    return forcing.river_mouths(rivers, grid(spark, sf_dir))
 
 
 @query(

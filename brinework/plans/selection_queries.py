@@ -187,7 +187,7 @@ def shifted_site_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each site with a depth and a shift of its own."""
     k = F.col("site")
     s = sites(spark, sf_dir).withColumns({"di": (k % 3 - 1).cast("int"), "dj": F.when(k % 4 > 0, (k % 4).cast("int")), "bottom": F.when(k % 2 == 0, 905.0)})
-    return geo.sites_to_indices(s, grid(spark, sf_dir), "site", "di", "dj", "bottom", tile=0.3)
+    return geo.sites_to_indices(s, grid(spark, sf_dir), "site", "di", "dj", "bottom")
 
 
 @query(
@@ -224,7 +224,7 @@ def transferred_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A finer grid inside of the grid takes its mask at the two outer rows of each side."""
     g = grid(spark, sf_dir)
     child = g.select("eta", "xi", (F.col("lon") * 0.5 + 7.613).alias("lon"), (F.col("lat") * 0.5 - 17.963).alias("lat"), F.lit(1).alias("mask"))
-    return geo.transfer_mask(child, g, tile=0.3).select("eta", "xi", "mask")
+    return geo.transfer_mask(child, g).select("eta", "xi", "mask")
 
 
 @query(f"WITH {GRID} SELECT eta, xi, value, CASE WHEN eta % 2 = 0 THEN round(h + 1, 6) END AS h FROM grid WHERE xi < 30")
@@ -244,7 +244,7 @@ def scattered_to_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The value of the nearest of scattered points, clamped, at each cell."""
     g = grid(spark, sf_dir)
     points = g.where("xi % 4 = 1 and eta % 3 = 0").select((F.col("lon") + 0.013).alias("lon"), (F.col("lat") - 0.021).alias("lat"), "value")
-    return horizontal.scatter_to_grid(points, g, "value", 10.0, 40.0, tile=0.5)
+    return horizontal.scatter_to_grid(points, g, "value", 10.0, 40.0)
 
 
 @query(

@@ -41,7 +41,7 @@ def tier3(levels: DataFrame, grid: DataFrame, spacing: float, variables: list[st
     """A regular grid: the weights are built once and joined to every time and depth; cells outside the ring are missing."""
     cells = horizontal.regular_cells(horizontal.regular_axis(grid, spacing), spacing)
     if method == "nearest":
-        weights = geo.nearest_cell(cells, grid, "out_cell", wet_only=False, tile=tile).select("out_cell", "eta", "xi", F.lit(1.0).alias("w"))
+        weights = geo.nearest_cell(cells, grid, "out_cell", wet_only=False).select("out_cell", "eta", "xi", F.lit(1.0).alias("w"))
     elif method == "linear":
         weights = horizontal.triangle_weights(grid, cells, tile)
     else:
@@ -50,10 +50,10 @@ def tier3(levels: DataFrame, grid: DataFrame, spacing: float, variables: list[st
     return out if ring is None else out.where(geo.in_polygon("lon", "lat", ring))
 
 
-def section(spark: SparkSession, field: DataFrame, grid: DataFrame, ends: tuple[float, float, float, float], spacing: float, values: list[str], by: list[str], tile: float = 1.0) -> DataFrame:
+def section(spark: SparkSession, field: DataFrame, grid: DataFrame, ends: tuple[float, float, float, float], spacing: float, values: list[str], by: list[str]) -> DataFrame:
     """(by, point, lon, lat, distance, bearing, values) along a great circle, bilinear in index space; ``by`` holds time and level."""
     points = geo.section_points(spark, *ends, spacing)
-    where = geo.fractional_index(points, grid, "point", tile=tile)
+    where = geo.fractional_index(points, grid, "point")
     path = timeaxis.distances_along(points.withColumn("__one", F.lit(1)), ["__one"], "point", "lon", "lat").drop("__one")
     out = None
     for v in values:
@@ -120,7 +120,7 @@ def ertel_pv(cells: DataFrame, by: list[str], rho0: float = vertical.RHO0) -> Da
     return d.select(*by, "level", "eta", "xi", pv.alias("pv"))
 
 
-def regrid_to_model(source: DataFrame, grid: DataFrame, values: list[str], by: list[str], lon0: float, lat0: float, step: float, theta_s: float, theta_b: float, hc: float, n: int, tile: int = 8, reach: int = 2) -> DataFrame:
+def regrid_to_model(source: DataFrame, grid: DataFrame, values: list[str], by: list[str], lon0: float, lat0: float, step: float, theta_s: float, theta_b: float, hc: float, n: int) -> DataFrame:
     """A regular ocean product (by, depth, j, i, values) as columns on the model's levels.
 
     Missing cells take their nearest neighbour on the same depth, then each depth is sampled at
@@ -129,7 +129,7 @@ def regrid_to_model(source: DataFrame, grid: DataFrame, values: list[str], by: l
     out = None
     for v in values:
         flat = source.select(*by, "depth", F.col("j").alias("eta"), F.col("i").alias("xi"), v)
-        filled = horizontal.fill_nearest(flat, [*by, "depth"], v, tile, reach).withColumnsRenamed({"eta": "j", "xi": "i"})
+        filled = horizontal.fill_nearest(flat, [*by, "depth"], v).withColumnsRenamed({"eta": "j", "xi": "i"})
         at = forcing.regular_to_grid(filled, grid, lon0, lat0, step, v, [*by, "depth"])
         column = F.transform(F.array_sort(F.collect_list(F.when(F.col(v).isNotNull(), F.struct((-F.col("depth")).alias("z"), F.col(v).alias("v"))))), lambda s: s)
         stacked = at.groupBy(*by, "eta", "xi").agg(column.alias(f"__{v}"))

@@ -137,7 +137,7 @@ def test_nearest_cell(spark):
     grid_rows = g.collect()
     for s in sites.collect():
         plain[s.site] = min(((round(math.hypot(r.lon - s.lon, r.lat - s.lat), 12), r.eta, r.xi) for r in grid_rows if r.mask == 1))[1:]
-    got = {r.site: (r.eta, r.xi) for r in geo.nearest_cell(sites, g, tile=0.4).collect()}
+    got = {r.site: (r.eta, r.xi) for r in geo.nearest_cell(sites, g).collect()}
     assert got == plain
     with pytest.raises(ValueError):
         geo.nearest_cell(sites, g, min_depth=1e6)

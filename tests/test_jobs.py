@@ -31,7 +31,7 @@ def test_tiers(spark):
     two = workloads.tier2(one, ["temp", "u"], [row.z[2], -500.0], ["time", "eta", "xi"])
     got = {r.depth: r.temp for r in two.where("eta = 2 and xi = 3").collect()}
     assert got[row.z[2]] == pytest.approx(17.0) and got[-500.0] is None
-    three = workloads.tier3(two.where("depth > -400"), g, 0.05, ["temp"], ["time", "depth"], tile=0.3)
+    three = workloads.tier3(two.where("depth > -400"), g, 0.05, ["temp"], ["time", "depth"])
     for r in three.collect():
         assert r.temp == pytest.approx(12 + (r.lon - 20) * 10 + (r.lat + 35) * 10, abs=1e-6)
     near = workloads.tier3(two.where("depth > -400"), g, 0.1, ["temp"], ["time", "depth"], "nearest", 0.3)
@@ -42,7 +42,7 @@ def test_tiers(spark):
 
 def test_section_of_a_plane(spark):
     g = grid(spark, 30, 40).withColumns({"pm": F.lit(1 / 9112.0), "pn": F.lit(1 / 11113.0)}).withColumn("q", F.col("xi") + 2.0 * F.col("eta"))
-    rows = workloads.section(spark, g, g, (20.5, -34.5, 22.0, -33.0), 20_000.0, ["q"], [], tile=0.5).orderBy("point").collect()
+    rows = workloads.section(spark, g, g, (20.5, -34.5, 22.0, -33.0), 20_000.0, ["q"], []).orderBy("point").collect()
     assert len(rows) > 5
     for r in rows:
         assert r.q == pytest.approx((r.lon - 20) * 10 + 2 * (r.lat + 35) * 10, abs=0.3)
