@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brinework.plans.series_queries import query, r6
@@ -93,23 +93,51 @@ def stream_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _finished(spark, jobs.against_climatology(days, clim, ["user_id"], "day", "value").select("user_id", "day", "anomaly")).select("user_id", "day", F.round("anomaly", 8).alias("anomaly"))
 
 
-@query("SELECT user_id, count(*) AS n, round(max(value), 6) AS top FROM events GROUP BY ALL")
-def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each batch is merged by event into its users' partitions."""
+def _dealt(spark: SparkSession, rows: DataFrame, batch: Column, batches: int = 3) -> tuple[str, DataFrame]:
+    """Rows dealt over files by the batch number of each, and the stream that reads them one file after the other."""
     folder = _folder(spark)
-    jobs.upsert(_events(spark, sf_dir), f"{folder}/out", f"{folder}/state", "user_id", ["event_id"]).awaitTermination()
+    kept = rows.withColumn("batch", batch)
+    for k in range(batches):
+        kept.where(F.col("batch") == k).drop("batch").coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    return folder, jobs.read_stream(spark, f"{folder}/in", rows.schema, 1)
+
+
+DEAL = "CAST('0x' || substr(md5(CAST({0} AS VARCHAR)), 1, 6) AS BIGINT)"
+VERSIONS = f"""v AS (SELECT event_id, CASE WHEN event_id % 7 > 0 THEN user_id END AS user_id, value + k AS value, k AS version FROM events, (SELECT unnest(range(3)) AS k) WHERE k < 1 + {DEAL.format('event_id')} % 3)"""
+
+
+@query(
+    f"""WITH {VERSIONS}, n AS (SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY version DESC) = 1)
+SELECT user_id, count(*) AS n, count(DISTINCT event_id) AS events, round(max(value), 6) AS top, CAST(sum(version) AS BIGINT) AS versions FROM n GROUP BY ALL"""
+)
+def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions of events, some repeated and some without a user, come shuffled in three batches; each is merged into its users' partitions."""
+    e = table(spark, sf_dir, "events")
+    number = lambda c: F.conv(F.substring(F.md5(c.cast("string").cast("binary")), 1, 6), 16, 10).cast("bigint")
+    some = e.withColumn("version", F.explode(F.sequence(F.lit(0), (number(F.col("event_id")) % 3).cast("int"))))
+    rows = some.select("event_id", F.when(F.col("event_id") % 7 > 0, F.col("user_id")).alias("user_id"), (F.col("value") + F.col("version")).alias("value"), "version")
+    rows = rows.withColumn("twice", F.explode(F.array(F.lit(0), F.lit(1)))).where("twice = 0 or event_id % 5 = 0")
+    folder, stream = _dealt(spark, rows.drop("twice"), F.pmod(F.xxhash64("event_id", "version"), F.lit(3)))
+    jobs.upsert(stream, f"{folder}/out", f"{folder}/state", "user_id", ["event_id"], ["version"]).awaitTermination()
     got = spark.read.parquet(f"{folder}/out")
-    return got.groupBy(F.col("user_id").cast("bigint").alias("user_id")).agg(F.count(F.lit(1)).alias("n"), F.round(F.max("value"), 6).alias("top"))
+    return got.groupBy(F.col("user_id").cast("bigint").alias("user_id")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("event_id").alias("events"), F.round(F.max("value"), 6).alias("top"), F.sum("version").alias("versions")
+    )
 
 
 @query(
-    """WITH h AS (SELECT user_id, datediff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS position, max(value - 20) AS peak FROM events WHERE value > 20 GROUP BY ALL),
+    """WITH mark AS (SELECT max(ts) - INTERVAL 5 DAY AS mark FROM events), h AS (SELECT user_id, datediff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS position, max(value - 20) AS peak FROM events WHERE value > 20 GROUP BY ALL),
 s AS (SELECT *, CASE WHEN position - lag(position) OVER w - 1 <= 2 THEN 0 ELSE 1 END AS new FROM h WINDOW w AS (PARTITION BY user_id ORDER BY position)),
-g AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY position) AS g FROM s)
-SELECT user_id, min(position) AS first, max(position) AS last, max(position) - min(position) + 1 AS length, round(max(peak), 6) AS peak FROM g GROUP BY user_id, g HAVING max(position) > min(position)"""
+g AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY position) AS g FROM s),
+r AS (SELECT user_id, min(position) AS first, max(position) AS last, max(position) - min(position) + 1 AS length, round(max(peak), 6) AS peak FROM g GROUP BY user_id, g)
+SELECT r.* FROM r, mark WHERE length >= 2 AND DATE '1970-01-01' + CAST(last + 4 AS INT) < mark"""
 )
 def stream_event_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stateful detection: runs of positions whose value exceeds a threshold, with short gaps bridged."""
-    e = _events(spark, sf_dir)
-    daily = e.select("user_id", F.unix_date(F.to_date("ts")).cast("bigint").alias("position"), (F.col("value") - 20).alias("excess"), "ts")
+    """Stateful detection: runs of positions whose value exceeds a threshold, with short gaps bridged, from three batches in which rows are up to four days out of order."""
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"), "value")
+    seen = F.unix_micros("ts") + F.pmod(F.xxhash64("event_id"), F.lit(96)) * 3_600_000_000
+    ends = e.agg(F.min(seen), F.max(seen)).first()
+    low, high = ends[0] or 0, (ends[1] or 0) + 1
+    folder, stream = _dealt(spark, e, F.floor((seen - low) * 3 / (high - low)).cast("int"))
+    daily = stream.withWatermark("ts", "5 days").select("user_id", F.unix_date(F.to_date("ts")).cast("bigint").alias("position"), (F.col("value") - 20).alias("excess"), "ts")
     return _finished(spark, jobs.event_runs(daily, "user_id", 2, 2)).select("user_id", "first", "last", "length", r6("peak"))

@@ -5,13 +5,15 @@ Streams need a column of type timestamp for their watermark; ``as_events`` casts
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
 from pyspark.sql.types import StructType
 
 
@@ -52,71 +54,106 @@ def against_climatology(daily: DataFrame, clim: DataFrame, keys: list[str], day:
     return daily.withColumn("doy", F.dayofyear(F.col(day).cast("date"))).join(clim, [*keys, "doy"]).withColumn("anomaly", F.col(value) - F.col("clim"))
 
 
-def _runs(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState, min_duration: int, max_gap: int, names: list[str]) -> Iterator[pd.DataFrame]:
-    first, last, length, peak = state.get if state.exists else (-1, -1, 0, 0.0)
-    rows = pd.concat(list(batches)).sort_values("position") if not state.hasTimedOut else pd.DataFrame({"position": [], "excess": []})
-    closed = []
-
-    def close() -> None:
-        if length >= min_duration:
-            closed.append((*key, int(first), int(last), int(length), float(peak)))
-
-    for position, excess in zip(rows.get("position", ()), rows.get("excess", ())):
-        if length and first <= position <= last:  # a day of the run, once more or late
-            peak = max(peak, excess)
-        elif excess > 0 and length and position < first and first - position - 1 <= max_gap:
-            first, peak = position, max(peak, excess)
-            length = last - first + 1
-        elif excess > 0:
-            if length and position - last - 1 <= max_gap:
-                length = position - first + 1
+class _OpenDays(StatefulProcessor):
+    """The days of a key that exceed, until the watermark has passed the gap behind their run."""
+
+    def __init__(self, key: str, origin_ms: int, step_ms: int, min_duration: int, max_gap: int):
+        self.key, self.origin_ms, self.step_ms, self.min_duration, self.max_gap = key, origin_ms, step_ms, min_duration, max_gap
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.days = handle.getMapState("days", "position bigint", "peak double")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        held = {p: v for (p,), (v,) in self.days.iterator()}
+        for part in rows:
+            hits = part[part["excess"] > 0].dropna(subset=["position"])
+            for position, peak in hits.groupby("position")["excess"].max().items():
+                if peak > held.get(int(position), 0.0):
+                    held[int(position)] = float(peak)
+                    self.days.updateValue((int(position),), (float(peak),))
+        return self._closed(key, held, timerValues.getCurrentWatermarkInMs())
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        return self._closed(key, {p: v for (p,), (v,) in self.days.iterator()}, timerValues.getCurrentWatermarkInMs())
+
+    def _closed(self, key: tuple, held: dict[int, float], watermark: int) -> Iterator[pd.DataFrame]:
+        """Emits and forgets the runs that no later row can reach, and sets a timer for the others."""
+        runs: list[list[int]] = []
+        for position in sorted(held):
+            if runs and position - runs[-1][-1] - 1 <= self.max_gap:
+                runs[-1].append(position)
             else:
-                close()
-                first, length, peak = position, 1, 0.0
-            last, peak = position, max(peak, excess)
-        elif length and position - last - 1 > max_gap:  # a further reading of the day just after the gap may still bridge it
-            close()
-            length = 0
-    if state.hasTimedOut:
-        close()
-        state.remove()
-    else:
-        state.update((int(first), int(last), int(length), float(peak)))
-        if state.getCurrentWatermarkMs() >= 0:
-            state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + 86_400_000 * (max_gap + 1))
-    if closed:
-        yield pd.DataFrame(closed, columns=[*names, "first", "last", "length", "peak"])
+                runs.append([position])
+        out = []
+        for run in runs:
+            # a row of the first position behind the gap comes before this time
+            end = self.origin_ms + (run[-1] + self.max_gap + 2) * self.step_ms
+            if end < watermark:
+                length = run[-1] - run[0] + 1
+                if length >= self.min_duration:
+                    out.append((*key, run[0], run[-1], length, max(held[p] for p in run)))
+                for position in run:
+                    self.days.removeKey((position,))
+            else:
+                self.handle.registerTimer(end)
+        yield pd.DataFrame(out, columns=[self.key, "first", "last", "length", "peak"])
 
+    def close(self) -> None:
+        pass
 
-def event_runs(daily: DataFrame, key: str, min_duration: int = 5, max_gap: int = 2) -> DataFrame:
-    """(key, first, last, length, peak) of each closed event in a stream of (key, position, excess, time).
 
-    The state of a key is its open run. Gaps are counted in positions, so missing days count and
-    several readings of a day are one: it exceeds if any does. A run is emitted when its gap
-    outgrows ``max_gap``, or when the watermark passes it.
+def event_runs(daily: DataFrame, key: str, min_duration: int = 5, max_gap: int = 2, origin: str = "1970-01-01", step: dt.timedelta = dt.timedelta(days=1)) -> DataFrame:
+    """(key, first, last, length, peak) of each closed event in a stream of (key, position, excess, time) with a watermark.
+
+    Position p stands for the times from ``origin`` + p steps (UTC) on. Gaps are counted in positions,
+    so missing days count, days that do not exceed are gaps, and several readings of a day are one:
+    it exceeds if any does. The state of a key are its exceeding days; a run is emitted, and its days
+    forgotten, when the watermark has passed the first position behind its gap. So rows in any order
+    within the allowed lateness, over any number of batches, give the runs of the whole series. A row
+    without a position or an excess is none. The session's state store becomes RocksDB, which
+    map states need.
     """
-    return daily.groupBy(key).applyInPandasWithState(
-        lambda k, it, s: _runs(k, it, s, min_duration, max_gap, [key]),
+    daily.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    origin_ms = int(dt.datetime.fromisoformat(origin).replace(tzinfo=dt.timezone.utc).timestamp() * 1000)
+    return daily.groupBy(key).transformWithStateInPandas(
+        _OpenDays(key, origin_ms, int(step.total_seconds() * 1000), min_duration, max_gap),
         f"{key} {daily.schema[key].dataType.simpleString()}, first bigint, last bigint, length bigint, peak double",
-        "first bigint, last bigint, length bigint, peak double",
         "append",
-        GroupStateTimeout.EventTimeTimeout,
+        "EventTime",
     )
 
 
-def upsert(df: DataFrame, path: str, checkpoint: str, partition: str, keys: list[str]):
-    """Merges each batch by key into the partitions that it holds: rows of its keys are replaced, the others stay."""
-    def write(batch: DataFrame, _: int) -> None:
-        try:
-            held = batch.sparkSession.read.schema(df.schema).parquet(path)
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-        else:
-            stays = held.join(batch.select(partition).distinct(), partition, "left_semi").join(batch.select(*keys).distinct(), keys, "left_anti")
-            batch = batch.unionByName(stays)
-        batch.write.partitionBy(partition).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+def newest(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The last row of each key by the ordering columns, nulls first; null keys are one key."""
+    (rank,) = [n for n in ("__rank", "__rank_") if n not in rows.columns][:1]
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order])
+    return rows.withColumn(rank, F.row_number().over(w)).where(F.col(rank) == 1).drop(rank)
+
+
+def merge_batch(batch: DataFrame, path: str, partition: str, keys: list[str], order: list[str]) -> None:
+    """Writes the newest row of each key, of the batch and of what is stored, into the partitions that the batch holds.
+
+    The partition must follow from the key. Nulls are values like others, in keys and partitions. A
+    batch that comes twice, or a repeated or older row, changes nothing.
+    """
+    batch = batch.persist()
+    try:
+        held = batch.sparkSession.read.schema(batch.schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = batch
+    else:
+        touched = batch.select(F.col(partition).alias("__p")).distinct()
+        rows = batch.unionByName(held.join(touched, F.col(partition).eqNullSafe(F.col("__p")), "left_semi"))
+    newest(rows, keys, order).write.partitionBy(partition).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    batch.unpersist()
+
 
+def upsert(df: DataFrame, path: str, checkpoint: str, partition: str, keys: list[str], order: list[str]):
+    """Merges each batch by key into the partitions that it holds: the newest row of each key stays, whichever batch brings it."""
+    write = lambda batch, _: merge_batch(batch, path, partition, keys, order)
     return df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).outputMode("append").start()
 
 

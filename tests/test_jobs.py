@@ -128,11 +128,11 @@ def test_late_rows_are_dropped(spark, tmp_path):
 
 
 def test_event_runs_in_a_stream(spark, tmp_path):
-    series = [1] * 6 + [0] * 3 + [1] * 3 + [0, 1, 1, 0, 0, 1] + [0] * 6
+    series = [1] * 6 + [0] * 3 + [1] * 3 + [0, 1, 1, 0, 0, 1] + [0] * 7
     rows = [("s", k, float(2 * x - 1), T0 + dt.timedelta(days=k)) for k, x in enumerate(series)]
     batches = [rows[:4], rows[4:11], rows[11:20], rows[20:]]
     events = stream_of(spark, tmp_path, batches, "site string, position bigint, excess double, ts timestamp").withWatermark("ts", "0 days")
-    got = sorted((r.first, r.last, r.length) for r in finish(spark, jobs.event_runs(events, "site"), tmp_path))
+    got = sorted((r.first, r.last, r.length) for r in finish(spark, jobs.event_runs(events, "site", origin="2020-01-01"), tmp_path))
     assert got == [(0, 5, 6), (9, 17, 9)]
 
 
