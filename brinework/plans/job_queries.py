@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from brinework.functions import physics, vertical
-from brinework.operators import filters, forcing, geo, horizontal
-from brinework.plans import workloads
+from brinework.operators import events, filters, forcing, geo, horizontal, sketches, timeaxis
+from brinework.plans import monthly, workloads
 from brinework.plans.field_queries import NEAREST, RING, _depth_sql, _eos_sql, _nearest, _with_levels
-from brinework.plans.series_queries import query, r6, text_time
-from brinework.sources.adaptors import GRID, PROFILES, SENSORS, WIDTH, grid, sensors, table
+from brinework.plans.series_queries import CLIM, DAILY, _one_sign, query, r6, text_day, text_time
+from brinework.session import shared_folder
+from brinework.sources.adaptors import GRID, PROFILES, SENSORS, WIDTH, cell_readings, grid, sensors, table
 
 
 @query(f"WITH {GRID} SELECT eta, xi, CASE WHEN mask = 1 THEN value END AS value, round(greatest(950, least(1500, h)), 6) AS h FROM grid WHERE eta >= 1 AND eta < 30 AND xi >= 5 AND xi < 40")
@@ -253,3 +256,95 @@ def strongest_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three strongest readings of each site: a report."""
     w = Window.partitionBy("site").orderBy(F.desc("value"), "time")
     return sensors(spark, sf_dir).withColumn("rank", F.row_number().over(w)).where("rank <= 3").select("site", "rank", r6("value"))
+
+
+SPINE_EVENTS = (
+    CLIM
+    + """,
+spine AS (SELECT cell, CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS day FROM (SELECT cell, min(day) AS a, max(day) AS b FROM daily GROUP BY cell)),
+dated AS (SELECT s.cell, s.day, coalesce(d.temp, c.clim) AS temp, d.temp IS NOT NULL AS real, c.clim, c.thr90, c.thr10 FROM spine s LEFT JOIN daily d ON d.cell = s.cell AND d.day = s.day
+  LEFT JOIN clim c ON c.cell = s.cell AND c.doy = CASE WHEN dayofyear(s.day) = 60 AND NOT EXISTS (SELECT 1 FROM clim k WHERE k.cell = s.cell AND k.doy = 60) THEN 59 ELSE dayofyear(s.day) END)"""
+    + _one_sign("hot", ">", "thr90", "")
+    + _one_sign("cold", "<", "thr10", "-")
+    + """,
+found AS (SELECT d.cell, d.day, d.real, d.temp, d.clim, CASE WHEN h.level <> 0 THEN h.level ELSE -c.level END AS category FROM dated d JOIN hot h ON h.cell = d.cell AND h.day = d.day JOIN cold c ON c.cell = d.cell AND c.day = d.day)"""
+)
+
+
+def _monthly(spark: SparkSession, sf_dir: str) -> tuple[str, list[int]]:
+    """A record without some days of four months, its products, and their update when those days come."""
+    daily = timeaxis.daily_mean(cell_readings(spark, sf_dir), ["cell"], "time", ("temp",)).select("cell", "day", "temp")
+    clim = events.climatology(daily, ["cell"])
+    late = F.date_format("day", "yyyyMM").isin("199503", "199504", "199712", "199801") & (F.pmod(F.xxhash64("cell", "day"), F.lit(3)) == 0)
+    folder = f"{shared_folder(spark)}/monthly-{uuid.uuid4().hex}"
+    at = [f"{folder}/{n}" for n in ("record", "products", "events")]
+    clim.write.parquet(f"{folder}/clim")
+    clim = spark.read.parquet(f"{folder}/clim")
+    for part in (daily.where(~late), daily.where(late)):
+        months = monthly.update_months(part, clim, *at, ["cell"])
+    return folder, months
+
+
+@query(f"WITH {SPINE_EVENTS} SELECT cell, strftime(day, '%Y-%m-%d') AS day, round(temp, 6) AS temp, CAST(category AS INT) AS category FROM found WHERE real")
+def monthly_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Categories of a record kept by month, after late days rewrote only the months that they can change."""
+    folder, _ = _monthly(spark, sf_dir)
+    return monthly.read_months(spark, f"{folder}/products").select("cell", text_day(), r6("temp"), F.col("category").cast("int").alias("category"))
+
+
+@query(
+    f"""WITH {SPINE_EVENTS}, s AS (SELECT *, sign(category) AS sign FROM found WHERE category <> 0), i AS (SELECT *, day - CAST(row_number() OVER (PARTITION BY cell, sign ORDER BY day) AS INT) AS i FROM s)
+SELECT cell, CAST(sign AS INT) AS sign, strftime(min(day), '%Y-%m-%d') AS first, strftime(max(day), '%Y-%m-%d') AS last, CAST(count(*) AS INT) AS length, round(max(abs(temp - clim)), 6) AS peak FROM i GROUP BY cell, sign, i"""
+)
+def monthly_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole events from the fragments stored by month, with those that cross months."""
+    folder, _ = _monthly(spark, sf_dir)
+    return monthly.stored_events(spark, f"{folder}/events", ["cell"]).select("cell", "sign", text_day("first"), text_day("last"), "length", r6(F.coalesce("peak", F.lit(0.0)), "peak"))
+
+
+def _sketched(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The daily record, and its stored summaries, to which later years were added by themselves."""
+    daily = timeaxis.daily_mean(cell_readings(spark, sf_dir), ["cell"], "time", ("temp",)).select("cell", "day", "temp")
+    folder = f"{shared_folder(spark)}/summaries-{uuid.uuid4().hex}"
+    for part in (F.year("day") < 1997, F.year("day") >= 1997):
+        sketches.day_summaries(daily.where(part), ["cell"]).write.mode("append").parquet(folder)
+    return daily, spark.read.parquet(folder)
+
+
+#: How far the rank of a sketched quantile may be off.
+RANK_ERROR = 0.02
+
+
+def _near(values: DataFrame, found: DataFrame, keys: list[str], quantile: str, rank: float) -> DataFrame:
+    r = sketches.rank_range(values, found, keys, "temp", quantile)
+    return r.select(*keys, F.lit(rank).between(F.col("below") - RANK_ERROR, F.col("up_to") + RANK_ERROR).alias(f"near_{quantile}"))
+
+
+@query(f"WITH {CLIM} SELECT cell, CAST(doy AS INT) AS doy, count(*) AS n, round(avg(temp), 6) AS clim, true AS near_thr90, true AS near_thr10 FROM pooled GROUP BY ALL")
+def sketched_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A baseline from stored sketches of two parts of the record, and whether its percentiles have the right rank among the pooled days."""
+    daily, parts = _sketched(spark, sf_dir)
+    found = sketches.climatology(parts, ["cell"])
+    pooled = daily.withColumn("doy", F.explode(F.sequence(F.dayofyear("day") - 5, F.dayofyear("day") + 5))).withColumn("doy", F.pmod(F.col("doy") - 1, F.lit(366)) + 1)
+    out = found
+    for name, rank in (("thr90", 0.9), ("thr10", 0.1)):
+        out = out.join(_near(pooled, found, ["cell", "doy"], name, rank), ["cell", "doy"])
+    return out.select("cell", "doy", "n", r6("clim"), "near_thr90", "near_thr10")
+
+
+@query(f"WITH {DAILY} SELECT CAST(month(day) AS INT) AS month, count(*) AS n, round(avg(temp), 6) AS mean, true AS near_low, true AS near_high FROM daily GROUP BY ALL")
+def sketched_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Colour limits of each month, the first and the ninety-ninth percentile over all cells, from the same sketches."""
+    daily, parts = _sketched(spark, sf_dir)
+    found = sketches.with_quantiles(sketches.merged(parts, ["month"]), {"low": 0.01, "high": 0.99})
+    values = daily.withColumn("month", F.month("day"))
+    out = found.join(_near(values, found, ["month"], "low", 0.01), "month").join(_near(values, found, ["month"], "high", 0.99), "month")
+    return out.select("month", "n", r6("mean"), "near_low", "near_high")
+
+
+@query(f"WITH {SENSORS}, m AS (SELECT site, kind, strftime(time, '%Y-%m') AS month FROM sensors) SELECT kind, month, count(DISTINCT site) AS n_distinct FROM m GROUP BY ALL UNION ALL SELECT kind, NULL, count(DISTINCT site) FROM m GROUP BY ALL")
+def distinct_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sites of each kind, by month and in all, from one set of distinct sketches."""
+    monthly_parts = sketches.distinct_summaries(sensors(spark, sf_dir), ["kind", F.date_format("time", "yyyy-MM").alias("month")], "site")
+    by_month = sketches.distinct_counts(monthly_parts, ["kind", "month"])
+    return by_month.unionByName(sketches.distinct_counts(monthly_parts, ["kind"]).withColumn("month", F.lit(None).cast("string")))
