@@ -171,6 +171,41 @@ def in_polygon(lon, lat, ring: list[tuple[float, float]]) -> Column:
     return F.size(crossed) % 2 == 1
 
 
+def in_ring(points: DataFrame, edges: DataFrame, key: str) -> DataFrame:
+    """(key, inside): ray crossing of points (key, lon, lat) against a ring of any length, given by its edges (lon0, lat0, lon1, lat1).
+
+    Edges are cut into bands of latitude, and a point meets those of its own band only. The bands
+    are so many that the edges give no more than four rows each on average, however tall they are.
+    A point without a place is null, one without an edge in its band outside; edges of several
+    rings together (holes, islands) count as one, and their order does not matter.
+    """
+    known = edges.where("lon0 is not null and lat0 is not null and lon1 is not null and lat1 is not null and lat0 <> lat1")
+    low, high = F.least("lat0", "lat1"), F.greatest("lat0", "lat1")
+    r = known.agg(F.count(F.lit(1)).alias("n"), F.min(low).alias("low"), F.max(high).alias("high"), F.sum(high - low).alias("tall")).first()  # one row
+    ids = points.select(key, "lon", "lat").distinct()
+    placed = F.col("lon").isNotNull() & F.col("lat").isNotNull()
+    if not r.n:
+        return ids.select(key, F.when(placed, False).alias("inside"))
+    bands = max(1, int(3 * r.n * (r.high - r.low) / r.tall))
+    band = lambda lat: F.greatest(F.lit(0), F.least(F.lit(bands - 1), F.floor((lat - r.low) / (r.high - r.low) * bands).cast("int")))
+    cut_up = known.withColumn("__band", F.explode(F.sequence(band(low), band(high))))
+    at = ids.where(placed & F.col("lat").between(r.low, r.high)).withColumn("__band", band(F.col("lat")))
+    # both sides have exchanges of their own, so that a crowded band can be split
+    met = at.join(cut_up, "__band").where(
+        ((F.col("lat0") > F.col("lat")) != (F.col("lat1") > F.col("lat")))
+        & (F.col("lon") < (F.col("lon1") - F.col("lon0")) * (F.col("lat") - F.col("lat0")) / (F.col("lat1") - F.col("lat0")) + F.col("lon0"))
+    )
+    odd = met.groupBy(F.struct(key, "lon", "lat").alias("__p")).agg((F.count(F.lit(1)) % 2 == 1).alias("__odd"))
+    return ids.withColumn("__p", F.struct(key, "lon", "lat")).join(odd, "__p", "left").select(key, F.when(placed, F.coalesce("__odd", F.lit(False))).alias("inside"))
+
+
+def ring_edges(vertices: DataFrame, order: str) -> DataFrame:
+    """(lon0, lat0, lon1, lat1) of the closed ring through vertices (order, lon, lat), whose order is numbered without gaps from 0."""
+    n = vertices.agg(F.count(F.lit(1)).alias("n"))  # one row
+    after = vertices.crossJoin(F.broadcast(n)).select(F.pmod(F.col(order) - 1, F.col("n")).alias("__k"), F.col("lon").alias("lon1"), F.col("lat").alias("lat1"))
+    return vertices.select(F.col(order).cast("bigint").alias("__k"), F.col("lon").alias("lon0"), F.col("lat").alias("lat0")).join(after, "__k").drop("__k")
+
+
 def index_box(corners: DataFrame) -> DataFrame:
     """(eta_from, eta_to, xi_from, xi_to) around the cells of a subdomain's corners, one cell wider on each side."""
     return corners.agg(

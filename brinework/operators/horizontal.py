@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brinework.operators.timeaxis import masked_difference
@@ -95,6 +95,26 @@ def relative_vorticity(u: DataFrame, v: DataFrame, metrics: DataFrame, by: list[
     )
 
 
+def crossings(cells: DataFrame, by: list[str], axis: str, other: str, targets: list[float], values: list[str]) -> DataFrame:
+    """(by, target, number, position, values): every place along an axis (eta, xi or level) at which a field takes a target value, numbered from the start.
+
+    Between neighbours on either side of the target the place and the values are interpolated; a cell
+    right at the target counts once, a stretch of such cells with its last one. A missing cell or
+    value breaks the line. Values may be coordinates, so a line of constant longitude is a section.
+    """
+    w = Window.partitionBy(*by).orderBy(axis)
+    beside = F.lead(axis).over(w) == F.col(axis) + 1
+    nxt = lambda c: F.when(beside, F.lead(c).over(w))
+    pairs = cells.where(F.col(other).isNotNull()).withColumns({"__o": nxt(other)} | {f"__n{k}": nxt(v) for k, v in enumerate(values)})
+    rows = pairs.withColumn("target", F.explode(F.array(*[F.lit(float(t)) for t in targets])))
+    a, b = F.col(other) - F.col("target"), F.col("__o") - F.col("target")
+    rows = rows.where(((a == 0) & ~F.coalesce(b == 0, F.lit(False))) | (a * b < 0))
+    part = F.when(a == 0, 0.0).otherwise(a / (a - b))
+    out = [F.when(part == 0, F.col(v)).otherwise(F.col(v) + part * (F.col(f"__n{k}") - F.col(v))).alias(v) for k, v in enumerate(values)]
+    number = F.row_number().over(Window.partitionBy(*by, "target").orderBy("position"))
+    return rows.select(*by, "target", (F.col(axis) + part).alias("position"), *out).withColumn("number", number).select(*by, "target", "number", "position", *values)
+
+
 def land_neighbours(grid: DataFrame, corners: bool = False) -> DataFrame:
     """(eta, xi, mask, land): how many of the four (or eight) neighbours are land, and which of the four as flags."""
     steps = {"up": (1, 0), "down": (-1, 0), "left": (0, -1), "right": (0, 1)}

@@ -231,3 +231,12 @@ def distances_along(df: DataFrame, keys: list[str], order: str, lon: str, lat: s
     bearing = F.atan2(F.cos(b) * F.sin(d), F.cos(a) * F.sin(b) - F.sin(a) * F.cos(b) * F.cos(d))
     out = df.withColumn("bearing", bearing)
     return out.withColumn("bearing", F.coalesce("bearing", F.lag("bearing").over(w)))
+
+
+def numbered(rows: DataFrame, order: str, out: str) -> DataFrame:
+    """Numbers from 0 without gaps in the order of a unique column, without one task that sees all rows: ranges are numbered each, from the counts of those before."""
+    ranged = cut(rows.repartitionByRange(F.col(order)).withColumn("__part", F.spark_partition_id()))
+    counts = ranged.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))  # a row for each range
+    before = counts.withColumn("__from", F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).drop("__n")
+    inside = F.row_number().over(Window.partitionBy("__part").orderBy(order)).cast("bigint") - 1
+    return ranged.withColumn(out, inside).join(F.broadcast(before), "__part").withColumn(out, F.col(out) + F.col("__from")).drop("__part", "__from")

@@ -66,7 +66,8 @@ x AS (SELECT site, count_if((b > lat) <> (d > lat) AND lon < (c - a) * (lat - b)
 
 @query(_ring_sql())
 def inside_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sites(spark, sf_dir).select("site", geo.in_polygon("lon", "lat", RING).alias("inside"))
+    edges = spark.createDataFrame([(*a, *b) for a, b in zip(RING, RING[1:] + RING[:1])], "lon0 double, lat0 double, lon1 double, lat1 double")
+    return geo.in_ring(sites(spark, sf_dir), edges, "site")
 
 
 @query(

@@ -17,4 +17,4 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def load() -> None:
     """Fills the registry; the query modules register on import."""
-    from brinework.plans import field_queries, formula_queries, job_queries, selection_queries, series_queries, stream_queries  # noqa: F401
+    from brinework.plans import field_queries, formula_queries, grid_queries, job_queries, selection_queries, series_queries, stream_queries  # noqa: F401

@@ -102,22 +102,38 @@ def ertel_pv(cells: DataFrame, by: list[str], rho0: float = vertical.RHO0) -> Da
 
     Needs u, v, rho, z, f, pm, pn; centred differences, one-sided at the edges.
     """
+    return ertel_pv_parts(cells, by, rho0).select(*by, "level", "eta", "xi", "pv")
+
+
+def ertel_pv_parts(cells: DataFrame, by: list[str], rho0: float = vertical.RHO0) -> DataFrame:
+    """(by, level, eta, xi, pv_i, pv_j, pv_k, pv): the parts along xi, along eta and upwards, and their sum.
+
+    k is -(f + v_x - u_y) rho_z, i is -(w_y - v_z) rho_x and j is -(u_z - w_x) rho_y, over rho0, with w
+    taken as zero if the cells have none. Horizontal differences are those at constant depth, by
+    the chain rule on sloping levels. Three exchanges: one for each axis, whatever the variables.
+    """
     up = [*by, "eta", "xi"]
     row, col = [*by, "level", "eta"], [*by, "level", "xi"]
     d = cells
-    for name, source in (("__zz", "z"), ("__rz", "rho"), ("__uz", "u"), ("__vz", "v")):
-        d = timeaxis.masked_difference(d, up, "level", source, name)
-    for name, source in (("__vx", "v"), ("__rx", "rho"), ("__zx", "z")):
-        d = timeaxis.masked_difference(d, row, "xi", source, name)
-    for name, source in (("__uy", "u"), ("__ry", "rho"), ("__zy", "z")):
-        d = timeaxis.masked_difference(d, col, "eta", source, name)
+    upward = [c for c in ("w",) if c in cells.columns]
+    for name in ("z", "rho", "u", "v", *upward):
+        d = timeaxis.masked_difference(d, up, "level", name, f"__{name}z")
+    for name in ("v", "rho", "z", *upward):
+        d = timeaxis.masked_difference(d, row, "xi", name, f"__{name}x")
+    for name in ("u", "rho", "z", *upward):
+        d = timeaxis.masked_difference(d, col, "eta", name, f"__{name}y")
     c = F.col
-    per = lambda n: F.try_divide(c(n), c("__zz"))
-    at_depth_x = lambda n, s: (c(n) - per(s) * c("__zx")) * c("pm")
-    at_depth_y = lambda n, s: (c(n) - per(s) * c("__zy")) * c("pn")
-    vorticity = c("f") + at_depth_x("__vx", "__vz") - at_depth_y("__uy", "__uz")
-    pv = (-vorticity * per("__rz") + per("__vz") * at_depth_x("__rx", "__rz") - per("__uz") * at_depth_y("__ry", "__rz")) / rho0
-    return d.select(*by, "level", "eta", "xi", pv.alias("pv"))
+    per = lambda n: F.try_divide(c(f"__{n}z"), c("__zz"))
+    level_x = lambda n: (c(f"__{n}x") - per(n) * c("__zx")) * c("pm")
+    level_y = lambda n: (c(f"__{n}y") - per(n) * c("__zy")) * c("pn")
+    w_x, w_y = (level_x("w"), level_y("w")) if upward else (F.lit(0.0), F.lit(0.0))
+    parts = {
+        "pv_i": (per("v") - w_y) * level_x("rho") / rho0,
+        "pv_j": (w_x - per("u")) * level_y("rho") / rho0,
+        "pv_k": -(c("f") + level_x("v") - level_y("u")) * per("rho") / rho0,
+    }
+    out = d.select(*by, "level", "eta", "xi", *[p.alias(n) for n, p in parts.items()])
+    return out.withColumn("pv", F.col("pv_k") + F.col("pv_i") + F.col("pv_j"))
 
 
 def regrid_to_model(source: DataFrame, grid: DataFrame, values: list[str], by: list[str], lon0: float, lat0: float, step: float, theta_s: float, theta_b: float, hc: float, n: int) -> DataFrame:

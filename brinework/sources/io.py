@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Names of the variables in the known ocean products (standard name: product name).
 PRODUCTS = {
@@ -22,6 +23,25 @@ def read_fields(spark: SparkSession, paths: str | list[str], variables: list[str
     return df.select(*keys, *variables)
 
 
+def read_runs(spark: SparkSession, path: str, schema: StructType | str, run_date: str, days: int, max_age_hours: int = 12, files: str = "*.parquet", stamp: str = r"(\d{10})[^0-9]*$") -> DataFrame:
+    """The records of the runs from ``days + 1`` before a date on, with their ``run``; other files are not opened.
+
+    A run's time is the stamp (yyyyMMddHH) at the end of its file's name, or of the folder's; files
+    without one are left out. The age is checked on the listing: no run within ``max_age_hours``
+    before the date, or later, is an error.
+    """
+    at = F.lit(run_date).cast("timestamp")
+    time_of = lambda name: F.try_to_timestamp(F.regexp_extract(name, stamp, 1), F.lit("yyyyMMddHH"))
+    own = lambda name: F.coalesce(time_of(F.regexp_extract(name, r"([^/]+)\.\w+$", 1)), time_of(F.regexp_extract(name, r"([^/]+)/[^/]+$", 1)))
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", files).load(path).select(own(F.col("path")).alias("run"))
+    fresh = listed.agg((F.max("run") >= at - F.expr(f"interval {max_age_hours} hours")).alias("fresh")).first().fresh
+    if not fresh:
+        raise ValueError(f"the newest run is more than {max_age_hours} hours before {run_date}")
+    runs = spark.read.schema(schema).option("recursiveFileLookup", "true").option("pathGlobFilter", files).parquet(path)
+    run = own(F.col("_metadata.file_path"))
+    return runs.where(run >= at - F.expr(f"interval {days + 1} days")).select("*", run.alias("run"))
+
+
 def read_grid(spark: SparkSession, paths: str | list[str], keys: list[str], static: list[str], where: Column | None = None) -> DataFrame:
     """The variables that do not change in time, once for each cell: of the first file of a list, in an index box if one is asked for."""
     first = paths if isinstance(paths, str) else paths[0]
