@@ -268,6 +268,14 @@ def fill_nearest(df: DataFrame, by: list[str], value: str) -> DataFrame:
     return df.where(~placed | F.col(value).isNotNull()).unionByName(filled)
 
 
+def fill_or_mean(df: DataFrame, by: list[str], value: str, few: int = 10) -> DataFrame:
+    """``fill_nearest``, but a group with fewer than ``few`` valid cells is their mean everywhere; one without any stays missing."""
+    group = F.struct(*by) if by else F.lit(0)
+    facts = df.groupBy(group.alias("__g")).agg(F.count(value).alias("__n"), F.avg(value).alias("__mean"))
+    filled = fill_nearest(df, by, value).withColumn("__g", group).join(facts, "__g")
+    return filled.withColumn(value, F.when(F.col("__n").between(1, few - 1), F.col("__mean").cast(df.schema[value].dataType)).otherwise(F.col(value))).select(*df.columns)
+
+
 def coarsen(points: DataFrame, cells: DataFrame, width: float, value: str) -> DataFrame:
     """Weighted means of points within ``width`` of each cell, with weight (1 - (r/w)^2)^2; tiles of the width meet."""
     t = lambda c: F.floor(F.col(c) / width)

@@ -223,6 +223,32 @@ def overlap_months(df: DataFrame, time: str, days: int) -> DataFrame:
     return df.withColumn("month", F.explode(months)).withColumn("month", F.date_format("month", "yyyy-MM"))
 
 
+def with_repeated_ends(df: DataFrame, time: str, days: int, ends: str = "repeat") -> DataFrame:
+    """``overlap_months``, and for a month without a month of records before it (or after it) its first (last) records once more.
+
+    They stand ``days`` before the month's start, or ``days`` after its end, and are marked in the
+    column ``repeated``; with ``ends`` as ``error`` such a month raises instead.
+    """
+    if ends not in ("repeat", "error"):
+        raise ValueError(f"unknown ends {ends!r}: repeat or error")
+    t = F.to_date(time)
+    # the list of months does not grow with the fields
+    months = df.where(F.col(time).isNotNull()).groupBy(F.trunc(t, "month").alias("__m")).agg(F.min(time).alias("__a"), F.max(time).alias("__b"))
+    w = Window.orderBy("__m")
+    alone = months.select("__m", "__a", "__b", *[F.coalesce(step(F.col("__m")).over(w) != F.add_months("__m", k), F.lit(True)).alias(n) for n, step, k in (("__first", F.lag, -1), ("__last", F.lead, 1))])
+    if ends == "error":
+        bad = [r.m for r in alone.where("__first or __last").select(F.date_format("__m", "yyyy-MM").alias("m")).orderBy("m").limit(10).collect()]
+        if bad:
+            raise ValueError(f"months without a month of records beside them: {', '.join(bad)}")
+    kind = df.schema[time].dataType
+    out = overlap_months(df, time, days).withColumn("repeated", F.lit(False))
+    marked = df.withColumn("__m", F.trunc(t, "month")).join(F.broadcast(alone), "__m")
+    for flag, end, at in (("__first", "__a", F.date_sub("__m", days)), ("__last", "__b", F.date_add(F.last_day("__m"), days))):
+        more = marked.where(F.col(flag) & (F.col(time) == F.col(end)))
+        out = out.unionByName(more.select(*[at.cast(kind).alias(c) if c == time else c for c in df.columns], F.date_format("__m", "yyyy-MM").alias("month"), F.lit(True).alias("repeated")))
+    return out
+
+
 def distances_along(df: DataFrame, keys: list[str], order: str, lon: str, lat: str) -> DataFrame:
     """Bearing to the next point of a path; the last point repeats the one before."""
     w = Window.partitionBy(*keys).orderBy(order)

@@ -139,13 +139,13 @@ def ertel_pv_parts(cells: DataFrame, by: list[str], rho0: float = vertical.RHO0)
 def regrid_to_model(source: DataFrame, grid: DataFrame, values: list[str], by: list[str], lon0: float, lat0: float, step: float, theta_s: float, theta_b: float, hc: float, n: int) -> DataFrame:
     """A regular ocean product (by, depth, j, i, values) as columns on the model's levels.
 
-    Missing cells take their nearest neighbour on the same depth, then each depth is sampled at
-    the model's cells, and each column moves to the model's levels (end layers repeat).
+    Missing cells take their nearest neighbour on the same depth, a depth with fewer than ten valid
+    cells is their mean, then each depth is sampled at the model's cells, and each column moves to the model's levels (end layers repeat).
     """
     out = None
     for v in values:
         flat = source.select(*by, "depth", F.col("j").alias("eta"), F.col("i").alias("xi"), v)
-        filled = horizontal.fill_nearest(flat, [*by, "depth"], v).withColumnsRenamed({"eta": "j", "xi": "i"})
+        filled = horizontal.fill_or_mean(flat, [*by, "depth"], v).withColumnsRenamed({"eta": "j", "xi": "i"})
         at = forcing.regular_to_grid(filled, grid, lon0, lat0, step, v, [*by, "depth"])
         column = F.transform(F.array_sort(F.collect_list(F.when(F.col(v).isNotNull(), F.struct((-F.col("depth")).alias("z"), F.col(v).alias("v"))))), lambda s: s)
         stacked = at.groupBy(*by, "eta", "xi").agg(column.alias(f"__{v}"))
