@@ -1,14 +1,13 @@
 """Spelling variant grouping: words one edit apart, found by a frontier that walks a trie as tables.
 
-The trie of all words is an edge table (depth, node, letter, child); a node is named by the hash of
-its prefix, and an edge of letter '' ends a word. Level by level the states (word, position, node),
-each one edit away from its word, are joined with the edges of that depth on node and letter, so
+The trie of all words is a table of its edges (depth, node, letter, child), those of a node in one
+row; a node is named by the hash of its prefix, and an edge of letter '' ends a word. Level by level
+the states (word, position, node, edited or not) are joined with the edges of that depth by node, so
 that only states which some word continues live on; those that take an end edge have found a
-neighbour. New states start from the word's own path at every depth: the letter there is left out
-(the node stays), or another letter takes its place (the node's children, of which there are no
-more than letters in the alphabet). An inserted letter is the other word's left-out one, so pairs
-are found once and turned round at the end. Every pair is checked on its words, so that equal
-hashes of different prefixes change nothing.
+neighbour. A word's own path stands at every depth and starts edited states there: the letter is left
+out, or another letter takes its place (of which there are no more than letters in the alphabet).
+An inserted letter is the other word's left-out one, so pairs are found once and turned round at the
+end. Every pair is checked on its words, so that equal hashes of different prefixes change nothing.
 
 Words longer than ``LONGEST`` letters, whose prefixes would grow with the square of their length,
 meet by a hash of all but one of ``PARTS`` parts instead, as one edit leaves the others alone.
@@ -25,14 +24,12 @@ from pyspark.sql import functions as F
 from brinework.llm.common import checkpoint, free_names, shared_folder, split_join
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-RUN = "[a-zÀ-ÿ]+"
+RUN = "[A-Za-zÀ-ÿ]+"
 MIN_LETTERS, MIN_COUNT, DAMAGE = 5, 3, 97
 #: Letters of the longest word in the trie; longer ones meet by all of their parts but one.
-LONGEST, PARTS = 40, 64
+LONGEST, PARTS = 20, 64
 #: Levels between two cuts of lineage.
 CUT_EVERY = 4
-#: The letter of a state that has found its word.
-DONE = "#"
 
 
 def word_counts(docs: DataFrame, min_letters: int = MIN_LETTERS, min_count: int = MIN_COUNT, damage: int = DAMAGE) -> DataFrame:
@@ -40,11 +37,11 @@ def word_counts(docs: DataFrame, min_letters: int = MIN_LETTERS, min_count: int
 
     A null text has no words; a null id counts as an empty one.
     """
-    text = F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER)
     id_, run, h = free_names(docs, "id", "run", "h")
-    runs = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias(id_), F.explode(F.regexp_extract_all(text, F.lit(f"({RUN})"), F.lit(1))).alias(run))
-    # the shorter runs can only become shorter
-    marked = runs.where(F.length(run) >= min_letters).withColumn(h, F.crc32(F.concat_ws(":", F.col(id_), F.col(run)).cast("binary")))
+    runs = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias(id_), F.explode(F.regexp_extract_all("text", F.lit(f"({RUN})"), F.lit(1))).alias(run))
+    # the shorter runs can only become shorter; only A to Z have another case in a run of ASCII
+    small = F.when(F.octet_length(run) == F.length(run), F.lower(run)).otherwise(F.translate(run, UPPER, LOWER))
+    marked = runs.where(F.length(run) >= min_letters).withColumn(run, small).withColumn(h, F.crc32(F.concat_ws(":", F.col(id_), F.col(run)).cast("binary")))
     at = F.pmod(F.col(h), F.length(run)).cast("int")
     cut = F.concat(F.substring(run, 1, at), F.substring(F.col(run), at + 2, F.length(run)))
     words = marked.select(F.when(F.col(h) % damage == 0, cut).otherwise(F.col(run)).alias("word"))
@@ -60,10 +57,11 @@ def _prefix(word: str | Column, letters: Column) -> Column:
     return F.xxhash64(F.substring(word, F.lit(1), letters))
 
 
-def trie_edges(words: DataFrame) -> DataFrame:
-    """(depth, node, letter, child) of the trie of the words; the child of an end edge is the word's own node."""
+def trie_nodes(words: DataFrame) -> DataFrame:
+    """(depth, node, edges): the inner nodes of the trie of the words, with a map of letters to children, no larger than the alphabet and the end; the child behind an end edge stands for the word."""
     at = words.select("word", F.explode(F.sequence(F.lit(0), F.length("word"))).alias("depth"))
-    return at.select("depth", _prefix("word", F.col("depth")).alias("node"), _letter("word", F.col("depth")).alias("letter"), _prefix("word", F.col("depth") + 1).alias("child")).distinct()
+    edges = at.select("depth", _prefix("word", F.col("depth")).alias("node"), _letter("word", F.col("depth")).alias("letter"), _prefix("word", F.col("depth") + 1).alias("child")).distinct()
+    return edges.groupBy("depth", "node").agg(F.map_from_entries(F.collect_list(F.struct("letter", "child"))).alias("edges"))
 
 
 def trie_neighbours(words: DataFrame) -> DataFrame:
@@ -73,24 +71,26 @@ def trie_neighbours(words: DataFrame) -> DataFrame:
     if top is None:
         return words.select("word", F.col("word").alias("other"))
     folder = f"{shared_folder(spark)}/trie-{uuid.uuid4().hex}"
-    trie_edges(words).hint("rebalance", F.col("depth")).write.partitionBy("depth").parquet(folder)
-    edges = spark.read.schema("node bigint, letter string, child bigint, depth int").parquet(folder)
+    trie_nodes(words).hint("rebalance", F.col("depth")).write.partitionBy("depth").parquet(folder)
+    nodes = spark.read.schema("node bigint, edges map<string, bigint>, depth int").parquet(folder)
     size, found, alive = F.length("word"), [], None
+    none, to = F.array().cast("array<struct<at: int, node: bigint>>"), lambda at, node: F.struct(at.alias("at"), node.alias("node"))
     for d in range(top + 1):
-        # nodes of one or two letters: the alphabet's size and its square at most
-        few = F.broadcast if d < 2 else lambda x: x
-        here = edges.where(F.col("depth") == d).drop("depth")
-        own = words.where(size > d).withColumns({"own": _letter("word", F.lit(d)), "before": _letter("word", F.lit(d - 1)) if d else F.lit(""), "node": _prefix("word", F.lit(d))})
+        here = nodes.where(F.col("depth") == d).drop("depth")
+        # the words that come by without an edit stand at d, and their states of one edit begin here;
         # of equal letters in a row the first is left out, as the others give the same word
-        left_out = own.where("own <> before").select("word", F.lit(d + 1).alias("at"), "node")
-        states = left_out if alive is None else alive.unionByName(left_out)
-        # a state past the end of its word has found one; no edge has its letter, so it stays as it is
-        asked = states.withColumn("letter", F.when(F.col("at") > size, DONE).otherwise(_letter("word", F.col("at"))))
-        went = asked.join(few(here), ["node", "letter"], "left").where(F.col("child").isNotNull() | (F.col("letter") == DONE))
-        stepped = went.select("word", F.when(F.col("letter") == DONE, F.col("at")).otherwise(F.col("at") + 1).alias("at"), F.coalesce("child", "node").alias("node"))
-        children = here.where("letter <> ''").groupBy("node").agg(F.collect_list(F.struct("letter", "child")).alias("c"))  # no more than letters in the alphabet
-        other = own.join(few(children), "node").select("word", F.explode(F.filter("c", lambda c: c["letter"] > F.col("own"))).alias("c"))
-        alive = stepped.unionByName(other.select("word", F.lit(d + 1).alias("at"), F.col("c.child").alias("node")))
+        own, before = _letter("word", F.lit(d)), _letter("word", F.lit(d - 1)) if d else F.lit("")
+        front = words.where(size > d).select("word", F.lit(d + 1).alias("at"), _prefix("word", F.lit(d)).alias("node"), own.alias("mine"), (own != before).alias("goes"))
+        if alive is not None:
+            front = front.unionByName(alive.withColumns({"mine": F.lit(None).cast("string"), "goes": F.col("at") <= size}))
+        asked = front.withColumn("want", _letter("word", F.col("at")))
+        # the nodes of up to two letters are no more than the alphabet's square
+        met = asked.join(F.broadcast(here) if d < 3 else here, "node", "left").withColumn("child", F.try_element_at("edges", F.col("want")))
+        onward = F.when(F.col("goes") & F.col("child").isNotNull(), F.array(to(F.col("at") + 1, F.col("child")))).otherwise(none)
+        replaced = F.transform(F.filter(F.map_entries("edges"), lambda e: e["key"] > F.col("mine")), lambda e: to(F.lit(d + 1), e["value"]))
+        # a state past its word's end has found one and stays as it is
+        state = F.when(F.col("at") > size, F.array(to(F.col("at"), F.col("node")))).otherwise(onward)
+        alive = met.select("word", F.explode(F.when(F.col("mine").isNull(), state).otherwise(F.concat(onward, replaced))).alias("s")).select("word", "s.*")
         if (d + 1) % CUT_EVERY == 0 or d == top:
             alive = checkpoint(alive)
             found.append(alive.where(F.col("at") > size))
