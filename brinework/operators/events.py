@@ -6,6 +6,10 @@ that one exchange serves them. Windows use bounded frames or running sums only.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,34 +22,45 @@ def climatology(
     """(keys, doy, clim, thr90, thr10): mean and percentiles of the days within ``half_window`` of each day of the year.
 
     Day numbers run from 1 to 366 and wrap. Missing values are not counted; a day of the year
-    without any near it has no row. A cell's values are gathered once by day of the year, and its
-    366 windows are put together from those lists in its own row, so no value is shuffled twice.
+    without any near it has no row. A cell's values are gathered once, and its 366 windows are
+    slices of them in order of the day, each sorted in the task that holds the cell.
     """
-    known = daily.where(F.col(value).isNotNull()).select(*keys, F.dayofyear(day).alias("__d"), F.col(value).cast("double").alias("__v"))
-    lists = known.groupBy(*keys, "__d").agg(F.collect_list("__v").alias("__l"))
-    cells = lists.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("__d", "__l"))).alias("__m"))
-    none = F.array().cast("array<double>")
-    every = F.sequence(F.lit(1), F.lit(366))
-
-    def quantile(x: Column, q: float) -> Column:
-        at = (F.size(x) - 1) * F.lit(q)
-        low, high = F.floor(at), F.ceil(at)
-        below, above = F.get(x, low.cast("int")), F.get(x, high.cast("int"))
-        return F.when(low == high, below).otherwise((high - at) * below + (at - low) * above)
-
-    def summaries(days: Column) -> Column:
-        around = lambda d: F.transform(F.sequence(d - 1 - half_window, d - 1 + half_window), lambda k: F.get(days, F.pmod(k, F.lit(366))))
-        windows = F.transform(every, lambda d: F.struct(d.alias("doy"), F.sort_array(F.flatten(around(d))).alias("x")))
-        mean = lambda x: F.aggregate(x, F.lit(0.0), lambda a, v: a + v) / F.size(x)
-        return F.transform(
-            F.filter(windows, lambda w: F.size(w["x"]) > 0),
-            lambda w: F.struct(w["doy"].alias("doy"), mean(w["x"]).alias("clim"), *[quantile(w["x"], q).alias(n) for n, q in zip(("thr90", "thr10"), quantiles)]),
-        )
-
-    # as an element of an array the list of days is worked out once for a cell, not for each window
-    by_day = F.transform(every, lambda d: F.coalesce(F.try_element_at("__m", d), none))
-    out = F.element_at(F.transform(F.array(by_day), summaries), 1)
-    return cells.select(*keys, F.explode(out).alias("__s")).select(*keys, "__s.*")
+    known = daily.where(F.col(value).isNotNull()).select(*keys, F.struct(F.dayofyear(day).alias("d"), F.col(value).cast("double").alias("v")).alias("__s"))
+    cells = known.groupBy(*keys).agg(F.collect_list("__s").alias("__l"))
+    cells = cells.select(*keys, F.transform("__l", lambda s: s["d"]).alias("__d"), F.transform("__l", lambda s: s["v"]).alias("__v"))
+    kinds = ", ".join(f"`{k}` {daily.schema[k].dataType.simpleString()}" for k in keys)
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, out = [], []
+            for row, (d, v) in enumerate(zip(batch.column("__d"), batch.column("__v"))):
+                found = _day_windows(d.values.to_numpy(zero_copy_only=False), v.values.to_numpy(zero_copy_only=False), half_window, quantiles)
+                at.append(np.full(len(found), row))
+                out.append(found)
+            numbers = np.concatenate(out) if out else np.zeros((0, 4))
+            rows = pa.array(np.concatenate(at) if at else np.zeros(0, int))
+            columns = [batch.column(k).take(rows) for k in keys] + [pa.array(numbers[:, 0].astype(np.int32))] + [pa.array(numbers[:, c]) for c in (1, 2, 3)]
+            yield pa.RecordBatch.from_arrays(columns, [*keys, "doy", "clim", "thr90", "thr10"])
+
+    return cells.mapInArrow(windows, f"{kinds}, doy int, clim double, thr90 double, thr10 double")
+
+
+def _day_windows(days: np.ndarray, values: np.ndarray, half_window: int, quantiles: tuple[float, float]) -> np.ndarray:
+    """(day, mean, two quantiles) of the values around each day of the year that has any."""
+    order = np.argsort(days, kind="stable")
+    days, values = days[order], values[order]
+    turns = range(-(half_window // 366) - 1, half_window // 366 + 2)
+    days, values = np.concatenate([days + 366 * t for t in turns]), np.tile(values, len(turns))
+    every = np.arange(1, 367)
+    starts, ends = np.searchsorted(days, every - half_window), np.searchsorted(days, every + half_window, side="right")
+    out = []
+    for doy, a, b in zip(every, starts, ends):
+        if a < b:
+            x = np.sort(values[a:b])
+            at = [(len(x) - 1) * q for q in quantiles]
+            low = [int(p) for p in at]
+            out.append((doy, x.sum() / len(x), *(x[k] if p == k else (k + 1 - p) * x[k] + (p - k) * x[k + 1] for p, k in zip(at, low))))
+    return np.array(out).reshape(-1, 4)
 
 
 def combined_baselines(clim: DataFrame, thresholds: DataFrame | None, keys: list[str], doy: str = "doy") -> DataFrame:
