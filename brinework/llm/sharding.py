@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -78,22 +79,38 @@ def rebalance(slots: DataFrame, held: DataFrame, shards: int) -> DataFrame:
     return placed.where("stays").select("version", "slot", "shard").unionByName(moved).select((F.col("version") + 1).alias("version"), "slot", "shard")
 
 
-def stored_maps(held: DataFrame, shards: int, slots: int, folder: str) -> DataFrame:
-    """Writes version 1 of a map and its rebalanced version 2 to a folder, a partition for each version, and reads them again."""
+def edited_map(held: DataFrame, shards: int, slots: int, folder: str) -> DataFrame:
+    """The newest version of the map in a folder, (version, slot, shard), after an edit by the bytes held.
+
+    A folder without a map gets version 1 and its edit; else the last version is edited. Every
+    version stays, in a partition of its own, so that an earlier placement can be read again.
+    """
     spark = held.sparkSession
-    first_map(spark, shards, slots).write.partitionBy("version").parquet(folder)
-    rebalance(spark.read.parquet(folder), held, shards).write.partitionBy("version").mode("append").parquet(folder)
-    return spark.read.parquet(folder)
+    try:
+        last = spark.read.schema("slot bigint, shard int, version int").parquet(folder)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        last = first_map(spark, shards, slots)
+        new = last.unionByName(rebalance(last, held, shards))
+    else:
+        newest = last.agg(F.max("version").alias("v")).first().v  # one number
+        new = rebalance(last.where(F.col("version") == newest), held, shards)
+    new.coalesce(1).write.partitionBy("version").mode("append").parquet(folder)  # a row for each slot
+    kept = spark.read.schema("slot bigint, shard int, version int").parquet(folder)
+    return kept.where(F.col("version") == kept.agg(F.max("version").alias("v")).first().v)
 
 
 def assign(records: DataFrame, shards: int = SHARDS, slots: int = SLOTS, id_col: str = "doc_id", text: str = "text", maps: str | None = None) -> DataFrame:
     """One row per record: (id, size, text_crc32, law, shard, slot, grown_shard, virtual_slot, version).
 
     The law is ``bytes``: the sizes of the shards are as near to equal as whole virtual slots allow,
-    by version 2 of the map that is stored in the folder ``maps`` (a new one in the shared folder, if
-    none is given). size is the UTF-8 bytes of the text plus one (null: one), text_crc32 the checksum
+    by the newest version of the map that is stored in the folder ``maps`` (a new one in the shared
+    folder, if none is given); a map that is there already is edited, whether bytes or the number of
+    shards changed, and only the slots that must move do. size is the UTF-8 bytes of the text plus one (null: one), text_crc32 the checksum
     of the text (null: of nothing), slot the record's place in its shard, without gaps from 0, in
-    order of virtual slot, id, checksum and size; grown_shard is null under this law. Repeated rows get a
+    order of virtual slot, id, checksum and size (part by part within virtual slots of more than
+    PART_ROWS rows); grown_shard is null under this law. Repeated rows get a
     place each, an empty table gives an empty one, other columns are not read. The virtual slot is a
     hash of id, checksum and size, so rows that share an id or a null one spread too. Places come
     from counts per part of a virtual slot and a row number inside it.
@@ -103,7 +120,7 @@ def assign(records: DataFrame, shards: int = SHARDS, slots: int = SLOTS, id_col:
     rows = rows.withColumn("virtual_slot", slot_of(slots, F.col("id"), F.col("text_crc32"), F.col("size")))
     held = checkpoint(slot_bytes(rows))
     folder = maps or f"{shared_folder(records.sparkSession)}/slot-map-{uuid.uuid4().hex}"
-    stored = stored_maps(held, shards, slots, folder).where("version = 2").withColumnRenamed("slot", "virtual_slot")
+    stored = edited_map(held, shards, slots, folder).withColumnRenamed("slot", "virtual_slot")
     parts = -(-(held.agg(F.max("rows")).first()[0] or 1) // PART_ROWS)
     # parts of a slot follow the order of ids only where there is one part
     rows = rows.withColumn("part", F.pmod(F.xxhash64("id", "text_crc32", "size"), F.lit(parts)))
