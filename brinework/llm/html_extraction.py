@@ -3,10 +3,11 @@
 Markup is stripped first: every block element becomes a line, inline elements none. Menus,
 headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments that their
 element or name tells leave one empty line. Each line weighs as many characters as it has outside
-of links. The weights of WINDOW lines are summed at every line: text surges at a line with weight
-whose sum reaches MIN_SURGE, and dives where the sum falls away; the lines between are kept. Where
-a page marks its article (article, main), the mark is a weight: a line of it with text outside of
-links weighs MIN_SURGE at least, and text elsewhere OUTSIDE of its length.
+of links, and nothing if there is no letter or digit among them. The weights of WINDOW lines are
+summed at every line: text surges at a line with weight whose sum reaches MIN_SURGE, and dives where
+the sum falls away; the lines between are kept. Where a page marks its article (article, main), the
+mark is a weight: every line of it, linked or not, weighs MIN_SURGE at least. Text elsewhere then
+weighs OUTSIDE of its length if it is more than the article's, and nothing if it is less.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ WINDOW = 3
 MIN_SURGE = 80
 #: Weight of a character outside of a marked article.
 OUTSIDE = 0.1
+#: A short last line that says so is a notice, on a page that marks no article.
+NOTICE = re.compile(r"©|\(c\)|copyright|all rights reserved|alle rechte vorbehalten|tous droits réservés|todos los derechos reservados", re.I)
 #: A part whose name tells boilerplate is none if it holds a marked article or, on a page without, more than this share of the text.
 WRAPS = 0.8
 # HTML element names.
@@ -36,7 +39,7 @@ BLOCKS = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes".split())
-DROPPED = frozenset("select button svg math canvas object audio video head datalist label".split())
+DROPPED = frozenset("select button svg annotation annotation-xml canvas object audio video head datalist label".split())
 BOILERPLATE = frozenset("nav aside footer form menu dialog fieldset".split())
 SAME_ENDS = {"li": "ul ol menu".split(), "dt": ["dl"], "dd": ["dl"], "tr": ["table"], "option": ["select"]}
 # Words of class, id and role names for menus, headers, footers, sidebars, notices, adverts, forms and comments,
@@ -85,18 +88,19 @@ def lines_of(page: str) -> list[tuple[str, int, bool, int]]:
     wraps: list[bool] = []  # a marked article is inside, or 80 % of the text could be the article's
     always: list[bool] = []
     linked = drops = articles = links = headings = headers = number = total = 0
+    plain = False  # a letter or digit outside of links
 
     def flush() -> None:
-        nonlocal text, linked, total
+        nonlocal text, linked, total, plain
         if text:
             whole = " ".join(html.unescape("".join(text)).split())
             if whole:
-                own = max(len(whole) - linked, 0)
+                own = max(len(whole) - linked, 1) if plain else 0
                 found.append((whole, own, articles > 0, boxes[-2] if len(boxes) > 1 else 0, tuple(parts)))
                 total += own
                 for k in parts:
                     held[k] += own
-        text, linked = [], 0
+        text, linked, plain = [], 0, False
 
     def close(to: int) -> None:
         nonlocal drops, articles, links, headings, headers
@@ -116,11 +120,13 @@ def lines_of(page: str) -> list[tuple[str, int, bool, int]]:
                 parts.pop()
 
     def add(piece: str) -> None:
-        nonlocal linked
+        nonlocal linked, plain
         if piece and not drops and not (headers and articles and not headings):
             text.append(piece)
             if links:
                 linked += len(" ".join(html.unescape(piece).split()))
+            elif not plain:
+                plain = any(c.isalnum() for c in html.unescape(piece))
 
     at = 0
     while m := _TAG.search(page, at):
@@ -233,10 +239,10 @@ def main_text(page: str | None) -> str:
     lines = lines_of(page or "")
     own = np.array([n for _, n, _, _ in lines], float)
     inside = np.array([i for _, _, i, _ in lines], bool)
-    if not own.any():
+    if not own.any() and not inside.any():
         return ""
-    if own[inside].any():
-        weight = np.where(inside & (own > 0), np.maximum(own, MIN_SURGE), own * OUTSIDE)
+    if inside.any():
+        weight = np.where(inside, np.maximum(own, MIN_SURGE), own * (OUTSIDE if own[~inside].sum() > own[inside].sum() else 0))
         surge = dive = MIN_SURGE
     else:
         weight = own
@@ -246,13 +252,17 @@ def main_text(page: str | None) -> str:
         while a and own[a - 1] and lines[a - 1][3] == lines[a][3]:
             a -= 1
         runs[k] = (a, b)
-    if not own[inside].any():
+    if not inside.any():
         a, b = max(runs, key=lambda r: weight[r[0] : r[1]].sum())
         same = {around for _, _, _, around in lines[a:b] if around}
         runs += [(a, b) for a, b in between_surges(weight, 1, 1) if any(around in same for _, _, _, around in lines[a:b])]
     keep = np.zeros(len(lines), bool)
     for a, b in runs:
         keep[a:b] = True
+    last = len(lines) - 1
+    while not inside.any() and last > 0 and own[last] < MIN_SURGE and (not own[last] or NOTICE.search(lines[last][0])):
+        keep[last] = False
+        last -= 1
     return "\n\n".join(text for (text, _, _, _), k in zip(lines, keep) if k and text)
 
 
