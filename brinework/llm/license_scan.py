@@ -14,6 +14,9 @@ the licence.
 from __future__ import annotations
 
 import re
+from collections import Counter
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -141,6 +144,15 @@ def rules() -> list[tuple[str, list[str]]]:
     return [(name, list(run)) for (name, run) in dict.fromkeys((n, tuple(r)) for n, r in out)]
 
 
+def telling_signs(known: dict[str, str]) -> list[str]:
+    """Texts such that a known sentence has one of them where its line begins with CUT: long words, each time the one that most of the sentences left have, and for sentences of short words CUT and the first of them."""
+    left, out = list(known), []
+    while count := Counter(w for s in left for w in set(s.split()) if len(w) > 6):
+        out.append(max(count, key=lambda w: (count[w], len(w), w)))
+        left = [s for s in left if out[-1] not in s.split()]
+    return out + sorted({CUT + s.split()[0] for s in left})
+
+
 def _let(value: Column, body) -> Column:
     """``body`` of a value that is worked out once."""
     return F.element_at(F.transform(F.array(value), body), 1)
@@ -180,8 +192,11 @@ def scan(docs: DataFrame, known: dict[str, str] | None = None, ordered=None, id_
     def ids(s: Column) -> Column:
         return F.when(F.contains(s, F.lit(LINE)), _let(F.split(s, LINE), by_lines)).otherwise(F.array(named(s)))
 
-    rows = docs.select(F.col(id_col).alias("id"), F.filter(F.transform(F.split(clean, CUT), lambda s: F.btrim(s, F.lit(" \n"))), lambda s: s != "").alias("sentences"))
-    found = F.array_compact(F.flatten(F.transform("sentences", ids)))
+    # a text without any of the telling signs has no known sentence
+    begun = F.concat(F.lit(CUT), F.translate("clean", LINE, CUT))
+    told = reduce(or_, [F.contains("begun", F.lit(w)) for w in telling_signs(known)], F.lit(False))
+    rows = docs.select(F.col(id_col).alias("id"), clean.alias("clean")).select("id", "clean", begun.alias("begun")).select("id", told.alias("told"), F.filter(F.transform(F.split("clean", CUT), lambda s: F.btrim(s, F.lit(" \n"))), lambda s: s != "").alias("sentences"))
+    found = F.when(F.col("told"), F.array_compact(F.flatten(F.transform("sentences", ids)))).otherwise(F.array().cast("array<string>"))
     rows = rows.select("id", F.size("sentences").cast("bigint").alias("n_sentences"), F.array_join(found, ",").alias("sentence_ids"))
     # a rule is one comparison with the joined identifiers; most documents have none
     line = F.concat(F.lit(","), F.col("sentence_ids"), F.lit(","))
