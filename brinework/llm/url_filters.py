@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brinework.llm.common import checkpoint
+from brinework.llm.common import checkpoint, split_join
 
 #: (verdict, host, path)
 RULES = (
@@ -82,7 +82,7 @@ def reputations(counted: DataFrame, z: float = Z) -> DataFrame:
         ratio = F.try_divide(noise, F.when(between > 0, between))
         strength = F.when(ratio.isNull(), STRONGEST).otherwise(F.least(F.greatest(ratio - 1, F.lit(WEAKEST)), F.lit(STRONGEST)))
         fitted = seen.groupBy(parent).agg(strength.alias("strength"))
-        joined = seen.join(fitted, parent)
+        joined = split_join(seen, fitted, parent)  # a domain may have very many hosts
         a = F.col("prior") * F.col("strength") + F.col("good")
         n = F.col("strength") + F.col("pages")
         above, parent = joined.select(level, (a / n).alias("rate"), n.alias("n")), level
