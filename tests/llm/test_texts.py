@@ -31,7 +31,7 @@ def texts(docs):
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for name in ("documents", "pages", "labels"):
+    for name in ("documents", "pages", "labels", "embeddings"):
         con.sql(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
     return con
 
@@ -183,6 +183,25 @@ def test_stored_map_decides(spark, docs, tmp_path):
     assert second == want
 
 
+def test_a_kept_map_is_edited(spark, docs, tmp_path):
+    """Each call on the same folder adds a version, from the last one and the bytes at hand; a shard more takes rows, and few others move."""
+    folder = str(tmp_path / "maps")
+    first = {r.doc_id: r for r in sharding.assign(docs, 16, 512, maps=folder).collect()}
+    again = {r.doc_id: r for r in sharding.assign(docs, 16, 512, maps=folder).collect()}
+    assert {r.version for r in first.values()} == {2} and {r.version for r in again.values()} == {3}
+    moved = lambda a, b: sum(b[i].size for i in b if i in a and a[i].shard != b[i].shard) / sum(r.size for r in b.values())
+    assert moved(first, again) < 0.1
+    grown = {r.doc_id: r for r in sharding.assign(docs, 17, 512, maps=folder).collect()}
+    held = loads(grown.values(), 17)
+    assert {r.version for r in grown.values()} == {4} and max(held) - min(held) < 0.1 * sum(held) / 17
+    assert 1 / 17 - 0.02 < moved(again, grown) < 0.2
+    more = docs.unionByName(docs.selectExpr("doc_id + 1000000 AS doc_id", "text || ' and more' AS text", "lang", "source", "n_chars"))
+    fuller = {r.doc_id: r for r in sharding.assign(more, 17, 512, maps=folder).collect()}
+    assert {r.version for r in fuller.values()} == {5} and moved(grown, fuller) < 0.3
+    stored = spark.read.parquet(folder).groupBy("version").count().collect()
+    assert sorted((r.version, r["count"]) for r in stored) == [(v, 512) for v in range(1, 6)]
+
+
 def test_rebalance(spark, docs):
     """One shard more, one less: slots move for the sake of the bytes only."""
     rows = sharding.assign(docs, 4, 64)
@@ -252,9 +271,71 @@ SENTENCE = "A sentence of the article that goes on for a while and has no link i
 
 
 def test_weightless_lines_inside_an_article():
-    """No name tells that the list is a menu; the sums dive there and surge again behind it, at a short line too."""
+    """A mark holds linked titles, paragraphs and lists; link lists outside of it go."""
     page = f"<body><div>{LINKS}</div><article><h1>T</h1><p>{SENTENCE}<p><a href=x>A linked paragraph.</a><p>{SENTENCE}{LINKS}<p>End.</article><div>{LINKS}</div><p>Copyright"
-    assert html_extraction.main_text(page).split("\n\n") == ["T", SENTENCE, "A linked paragraph.", SENTENCE, "End."]
+    assert html_extraction.main_text(page).split("\n\n") == ["T", SENTENCE, "A linked paragraph.", SENTENCE, *(f"Another story number {i}" for i in range(5)), "End."]
+    assert html_extraction.main_text(f"<article><h1><a href=x>Linked title</a></h1><p>{SENTENCE}<p><a href=y>Closing linked sentence.</a></article>").split("\n\n") == ["Linked title", SENTENCE, "Closing linked sentence."]
+
+
+def test_formulas_stay():
+    page = f"<article><p>Given <math><semantics><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></semantics></math> we see. {SENTENCE}</article>"
+    assert html_extraction.main_text(page) == f"Given x=2 we see. {SENTENCE}"
+
+
+def test_menus_and_notes_of_an_unmarked_page_go():
+    for note in ("Copyright 2024", "&copy; 2024 Someone", "All rights reserved.", "<a href=z>Top</a>"):
+        page = f"<div><a href=a>Home</a> | <a href=b>About</a></div><div>{SENTENCE} {SENTENCE}</div><div>{note}</div>"
+        assert html_extraction.main_text(page) == f"{SENTENCE} {SENTENCE}"
+
+
+def test_long_teasers_beside_a_marked_article_go():
+    teasers = "".join(f"<div><p>{' '.join([SENTENCE] * 5)}</div>" for _ in range(3))
+    body = "".join(f"<p>{' '.join([SENTENCE] * 4)}" for _ in range(6))
+    assert html_extraction.main_text(f"{teasers}<article>{body}</article>").split("\n\n") == [" ".join([SENTENCE] * 4)] * 6
+
+
+def test_weights_surges_and_dives_by_a_second_path():
+    """Pages of lines with known characters in and outside of links, by plain loops over the rules."""
+    rng = np.random.default_rng(3)
+    for trial in range(300):
+        marked = trial % 2
+        lines = [(int(rng.choice([0, 0, 3, 20, 60, 200])), int(rng.choice([0, 0, 0, 15, 40])), bool(marked and rng.random() < 0.4)) for _ in range(rng.integers(1, 25))]
+        lines = [(a, b, i) if a + b else (1, 0, i) for a, b, i in lines]
+        page, texts = "", []
+        for k, (a, b, i) in enumerate(lines):
+            text, link = ("x" * a), ("y" * b)
+            texts.append(text + link)
+            # each line in a box of its own, so that no two share a container
+            page += f"<section>{'<article>' if i else ''}<p>{text}{f'<a href=q>{link}</a>' if b else ''}</p>{'</article>' if i else ''}</section>"
+        inner, outer = sum(a for a, _, i in lines if i), sum(a for a, _, i in lines if not i)
+        has = any(i for _, _, i in lines)
+        weight = [max(a, 80) if i else a * (0.1 if outer > inner else 0) if has else a for a, _, i in lines]
+        ahead = [sum(weight[k : k + 3]) for k in range(len(weight))]
+        surge, dive = (80, 80) if has else (min(80, max(ahead)), 1)
+
+        def between(surge, dive):
+            on, runs = None, []
+            for k in range(len(lines)):
+                if on is not None and ahead[k] < dive - 1e-6:
+                    on = None
+                elif on is None and weight[k] > 0 and ahead[k] >= surge - 1e-6:
+                    on = set()
+                    runs.append(on)
+                if on is not None:
+                    on.add(k)
+            return runs
+
+        runs = between(surge, dive)
+        if not has and runs:  # the lines of the heaviest run's boxes surge at any weight
+            heaviest = max(runs, key=lambda r: sum(weight[k] for k in r))
+            runs += [r for r in between(1, 1) if r & heaviest]
+        kept = [any(k in r for r in runs) for k in range(len(lines))]
+        k = len(lines) - 1
+        while not has and k > 0 and lines[k][0] == 0:
+            kept[k] = False
+            k -= 1
+        want = "\n\n".join(t for t, on in zip(texts, kept) if on) if has or any(a for a, _, _ in lines) else ""
+        assert html_extraction.main_text(page) == want, (lines, page)
 
 
 def test_text_outside_of_the_mark():
