@@ -203,13 +203,13 @@ def harmonised_baselines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """WITH a AS (SELECT CAST(o_orderdate AS DATE) AS day, avg(o_totalprice) AS price FROM orders WHERE o_orderstatus <> 'F' GROUP BY ALL),
+    """WITH a AS (SELECT CAST(o_orderdate AS DATE) AS day, avg(o_totalprice) AS price FROM orders GROUP BY ALL),
 b AS (SELECT CAST(l_shipdate AS DATE) AS day, avg(l_extendedprice) AS price, sum(l_quantity) AS quantity FROM lineitem GROUP BY ALL)
 SELECT strftime(coalesce(a.day, b.day), '%Y-%m-%d') AS day, round(coalesce(a.price, b.price), 6) AS price, round(quantity, 6) AS quantity FROM a FULL JOIN b ON a.day = b.day"""
 )
 def merged_variables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two tables on the union of their days; of the variable in both the first one's wins."""
-    a = table(spark, sf_dir, "orders").where("o_orderstatus <> 'F'").groupBy(F.to_date("o_orderdate").alias("day")).agg(F.avg("o_totalprice").alias("price"))
+    a = table(spark, sf_dir, "orders").groupBy(F.to_date("o_orderdate").alias("day")).agg(F.avg("o_totalprice").alias("price"))
     b = table(spark, sf_dir, "lineitem").groupBy(F.to_date("l_shipdate").alias("day")).agg(F.avg("l_extendedprice").alias("price"), F.sum("l_quantity").alias("quantity"))
     return timeaxis.merge_first([a, b], ["day"]).select(text_day(), r6("price"), r6("quantity"))
 
@@ -227,12 +227,12 @@ def transferred_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     return geo.transfer_mask(child, g).select("eta", "xi", "mask")
 
 
-@query(f"WITH {GRID} SELECT eta, xi, value, CASE WHEN eta % 2 = 0 THEN round(h + 1, 6) END AS h FROM grid WHERE xi < 30")
+@query(f"WITH {GRID} SELECT eta, xi, value, CASE WHEN eta % 2 = 0 THEN round(h + 1, 6) END AS h FROM grid")
 def attached_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A separate grid's depths replace the field's own."""
     g = grid(spark, sf_dir)
     other = g.where("eta % 2 = 0").withColumn("h", F.col("h") + 1)
-    return geo.attach_grid(g.where("xi < 30").select("eta", "xi", "value", "h"), other, ["h"]).select("eta", "xi", "value", r6("h"))
+    return geo.attach_grid(g.select("eta", "xi", "value", "h"), other, ["h"]).select("eta", "xi", "value", r6("h"))
 
 
 @query(
@@ -261,13 +261,14 @@ def blended_depths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # along time
 @query(
-    f"""WITH {SENSORS}, s AS (SELECT site, kind, time, id, value, row_number() OVER (PARTITION BY site, kind ORDER BY time, id) AS k FROM sensors WHERE kind IN ('click', 'view'))
+    f"""WITH {SENSORS}, s AS (SELECT site, kind, time, id, value, row_number() OVER (PARTITION BY site, kind ORDER BY time, id) AS k FROM sensors)
 SELECT site, id, CAST(row_number() OVER (PARTITION BY site ORDER BY time, id) - 1 AS INT) AS position FROM s WHERE k > 1"""
 )
 def station_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two station tables in sequence; each loses the first record of a site. Times stand for (time, id), which has no ties."""
+    """A station table for each kind in sequence; each loses the first record of a site. Times stand for (time, id), which has no ties."""
     s = sensors(spark, sf_dir).withColumn("at", F.struct("time", "id"))
-    parts = [s.where(F.col("kind") == k).select("site", "id", "at") for k in ("click", "view")]
+    kinds = sorted(r.kind for r in s.select("kind").distinct().collect())  # a few kinds
+    parts = [s.where(F.col("kind") == k).select("site", "id", "at") for k in kinds]
     return timeaxis.in_sequence(parts, ["site"], "at", drop_first=True).select("site", "id", "position")
 
 
