@@ -21,10 +21,10 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: In order: line ends, signs before a line's text, empty lines, sentence ends; then, on lower-case text, other signs and blanks at cuts. LINE parts lines, CUT sentences.
+#: In order: line ends, signs before a line's text, empty lines, sentence ends; then other signs and blanks at cuts. LINE parts lines, CUT sentences.
 LINE, CUT = "\n", "\x02"
 BEFORE = [("\r\n?", LINE), ("(^|\n)[^A-Za-z0-9\n]+", r"$1"), ("\n\n+", CUT), (r"[.!?:][\"')\]]*[ \t\n]+", CUT)]
-AFTER = [("[^a-z0-9\n\x02]+", " "), (" ?([\n\x02]) ?", r"$1")]
+AFTER = [("[^A-Za-z0-9\n\x02]+", " "), (" ?([\n\x02]) ?", r"$1")]
 
 # Sentences of well-known licences and notices, each whole text with its name. A rule
 # of the same name holds the sentences of a text in their order.
@@ -175,9 +175,9 @@ def scan(docs: DataFrame, known: dict[str, str] | None = None, ordered=None, id_
     clean = F.coalesce(F.col(text), F.lit(""))
     for pattern, by in BEFORE:
         clean = F.regexp_replace(clean, pattern, by)
-    clean = F.translate(clean, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     for pattern, by in AFTER:
         clean = F.regexp_replace(clean, pattern, by)
+    clean = F.lower(clean)  # by now of ASCII only
 
     def by_lines(lines: Column) -> Column:
         """The identifiers of the lines of a sentence up to where the rest of them is known, and of that rest; of each line where none is."""
@@ -193,7 +193,7 @@ def scan(docs: DataFrame, known: dict[str, str] | None = None, ordered=None, id_
         return F.when(F.contains(s, F.lit(LINE)), _let(F.split(s, LINE), by_lines)).otherwise(F.array(named(s)))
 
     # a text without any of the telling signs has no known sentence
-    begun = F.concat(F.lit(CUT), F.translate("clean", LINE, CUT))
+    begun = F.concat(F.lit(CUT), F.replace("clean", F.lit(LINE), F.lit(CUT)))
     told = reduce(or_, [F.contains("begun", F.lit(w)) for w in telling_signs(known)], F.lit(False))
     rows = docs.select(F.col(id_col).alias("id"), clean.alias("clean")).select("id", "clean", begun.alias("begun")).select("id", told.alias("told"), F.filter(F.transform(F.split("clean", CUT), lambda s: F.btrim(s, F.lit(" \n"))), lambda s: s != "").alias("sentences"))
     found = F.when(F.col("told"), F.array_compact(F.flatten(F.transform("sentences", ids)))).otherwise(F.array().cast("array<string>"))
