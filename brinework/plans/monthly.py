@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from brinework.operators import events
+from brinework.session import cut
 from brinework.sources.io import write_products
 
 
@@ -121,7 +122,7 @@ def update_months(
     around = pad // 28 + 1
     within = sorted({m + k for m in targets for k in range(-around, around + 1)})
     days = read_months(spark, record, within).drop("year", "month")
-    found = detected(days, clim, targets, keys, day, value, min_duration, max_gap)
+    found = cut(detected(days, clim, targets, keys, day, value, min_duration, max_gap))  # read for the products and for the events
     write_products(found.where("real").drop("real"), products, day)
     # months whose events went have no rows, so their old fragments are overwritten by name
     pieces = fragments(found, keys, day, value).select(*keys, "sign", "first", "last", "peak", "year", "month")
@@ -136,7 +137,7 @@ def rewrite_partitions(rows: DataFrame, present: DataFrame | None, path: str) ->
     if present is not None:
         blank = present.join(rows.select("year", "month").distinct(), ["year", "month"], "left_anti")
         rows = rows.unionByName(blank, allowMissingColumns=True)
-    rows.write.mode("overwrite").partitionBy("year", "month").option("partitionOverwriteMode", "dynamic").parquet(path)
+    rows.hint("rebalance", F.col("year"), F.col("month")).write.mode("overwrite").partitionBy("year", "month").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def stored_events(spark: SparkSession, parts: str, keys: list[str]) -> DataFrame:

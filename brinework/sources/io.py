@@ -113,8 +113,12 @@ def write_products(df: DataFrame, path: str, time: str = "day", period: str = "m
     parts = {"month": {"year": F.year(time), "month": F.month(time)}, "year": {"year": F.year(time)}, "full": {}}
     if period not in parts:
         raise ValueError(f"unknown period {period!r}: month, year or full")
-    out = df.withColumns(parts[period]).write.mode("overwrite")
-    (out.partitionBy(*parts[period]).option("partitionOverwriteMode", "dynamic") if parts[period] else out).parquet(path)
+    if not parts[period]:
+        df.write.mode("overwrite").parquet(path)
+        return
+    # rows of a partition meet, so that it is a few files of a good size and not one for each task
+    whole = df.withColumns(parts[period]).hint("rebalance", *map(F.col, parts[period]))
+    whole.write.mode("overwrite").partitionBy(*parts[period]).option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def append_columns(base: DataFrame, added: DataFrame, keys: list[str]) -> DataFrame:
