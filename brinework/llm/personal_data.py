@@ -32,11 +32,11 @@ LOOKALIKES = {
     "АВСЕНІЈКМОРЅТХУ": "ABCEHIJKMOPSTXY",
     "αονριυκχ": "aovpiukx",
     "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧ": "ABEZHIKMNOPTYX",
-    "‐‑‒–—−": "------", "․。": "..", "    　": "     ",
+    "\u2010\u2011\u2012\u2013\u2014\u2212": "------", "\u2024\u3002": "..", "\u00a0\u2002\u2003\u2009\u3000": "     ",
     "ıɡɑ": "iga",
 }
 # Characters without width.
-WIDTHLESS = "­͏᠎​‌‍⁠﻿"
+WIDTHLESS = "\u00ad\u034f\u180e\u200b\u200c\u200d\u2060\ufeff"
 # Words for the digits 0 to 9 in English, German, French and Spanish, and for plus, at and dot.
 DIGIT_WORDS = (
     "zero oh null zéro cero", "one eins un uno", "two zwei deux dos", "three drei trois tres", "four vier quatre cuatro",
