@@ -14,6 +14,7 @@ the licence.
 from __future__ import annotations
 
 import re
+import string
 from collections import Counter
 from functools import reduce
 from operator import or_
@@ -21,10 +22,24 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: In order: line ends, signs before a line's text, empty lines, sentence ends; then other signs and blanks at cuts. LINE parts lines, CUT sentences.
+#: LINE parts lines, CUT sentences.
 LINE, CUT = "\n", "\x02"
-BEFORE = [("\r\n?", LINE), ("(^|\n)[^A-Za-z0-9\n]+", r"$1"), ("\n\n+", CUT), (r"[.!?:][\"')\]]*[ \t\n]+", CUT)]
-AFTER = [("[^A-Za-z0-9\n\x02]+", " "), (" ?([\n\x02]) ?", r"$1")]
+#: Named one by one, as a class without ranges is matched by a table of bits.
+KEPT = string.digits + string.ascii_letters
+#: In order, (regular expression, whether it is one, replacement): line ends, signs before a line's text, empty lines, sentence ends,
+#: other signs (a single blank stays as it is), blanks at cuts. A line end beside a cut is trimmed with the sentence.
+STEPS = [
+    ("\r\n", False, LINE),
+    ("\r", False, LINE),
+    (f"(?dm)^[^{KEPT}\n]+", True, ""),
+    ("\n\n", False, CUT),
+    (r"[.!?:][\"')\]]*[ \t\n]+", True, CUT),
+    (f"[^{KEPT}\n\x02 ][^{KEPT}\n\x02]*| [^{KEPT}\n\x02]+", True, " "),
+    (" " + LINE, False, LINE),
+    (LINE + " ", False, LINE),
+    (" " + CUT, False, CUT),
+    (CUT + " ", False, CUT),
+]
 
 # Sentences of well-known licences and notices, each whole text with its name. A rule
 # of the same name holds the sentences of a text in their order.
@@ -111,12 +126,9 @@ def _texts() -> list[tuple[str, str]]:
 
 def cut(text: str) -> list[str]:
     """The normalised sentences of a known text, by the rules that hold for every text."""
-    for pattern, by in BEFORE:
-        text = re.sub(pattern, by.replace("$1", r"\1"), text)
-    text = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
-    for pattern, by in AFTER:
-        text = re.sub(pattern, by.replace("$1", r"\1"), text)
-    found = [s.replace(LINE, " ").strip() for s in text.split(CUT)]
+    for old, pattern, by in STEPS:
+        text = re.sub(old.replace("(?dm)", "(?m)"), by, text) if pattern else text.replace(old, by)  # here only \n ends a line anyway
+    found = [s.replace(LINE, " ").strip() for s in text.lower().split(CUT)]
     return [s for s in found if re.search("[a-z]", s)]
 
 
@@ -145,12 +157,13 @@ def rules() -> list[tuple[str, list[str]]]:
 
 
 def telling_signs(known: dict[str, str]) -> list[str]:
-    """Texts such that a known sentence has one of them where its line begins with CUT: long words, each time the one that most of the sentences left have, and for sentences of short words CUT and the first of them."""
+    """Texts such that a known sentence holds one of them where its line begins with CUT: long words, each time the one that most of the sentences left have, and for sentences of short words CUT and the first of them."""
     left, out = list(known), []
     while count := Counter(w for s in left for w in set(s.split()) if len(w) > 6):
         out.append(max(count, key=lambda w: (count[w], len(w), w)))
-        left = [s for s in left if out[-1] not in s.split()]
-    return out + sorted({CUT + s.split()[0] for s in left})
+        left = [s for s in left if out[-1] not in s]
+    firsts = {CUT + s.split()[0] for s in left}
+    return out + sorted(w for w in firsts if not any(w != v and w.startswith(v) for v in firsts))
 
 
 def _let(value: Column, body) -> Column:
@@ -173,10 +186,8 @@ def scan(docs: DataFrame, known: dict[str, str] | None = None, ordered=None, id_
     named = lambda s: F.try_element_at(table, s)
 
     clean = F.coalesce(F.col(text), F.lit(""))
-    for pattern, by in BEFORE:
-        clean = F.regexp_replace(clean, pattern, by)
-    for pattern, by in AFTER:
-        clean = F.regexp_replace(clean, pattern, by)
+    for old, pattern, by in STEPS:
+        clean = F.regexp_replace(clean, old, by) if pattern else F.replace(clean, F.lit(old), F.lit(by))
     clean = F.lower(clean)  # by now of ASCII only
 
     def by_lines(lines: Column) -> Column:
