@@ -6,7 +6,8 @@ visits every later cell whose half-space comes within the angle of the threshold
 that is nearest to c' has y.(c'-c) >= 0, and no such y is within the angle t of x once
 x.(c-c') > |c-c'| sin t. So each linked pair meets in one cell, the later of the two homes.
 Cells with more than ``block_rows`` rows are compared block by block, each pair of blocks a task.
-Exact copies are folded first and counted by weight.
+Exact copies are folded first and counted by weight. A row then carries a 128-bit hash of its vector
+to its result instead of the vector (two vectors share one with probability 2^-128).
 """
 
 from __future__ import annotations
@@ -147,9 +148,11 @@ def near_duplicates(
         & F.exists(v, lambda c: c != 0)
     )
     rows = rows.withColumn("vector", F.when(F.coalesce(sound, F.lit(False)), v))
+    hashes = ["hash_a", "hash_b"]
+    rows = rows.select("*", F.when(v.isNotNull(), F.xxhash64(v)).alias("hash_a"), F.when(v.isNotNull(), F.xxhash64(F.lit(1), v)).alias("hash_b"))
     distinct = checkpoint(
         rows.where(v.isNotNull())
-        .groupBy("label", "vector")
+        .groupBy("label", *hashes, "vector")
         .agg(F.min("id").alias("least_id"), F.count(F.lit(1)).alias("weight"))
         .withColumn("dim", F.size("vector"))
         .withColumn("node", F.monotonically_increasing_id())
@@ -181,14 +184,14 @@ def near_duplicates(
     named = checkpoint(
         distinct.join(count, "node", "left")
         .join(joined, distinct.node == joined.member, "left")
-        .select("label", "vector", "least_id", "weight", "links", F.coalesce("component", "node").alias("component"))
+        .select("label", *hashes, "least_id", "weight", "links", F.coalesce("component", "node").alias("component"))
     )
     least = named.groupBy("component").agg(F.min("least_id").alias("first_id"))
     named = split_join(named, least, "component").select(
-        "label", "vector", "first_id", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links")
+        "label", *hashes, "first_id", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links")
     )
-    component = F.when(F.col("vector").isNull(), F.col("id")).otherwise(F.col("first_id"))
-    return rows.join(named, ["label", "vector"], "left").select(
+    component = F.coalesce("first_id", "id")  # without a sound vector there is no hash and no first one
+    return rows.drop("vector").join(named, ["label", *hashes], "left").select(
         F.col("id").alias(id_col),
         F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"),
         component.alias("component_id"),

@@ -119,6 +119,14 @@ def test_vectors(spark, monkeypatch, shape):
     assert linked.sum() > 100
 
 
+def test_copies_with_negative_zeros(spark):
+    """A zero's sign makes no other vector; rows of equal vectors meet again by their hashes, under each label."""
+    rows = [(1, [0.0, 1.0], 1), (2, [-0.0, 1.0], 1), (3, [0.0, 1.0], 2), (4, [-0.0, 1.0], None), (5, [0.0, -0.0], 1), (6, None, 1), (6, None, 1), (7, [1.0, 0.0], 1), (2, [0.0, 1.0], 1)]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int").selectExpr("*", "1 AS hash_a", "2 AS hash_b", "3 AS vector")
+    got = sorted(tuple(r) for r in embedding_dedup.near_duplicates(table).collect())
+    assert got == [(1, 2, 1, True), (2, 2, 1, False), (2, 2, 1, False), (3, 0, 3, True), (4, 0, 4, True), (5, 0, 5, True), (6, 0, 6, True), (6, 0, 6, True), (7, 0, 7, True)]
+
+
 def test_many_lengths(spark):
     """Vectors of more lengths than a sample holds, each with a copy and a near one."""
     rng = np.random.default_rng(2)
