@@ -2,6 +2,8 @@
 
 import collections
 import hashlib
+import random
+import re
 import textwrap
 import zlib
 
@@ -538,6 +540,26 @@ def test_licence_files(spark):
     assert [(rows[k][0], got[k].licence) for k in sorted(got) if rows[k][0] != got[k].licence] == []
 
 
+def test_licence_sentences_of_odd_texts(spark):
+    """Sentences of random signs, counted by cutting at all ends at once."""
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("aB1 .!:)\"\n\n\r\t\x02\u00e9-") for _ in range(rng.randrange(40))) for _ in range(400)]
+
+    def counted(text):
+        text = re.sub(r"(^|\n)[^A-Za-z0-9\n]+", r"\1", re.sub("\r\n?", "\n", text))
+        return sum(bool(re.search("[A-Za-z0-9]", s)) for s in re.split(r"\n\n+|[.!?:][\"')\]]*[ \t\n]+|\x02", text))
+
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert sorted((r.doc_id, r.n_sentences) for r in license_scan.scan(docs).collect()) == [(i, counted(t)) for i, t in enumerate(texts)]
+
+
+def test_licence_telling_signs():
+    """Every known sentence holds a telling sign where its line begins."""
+    known = license_scan.sentences()
+    signs = license_scan.telling_signs(known)
+    assert all(any(w in license_scan.CUT + s for w in signs) for s in known)
+
+
 def test_licence_sequences(spark):
     mit = license_scan._TEXTS["MIT"].replace("\n", "\n\n")
     lines = "\n".join(f"line {k} without a stop" for k in range(20_000))
