@@ -1,13 +1,17 @@
-"""Spelling variant grouping: words one edit apart, found by a frontier that walks a trie as tables.
+"""Spelling variant grouping: words one edit apart, found by a frontier that walks tries as tables.
 
-The trie of all words is a table of its edges (depth, node, letter, child), those of a node in one
-row; a node is named by the hash of its prefix, and an edge of letter '' ends a word. Level by level
-the states (word, position, node, edited or not) are joined with the edges of that depth by node, so
-that only states which some word continues live on; those that take an end edge have found a
-neighbour. A word's own path stands at every depth and starts edited states there: the letter is left
-out, or another letter takes its place (of which there are no more than letters in the alphabet).
-An inserted letter is the other word's left-out one, so pairs are found once and turned round at the
-end. Every pair is checked on its words, so that equal hashes of different prefixes change nothing.
+The words of each length have a trie, read from the front, and another one of the words read from
+behind. A node is named by its letters, the side and the length of its words, so names are exact.
+An edit lies in one half of its word: words keep their first half on the side where the edit comes
+later, so that walks begin below the nodes where tries are dense. States (word, text, side) begin
+where a letter of the word is left out, or another one of its node takes its place; the text is what
+the other word would be. An inserted letter is the other word's left-out one, so pairs are found
+once and turned round at the end.
+
+A level takes ``STRIDE`` letters: the states that begin among them and those of the levels before
+are joined with the nodes that end them, and only states that some word continues live on; one
+whose text is at its end there has found its word. A level is one small plan of its own, as many
+levels in a plan cost the driver more memory than the tables do.
 
 Words longer than ``LONGEST`` letters, whose prefixes would grow with the square of their length,
 meet by a hash of all but one of ``PARTS`` parts instead, as one edit leaves the others alone.
@@ -15,21 +19,20 @@ meet by a hash of all but one of ``PARTS`` parts instead, as one edit leaves the
 
 from __future__ import annotations
 
-import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brinework.llm.common import checkpoint, free_names, shared_folder, split_join
+from brinework.llm.common import checkpoint, free_names, split_join
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RUN = "[A-Za-zÀ-ÿ]+"
 MIN_LETTERS, MIN_COUNT, DAMAGE = 5, 3, 97
 #: Letters of the longest word in the trie; longer ones meet by all of their parts but one.
 LONGEST, PARTS = 20, 64
-#: Levels between two cuts of lineage.
-CUT_EVERY = 4
+#: Letters of a level of the walk.
+STRIDE = 5
 
 
 def word_counts(docs: DataFrame, min_letters: int = MIN_LETTERS, min_count: int = MIN_COUNT, damage: int = DAMAGE) -> DataFrame:
@@ -48,57 +51,56 @@ def word_counts(docs: DataFrame, min_letters: int = MIN_LETTERS, min_count: int
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where((F.length("word") >= min_letters) & (F.col("n") >= min_count))
 
 
-def _letter(word: str | Column, at: Column) -> Column:
-    """The letter at a position from 0, or '' at the end."""
-    return F.substring(word, at + 1, F.lit(1))
+def sides(words: DataFrame) -> DataFrame:
+    """(word, text, side, begins): every word from the front and from behind, with the first place whose edits are found on that side."""
+    size = F.length("word")
+    half = F.floor(size / 2).cast("int")
+    both = F.array(
+        F.struct(F.col("word").alias("text"), F.lit(">").alias("side"), half.alias("begins")),
+        F.struct(F.reverse("word").alias("text"), F.lit("<").alias("side"), (size - half).alias("begins")),
+    )
+    return words.select("word", F.explode(both).alias("s")).select("word", "s.*")
 
 
-def _prefix(word: str | Column, letters: Column) -> Column:
-    return F.xxhash64(F.substring(word, F.lit(1), letters))
+def _node(letters: Column | int) -> Column:
+    """The name of the node that so many letters of ``text`` lead to, or all if it has fewer: a text at its end is a whole word there."""
+    return F.concat(F.substring("text", F.lit(1), F.lit(letters) if isinstance(letters, int) else letters), "side", F.length("text").cast("string"))
 
 
-def trie_nodes(words: DataFrame) -> DataFrame:
-    """(depth, node, edges): the inner nodes of the trie of the words, with a map of letters to children, no larger than the alphabet and the end; the child behind an end edge stands for the word."""
-    at = words.select("word", F.explode(F.sequence(F.lit(0), F.length("word"))).alias("depth"))
-    edges = at.select("depth", _prefix("word", F.col("depth")).alias("node"), _letter("word", F.col("depth")).alias("letter"), _prefix("word", F.col("depth") + 1).alias("child")).distinct()
-    return edges.groupBy("depth", "node").agg(F.map_from_entries(F.collect_list(F.struct("letter", "child"))).alias("edges"))
+def edited(texts: DataFrame, low: int, high: int) -> DataFrame:
+    """(word, text, side): the states that begin at the places from ``low`` to before ``high``: a letter left out, or a greater one of its node in its place."""
+    size, at = F.length("text"), F.col("at")
+    first, last = F.greatest("begins", F.lit(low)), F.least(size, F.lit(high)) - 1
+    places = texts.where(first <= last).withColumn("at", F.explode(F.sequence(first, last))).withColumn("mine", F.substring("text", at + 1, F.lit(1)))
+    head, tail = F.substring("text", F.lit(1), at), F.substring("text", at + 2, size)
+    # of equal letters in a row one is left out, as the others give the same word: the first, or the
+    # first behind the middle if the row lies across it
+    once = (F.col("mine") != F.substring("text", at, F.lit(1))) | ((at == F.col("begins")) & (F.col("side") == ">"))
+    shorter = places.where(once).select("word", F.concat(head, tail).alias("text"), "side")
+    own = places.withColumn("node", _node(at))
+    forks = own.groupBy("node").agg(F.collect_set("mine").alias("letters")).where(F.size("letters") > 1)
+    others = split_join(own, forks, "node").withColumn("letter", F.explode("letters")).where(F.col("letter") > F.col("mine"))
+    return shorter.unionByName(others.select("word", F.concat(head, "letter", tail).alias("text"), "side"))
 
 
-def trie_neighbours(words: DataFrame) -> DataFrame:
+def trie_neighbours(words: DataFrame, stride: int = STRIDE) -> DataFrame:
     """(word, other): pairs one edit apart, each once: the other word is one letter shorter, or as long with a greater letter in one place."""
-    spark = words.sparkSession
     top = words.agg(F.max(F.length("word"))).first()[0]
-    if top is None:
-        return words.select("word", F.col("word").alias("other"))
-    folder = f"{shared_folder(spark)}/trie-{uuid.uuid4().hex}"
-    trie_nodes(words).hint("rebalance", F.col("depth")).write.partitionBy("depth").parquet(folder)
-    nodes = spark.read.schema("node bigint, edges map<string, bigint>, depth int").parquet(folder)
-    size, found, alive = F.length("word"), [], None
-    none, to = F.array().cast("array<struct<at: int, node: bigint>>"), lambda at, node: F.struct(at.alias("at"), node.alias("node"))
-    for d in range(top + 1):
-        here = nodes.where(F.col("depth") == d).drop("depth")
-        # the words that come by without an edit stand at d, and their states of one edit begin here;
-        # of equal letters in a row the first is left out, as the others give the same word
-        own, before = _letter("word", F.lit(d)), _letter("word", F.lit(d - 1)) if d else F.lit("")
-        front = words.where(size > d).select("word", F.lit(d + 1).alias("at"), _prefix("word", F.lit(d)).alias("node"), own.alias("mine"), (own != before).alias("goes"))
+    if not top:
+        return words.select("word", F.col("word").alias("other")).where("false")
+    texts, size, found, alive = sides(words), F.length("text"), [], None
+    for d in range(0, top, stride):
+        to = d + stride
+        front = edited(texts, d, to)
         if alive is not None:
-            front = front.unionByName(alive.withColumns({"mine": F.lit(None).cast("string"), "goes": F.col("at") <= size}))
-        asked = front.withColumn("want", _letter("word", F.col("at")))
-        # the nodes of up to two letters are no more than the alphabet's square
-        met = asked.join(F.broadcast(here) if d < 3 else here, "node", "left").withColumn("child", F.try_element_at("edges", F.col("want")))
-        onward = F.when(F.col("goes") & F.col("child").isNotNull(), F.array(to(F.col("at") + 1, F.col("child")))).otherwise(none)
-        replaced = F.transform(F.filter(F.map_entries("edges"), lambda e: e["key"] > F.col("mine")), lambda e: to(F.lit(d + 1), e["value"]))
-        # a state past its word's end has found one and stays as it is
-        state = F.when(F.col("at") > size, F.array(to(F.col("at"), F.col("node")))).otherwise(onward)
-        alive = met.select("word", F.explode(F.when(F.col("mine").isNull(), state).otherwise(F.concat(onward, replaced))).alias("s")).select("word", "s.*")
-        if (d + 1) % CUT_EVERY == 0 or d == top:
-            alive = checkpoint(alive)
-            found.append(alive.where(F.col("at") > size))
-            alive = alive.where(F.col("at") <= size)
-    # the node behind an end edge is the hash of the whole word that was found
-    names = words.select(F.col("word").alias("other"), F.xxhash64("word").alias("node"))
-    hits = reduce(DataFrame.unionByName, found).select("word", "node")
-    return split_join(hits, names, "node").where(F.levenshtein("word", "other", 1) == 1).select("word", "other")
+            front = front.unionByName(alive)
+        # the words that end before this level have been found by now
+        nodes = texts.where(size >= d).select(_node(to).alias("node")).distinct()
+        met = checkpoint(split_join(front.withColumn("node", _node(to)), nodes, "node").select("word", "text", "side"))
+        ended = met.where(size <= to)
+        found.append(ended.select("word", F.when(F.col("side") == "<", F.reverse("text")).otherwise(F.col("text")).alias("other")))
+        alive = met.where(size > to)
+    return reduce(DataFrame.unionByName, found)
 
 
 def long_neighbours(words: DataFrame, parts: int = PARTS) -> DataFrame:

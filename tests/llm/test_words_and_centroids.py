@@ -81,6 +81,38 @@ def test_every_length_meets(spark):
         assert sorted(map(tuple, spelling_variants.neighbours(df, longest).collect())) == want
 
 
+def test_rows_of_letters_across_the_middle(spark):
+    """Equal letters that lie across the middle, palindromes, single letters and the empty word, however many letters a level takes."""
+    words = {"a" * i + "b" * j + "a" * k for i in range(5) for j in range(4) for k in range(5)} | {"b" * n for n in range(1, 12)}
+    df = spark.createDataFrame([(w,) for w in words], "word string")
+    want = sorted((a, b) for a in words for b in words if near(a, b))
+    for stride in (1, 3, 5, 20):
+        once = list(map(tuple, spelling_variants.trie_neighbours(df, stride).collect()))
+        assert sorted(once + [(b, a) for a, b in once]) == want
+
+
+def test_plans_stay_small(spark):
+    """The driver's memory goes by the plans: those of a trie of full depth had 21 levels of a join each, and the driver took over 1,500 MB on a few rows."""
+    rng = random.Random(7)
+    words = ["".join(rng.choice("abcd") for _ in range(n)) for n in range(5, 21) for _ in range(20)]
+    words += [w[:k] + "e" + w[k + 1 :] for w in words for k in (0, len(w) // 2, len(w) - 1)]
+    docs = spark.createDataFrame([(i, " ".join(words)) for i in range(4)], "doc_id bigint, text string")
+    store = spark._jsparkSession.sharedState().statusStore()
+
+    def plans():
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        every = store.executionsList()
+        return {every.apply(k).executionId() for k in range(every.size())}
+
+    before = plans()
+    assert spelling_variants.group_variants(docs).where("form is null").count() > 0
+    joins = []
+    for k in plans() - before:
+        nodes = store.planGraph(k).allNodes()
+        joins.append(sum("Join" in nodes.apply(i).name() for i in range(nodes.size())))
+    assert max(joins) <= 6 and sum(joins) <= 24, joins
+
+
 def test_no_words(spark):
     docs = spark.createDataFrame([(1, None), (2, ""), (3, "abc abc abc")], "doc_id bigint, text string")
     for d in (docs, docs.limit(0)):
