@@ -77,11 +77,12 @@ def profiles_at_sites(columns: DataFrame, found: DataFrame, values: list[str], t
 
 def model_against_observations(columns: DataFrame, obs: DataFrame, found: DataFrame, depth: float, value: str, first_time, step_seconds: int, time: str = "time") -> DataFrame:
     """Statistics per site of a model variable at a depth against observations binned to the model's times."""
-    at = geo.series_at_sites(columns, found).select("site", time, vertical.at_depth(value, "z", depth).alias("model"))
+    # the profiles are read at the depth once each, and met by the observations of their sites only
     micros = F.unix_micros(F.col(time).cast("timestamp")) - F.unix_micros(first_time)
-    model = at.withColumn("bin", F.round(micros / (step_seconds * 1_000_000)).cast("bigint")).drop(time)
+    near = columns.join(found.select("eta", "xi").distinct(), ["eta", "xi"], "left_semi")
+    model = near.select("eta", "xi", F.round(micros / (step_seconds * 1_000_000)).cast("bigint").alias("bin"), vertical.at_depth(value, "z", depth).alias("model"))
     binned = timeaxis.to_model_axis(obs, first_time, F.lit(step_seconds), time, ["obs"], ["site"])
-    return validate.paired_statistics(validate.pair(model, binned, ["site", "bin"]), ["site"])
+    return validate.paired_statistics(validate.pair(model, binned.join(found.select("site", "eta", "xi"), "site"), ["eta", "xi", "bin"]), ["site"])
 
 
 def horizontal_gradient(cells: DataFrame, by: list[str], value: str, axis: str, metric: str, z: str = "z", level: str = "level") -> DataFrame:

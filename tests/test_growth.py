@@ -49,3 +49,15 @@ def test_sites_of_one_place_search_once(spark):
     got = geo.nearest_cell(sites, grid)
     assert most_rows(got) <= 5000
     assert {(r.eta, r.xi, r["count"]) for r in got.groupBy("eta", "xi").count().collect()} == {(10 * k, 1, 1000) for k in range(4)}
+
+
+def test_profiles_meet_observations_only(spark):
+    """Forty profiles of one cell and 500 sites there, of which one is observed once."""
+    from brinework.plans import workloads
+
+    columns = spark.range(40).selectExpr("0 AS eta", "0 AS xi", "TIMESTAMP '2024-01-01' + make_dt_interval(0, CAST(6 * id AS INT)) AS time", "array(-20.0D, 0.0D) AS z", "array(4.0D, CAST(id AS DOUBLE)) AS temp")
+    found = spark.range(500).selectExpr("id AS site", "0 AS eta", "0 AS xi", "1.0D AS lon", "1.0D AS lat", "1.0D AS cell_lon", "1.0D AS cell_lat")
+    obs = spark.createDataFrame([(7, 12, 3.5)], "site bigint, hours int, obs double").selectExpr("site", "TIMESTAMP '2024-01-01' + make_dt_interval(0, hours) AS time", "obs")
+    got = workloads.model_against_observations(columns, obs, found, -10.0, "temp", F.lit("2024-01-01").cast("timestamp"), 21_600)
+    assert most_rows(got) <= 500
+    assert [(r.site, r.n) for r in got.collect()] == [(7, 1)]
