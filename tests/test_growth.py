@@ -34,10 +34,11 @@ def long_tables(spark, tmp_path_factory):
         t = spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet")
         copies = t.crossJoin(spark.range(times).withColumnRenamed("id", "r")).withColumn(key, F.col(key) + F.col("r") * step).drop("r")
         copies.coalesce(1).write.parquet(str(folder / f"{name}.parquet"))
+    (folder / "embeddings.parquet").symlink_to("/root/testdata/sf0.001/embeddings.parquet")
     return str(folder)
 
 
-@pytest.mark.parametrize("name, times", [("nearest_cells", 12)])
+@pytest.mark.parametrize("name, times", [("nearest_cells", 12), ("profiles_at_sites", 12)])
 def test_sites_on_a_long_grid(spark, long_tables, name, times):
     got = registry.QUERIES[name](spark, long_tables)
     assert most_rows(got) <= times * 30_000
