@@ -38,7 +38,7 @@ def long_tables(spark, tmp_path_factory):
     return str(folder)
 
 
-@pytest.mark.parametrize("name, times", [("nearest_cells", 12), ("profiles_at_sites", 12), ("scattered_to_grid", 12), ("series_at_sites", 12), ("shifted_site_cells", 12), ("vectors_at_sites", 12)])
+@pytest.mark.parametrize("name, times", [("nearest_cells", 12), ("profiles_at_sites", 12), ("scattered_to_grid", 12), ("series_at_sites", 12), ("shifted_site_cells", 12), ("vectors_at_sites", 12), ("transferred_mask", 12)])
 def test_sites_on_a_long_grid(spark, long_tables, name, times):
     got = registry.QUERIES[name](spark, long_tables)
     assert most_rows(got) <= times * 30_000
