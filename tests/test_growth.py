@@ -62,3 +62,11 @@ def test_profiles_meet_observations_only(spark):
     got = workloads.model_against_observations(columns, obs, found, -10.0, "temp", F.lit("2024-01-01").cast("timestamp"), 21_600)
     assert most_rows(got) <= 500
     assert [(r.site, r.n) for r in got.collect()] == [(7, 1)]
+
+
+def test_no_whole_day(spark, tmp_path):
+    """Times at random are closer than even ones in the median, so that each of many days falls short of 0.7."""
+    for k in range(4):
+        day = spark.range(3000).selectExpr("id AS event_id", "1L AS user_id", "'a' AS event_type", f"CAST(TIMESTAMP '2024-01-0{k + 1}' + make_dt_interval(0, 0, 0, 10 * (id + 1) + IF(id % 3 = 0, 9, 0)) AS TIMESTAMP_NTZ) AS ts", "1.0D AS value")
+        day.write.mode("append").parquet(str(tmp_path / "events.parquet"))
+    assert registry.QUERIES["whole_days"](spark, str(tmp_path)).collect() == []
