@@ -70,3 +70,11 @@ def test_no_whole_day(spark, tmp_path):
         day = spark.range(3000).selectExpr("id AS event_id", "1L AS user_id", "'a' AS event_type", f"CAST(TIMESTAMP '2024-01-0{k + 1}' + make_dt_interval(0, 0, 0, 10 * (id + 1) + IF(id % 3 = 0, 9, 0)) AS TIMESTAMP_NTZ) AS ts", "1.0D AS value")
         day.write.mode("append").parquet(str(tmp_path / "events.parquet"))
     assert registry.QUERIES["whole_days"](spark, str(tmp_path)).collect() == []
+
+
+def test_many_distinct_sites(spark, tmp_path):
+    """An estimate is off beyond a few thousand sites; the query counts."""
+    t = spark.range(60_000).selectExpr("id AS event_id", "id % 20000 AS user_id", "IF(id % 40000 < 20000, 'a', 'b') AS event_type", "CAST(TIMESTAMP '2024-01-31' + make_dt_interval(CAST(id / 30000 AS INT)) AS TIMESTAMP_NTZ) AS ts", "1.0D AS value")
+    t.write.parquet(str(tmp_path / "events.parquet"))
+    got = {(r.kind, r.month): r.n_distinct for r in registry.QUERIES["distinct_sites"](spark, str(tmp_path)).collect()}
+    assert got == {("a", "2024-01"): 20_000, ("a", "2024-02"): 20_000, ("b", "2024-01"): 10_000, ("b", "2024-02"): 10_000, ("a", None): 20_000, ("b", None): 20_000}
