@@ -102,6 +102,8 @@ def _dealt(spark: SparkSession, rows: DataFrame, batch: Column, batches: int = 3
     return folder, jobs.read_stream(spark, f"{folder}/in", rows.schema, 1)
 
 
+#: Folders of the table that takes the upserts.
+UPSERT_PARTS = 32
 DEAL = "CAST('0x' || substr(md5(CAST({0} AS VARCHAR)), 1, 6) AS BIGINT)"
 VERSIONS = f"""v AS (SELECT event_id, CASE WHEN event_id % 7 > 0 THEN user_id END AS user_id, value + k AS value, k AS version FROM events, (SELECT unnest(range(3)) AS k) WHERE k < 1 + {DEAL.format('event_id')} % 3)"""
 
@@ -111,16 +113,20 @@ VERSIONS = f"""v AS (SELECT event_id, CASE WHEN event_id % 7 > 0 THEN user_id EN
 SELECT user_id, count(*) AS n, count(DISTINCT event_id) AS events, round(max(value), 6) AS top, CAST(sum(version) AS BIGINT) AS versions FROM n GROUP BY ALL"""
 )
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Versions of events, some repeated and some without a user, come shuffled in three batches; each is merged into its users' partitions."""
+    """Versions of events, some repeated and some without a user, come shuffled in three batches; each is merged into the partitions of its events.
+
+    A partition holds the events of one of ``UPSERT_PARTS`` numbers, so that folders are as many for any number of users.
+    """
     e = table(spark, sf_dir, "events")
     number = lambda c: F.conv(F.substring(F.md5(c.cast("string").cast("binary")), 1, 6), 16, 10).cast("bigint")
     some = e.withColumn("version", F.explode(F.sequence(F.lit(0), (number(F.col("event_id")) % 3).cast("int"))))
     rows = some.select("event_id", F.when(F.col("event_id") % 7 > 0, F.col("user_id")).alias("user_id"), (F.col("value") + F.col("version")).alias("value"), "version")
     rows = rows.withColumn("twice", F.explode(F.array(F.lit(0), F.lit(1)))).where("twice = 0 or event_id % 5 = 0")
-    folder, stream = _dealt(spark, rows.drop("twice"), F.pmod(F.xxhash64("event_id", "version"), F.lit(3)))
-    jobs.upsert(stream, f"{folder}/out", f"{folder}/state", "user_id", ["event_id"], ["version"]).awaitTermination()
+    rows = rows.drop("twice").withColumn("part", F.pmod(F.xxhash64("event_id"), F.lit(UPSERT_PARTS)).cast("int"))
+    folder, stream = _dealt(spark, rows, F.pmod(F.xxhash64("event_id", "version"), F.lit(3)))
+    jobs.upsert(stream, f"{folder}/out", f"{folder}/state", "part", ["event_id"], ["version"]).awaitTermination()
     got = spark.read.parquet(f"{folder}/out")
-    return got.groupBy(F.col("user_id").cast("bigint").alias("user_id")).agg(
+    return got.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("n"), F.count_distinct("event_id").alias("events"), F.round(F.max("value"), 6).alias("top"), F.sum("version").alias("versions")
     )
 

@@ -147,7 +147,8 @@ def merge_batch(batch: DataFrame, path: str, partition: str, keys: list[str], or
     else:
         touched = batch.select(F.col(partition).alias("__p")).distinct()
         rows = batch.unionByName(held.join(touched, F.col(partition).eqNullSafe(F.col("__p")), "left_semi"))
-    newest(rows, keys, order).write.partitionBy(partition).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    # a partition's rows meet before they are written, so that it has few files
+    newest(rows, keys, order).hint("rebalance", F.col(partition)).write.partitionBy(partition).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
     batch.unpersist()
 
 

@@ -1,5 +1,7 @@
 """Work that must stay in proportion to the input: rows that any step of a plan gives out, on tables that are long, repeated or crowded."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -78,3 +80,16 @@ def test_many_distinct_sites(spark, tmp_path):
     t.write.parquet(str(tmp_path / "events.parquet"))
     got = {(r.kind, r.month): r.n_distinct for r in registry.QUERIES["distinct_sites"](spark, str(tmp_path)).collect()}
     assert got == {("a", "2024-01"): 20_000, ("a", "2024-02"): 20_000, ("b", "2024-01"): 10_000, ("b", "2024-02"): 10_000, ("a", None): 20_000, ("b", None): 20_000}
+
+
+def test_upsert_of_many_users_has_few_files(spark, tmp_path):
+    from brinework.session import shared_folder
+
+    t = spark.range(4000).selectExpr("id AS event_id", "id % 400 AS user_id", "'a' AS event_type", "CAST(TIMESTAMP '2024-01-01' AS TIMESTAMP_NTZ) AS ts", "1.0D * id AS value")
+    t.write.parquet(str(tmp_path / "events.parquet"))
+    streams = lambda: set(Path(shared_folder(spark).removeprefix("file:")).glob("stream-*"))
+    before = streams()
+    got = {r.user_id: (r.n, r.events) for r in registry.QUERIES["stream_upsert"](spark, str(tmp_path)).collect()}
+    assert sum(n for n, _ in got.values()) == sum(e for _, e in got.values()) == 4000 and set(got) == {*range(400), None}
+    (folder,) = streams() - before
+    assert len(list((folder / "out").rglob("*.parquet"))) <= 64
