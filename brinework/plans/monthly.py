@@ -73,15 +73,15 @@ def merge_days(new: DataFrame, record: str, keys: list[str], day: str) -> list[i
 
 
 def detected(days: DataFrame, clim: DataFrame, months: list[int], keys: list[str], day: str = "day", value: str = "temp", min_duration: int = events.MIN_DURATION, max_gap: int = events.MAX_GAP) -> DataFrame:
-    """Events on the days of some months, and on the missing days between them (``__real`` is false), as a run over the whole record finds them."""
+    """Events on the days of some months, and on the missing days between them that an event can hold (``real`` is false), as a run over the whole record finds them."""
     spark, pad = days.sparkSession, min_duration - 1 + max_gap
     blocks = F.broadcast(spark.createDataFrame(blocks_of(months), "__block int, __first date, __last date"))  # a row for each run of months
     window = days.join(blocks, F.col(day).between(F.date_sub("__first", pad), F.date_add("__last", pad)))
-    # a missing day never exceeds, so days before a cell's first or after its last one change nothing
-    spine = window.select(*keys, "__block", "__first", "__last").distinct().withColumn(day, F.explode(F.sequence(F.date_sub("__first", pad), F.date_add("__last", pad))))
-    cell = lambda t: t.withColumn("__cell", F.struct(*keys, "__block"))
-    whole = cell(spine).select("__cell", "__first", "__last", day).join(cell(window).select("__cell", day, value, F.lit(True).alias("__real")), ["__cell", day], "left")
-    whole = whole.select(*[F.col(f"__cell.{k}").alias(k) for k in (*keys, "__block")], "__first", "__last", day, value, F.coalesce("__real", F.lit(False)).alias("real"))
+    # a missing day never exceeds: it counts only in a gap that can be bridged, and the first max_gap + 1 of a longer one part what lies around it
+    gap = F.datediff(F.lead(day).over(Window.partitionBy(*keys, "__block").orderBy(day)), F.col(day)) - 1
+    steps = window.withColumn("__gap", F.least(F.coalesce(gap, F.lit(0)), F.lit(max_gap + 1))).withColumn("__k", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), "__gap"))))
+    own = F.col("__k") == 0
+    whole = steps.select(*keys, "__block", "__first", "__last", F.date_add(day, F.col("__k")).alias(day), F.when(own, F.col(value)).alias(value), own.alias("real"))
     dated = events.join_climatology(whole, clim, keys, day)
     out = events.detect(dated.withColumnsRenamed({"__block": "block", "__first": "first", "__last": "last"}), [*keys, "block"], day, value, min_duration, max_gap)
     return out.where(F.col(day).between(F.col("first"), F.col("last"))).drop("first", "last", "block", "hot_run", "cold_run")
@@ -122,7 +122,8 @@ def update_months(
     around = pad // 28 + 1
     within = sorted({m + k for m in targets for k in range(-around, around + 1)})
     days = read_months(spark, record, within).drop("year", "month")
-    found = cut(detected(days, clim, targets, keys, day, value, min_duration, max_gap))  # read for the products and for the events
+    found = detected(days, clim, targets, keys, day, value, min_duration, max_gap)
+    found = cut(found.where("real or category <> 0"))  # read for the products and for the events
     write_products(found.where("real").drop("real"), products, day)
     # months whose events went have no rows, so their old fragments are overwritten by name
     pieces = fragments(found, keys, day, value).select(*keys, "sign", "first", "last", "peak", "year", "month")

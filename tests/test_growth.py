@@ -103,3 +103,13 @@ def test_points_of_one_place_meet_edges_once(spark):
     got = geo.in_ring(points, geo.ring_edges(vertices, "k"), "site")
     assert most_rows(got) <= 10_000
     assert {(r.site % 3, r.inside) for r in got.collect()} == {(0, True), (1, True), (2, False)}
+
+
+def test_missing_days_of_a_sparse_record_are_no_rows(spark):
+    from brinework.plans import monthly
+
+    days = spark.range(24).selectExpr("CAST(1 AS INT) AS cell", "date_add(DATE '2001-01-15', CAST(id * 30 AS INT)) AS day", "20.0D AS temp")
+    clim = spark.range(1, 367).selectExpr("CAST(1 AS INT) AS cell", "CAST(id AS INT) AS doy", "15.0D AS clim", "17.0D AS thr90", "13.0D AS thr10")
+    got = monthly.detected(days, clim, [12 * 2001 + m for m in range(1, 25)], ["cell"])
+    assert most_rows(got) <= 24 * 24  # 24 rows of the record, 730 days
+    assert got.where("real").count() == 24 and got.where("category <> 0").count() == 0
